@@ -68,4 +68,4 @@ def query(name: str):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from .queries import analysis, models, quality  # noqa: F401
+    from .queries import analysis, inference, models, quality  # noqa: F401
