@@ -80,4 +80,4 @@ def query(name: str):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from .queries import analysis, clustering, inference, models, quality  # noqa: F401
+    from .queries import analysis, clustering, inference, models, multilevel, quality  # noqa: F401
