@@ -178,3 +178,19 @@ SELECT neighbourhood,
        """ + r("avg(CASE WHEN NOT is_weekend THEN price_usd END)", 2) + """ AS avg_weekday_price
 FROM fct_availability WHERE is_available GROUP BY neighbourhood""",
        ["avg_weekend_price", "avg_weekday_price"])
+
+
+@query("listings_in_boundary")
+def q_listings_in_boundary(c: Ctx):
+    """Neighbourhood whose boundary contains each listing (grid equi-join + ray casting)."""
+    from ..operators.geo import points_in_polygons
+
+    pts = c["dim_listings"].select("listing_id", "longitude", "latitude")
+    hit = points_in_polygons(pts, "longitude", "latitude", c["dim_neighbourhoods"])
+    return hit.select("listing_id", "neighbourhood_in_boundary")
+
+
+oracle("listings_in_boundary", """
+SELECT l.listing_id, n.neighbourhood AS neighbourhood_in_boundary
+FROM dim_listings l JOIN stg_neighbourhoods n
+  ON l.longitude > n.lon0 AND l.longitude < n.lon1 AND l.latitude > n.lat0 AND l.latitude < n.lat1""")
