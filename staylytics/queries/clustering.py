@@ -181,3 +181,12 @@ def q_room_type_clusters(c: Ctx):
     m = CL.fit_kmeans(a, k, tuple(range(42, 52)))
     return m.transform(a).select("listing_id", "latitude", "longitude", "room_type", "cluster")
 
+
+
+@query("dbscan_summary")
+def q_dbscan_summary(c: Ctx):
+    """DBSCAN (eps 0.4, min 15) on the clustering PCA scores: clusters, noise, noise %."""
+    from ..operators.dbscan import dbscan, dbscan_summary
+
+    scores = _pca_cluster(c).scores
+    return dbscan_summary(dbscan(scores, "listing_id", "pc1", "pc2", 0.4, 15))
