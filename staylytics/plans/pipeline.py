@@ -70,3 +70,35 @@ def register_views(spark: SparkSession, models: Models) -> None:
     """Expose every model as a temp view for SQL users."""
     for name, df in {**models.staging, **models.marts}.items():
         df.createOrReplaceTempView(name)
+
+
+def run_pipeline(spark: SparkSession, src_dir: str, out_root: str, default_db: str = "airbnb",
+                 days: int = 30, default_group: str = "London") -> dict[str, str]:
+    """Raw files -> bronze Parquet -> staging views -> gold Parquet tables.
+
+    ``out_root`` must be a shared folder on a cluster. ``dim_listings`` is
+    written first and read back, so both facts join the written table (no
+    recomputation of its three-way join, and the lineage is cut there).
+    Returns mart name -> path.
+    """
+    import os
+
+    from ..sources import files as FS
+
+    bronze_dir = os.path.join(out_root, target_database(None, default_db) + "_bronze")
+    FS.land_bronze(spark, src_dir, bronze_dir)
+    bronze = FS.load_bronze(spark, bronze_dir)
+    gold_dir = os.path.join(out_root, target_database("gold", default_db))
+    first = build(bronze, days, default_group)
+    register_views(spark, first)
+    dl_path = os.path.join(gold_dir, "dim_listings")
+    FS.write_mart(first.marts["dim_listings"], dl_path, "dim_listings")
+    models = build(bronze, days, default_group, dim_listings_override=spark.read.parquet(dl_path))
+    paths = {"dim_listings": dl_path}
+    for name in MART_MODELS:
+        if name == "dim_listings":
+            continue
+        p = os.path.join(gold_dir, name)
+        FS.write_mart(models.marts[name], p, name)
+        paths[name] = p
+    return paths
