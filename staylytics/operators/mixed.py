@@ -99,7 +99,8 @@ def _theta_sums(gs: DataFrame, thetas: list[float], p: int) -> list[dict]:
     arr = F.array(*[F.lit(float(t)) for t in thetas])
     t = gs.select("*", F.posexplode(arr).alias("k", "theta"))
     c = F.col("theta") / (F.lit(1.0) + F.col("theta") * F.col("zz"))
-    aggs = [F.sum("n").alias("n"), F.sum(F.col("yy") - c * F.col("zy") * F.col("zy")).alias("qy"),
+    aggs = [F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups"),
+            F.sum(F.col("yy") - c * F.col("zy") * F.col("zy")).alias("qy"),
             F.sum(F.log1p(F.col("theta") * F.col("zz"))).alias("ld")]
     aggs += [F.sum(F.col(f"xx_{i}_{j}") - c * F.col(f"zx_{i}") * F.col(f"zx_{j}")).alias(f"a_{i}_{j}")
              for i, j in _pairs(p)]
@@ -110,7 +111,8 @@ def _theta_sums(gs: DataFrame, thetas: list[float], p: int) -> list[dict]:
         a = np.zeros((p, p))
         for i, j in _pairs(p):
             a[i, j] = a[j, i] = r[f"a_{i}_{j}"]
-        out.append({"theta": float(thetas[r["k"]]), "n": int(r["n"]), "qy": float(r["qy"]), "ld": float(r["ld"]),
+        out.append({"theta": float(thetas[r["k"]]), "n": int(r["n"]), "groups": int(r["groups"]),
+                    "qy": float(r["qy"]), "ld": float(r["ld"]),
                     "A": a, "b": np.array([r[f"b_{i}"] for i in range(p)], dtype=float)})
     return out
 
@@ -191,42 +193,36 @@ class MixedFit:
         return j.select("g", "y", fit.alias("fitted"), (F.col("y") - fit).alias("resid"))
 
 
-def _refine(best_lt: float, step: float, m: int) -> list[float]:
-    return list(np.linspace(best_lt - step, best_lt + step, m))
+def fit_mixed(des: Design, passes: int = 4, grid: int = 201, lo: float = -14.0, hi: float = 9.0,
+              refine: int = 21) -> MixedFit:
+    """REML fit (and the ML criterion for the AIC) by grid refinement over log theta.
 
-
-def fit_mixed(des: Design, passes: int = 7, grid: int = 41, lo: float = -14.0, hi: float = 9.0) -> MixedFit:
-    """REML fit (and ML criterion for the AIC) by grid refinement over log theta."""
+    One Spark job per pass: a ``grid``-point pass over [lo, hi] (plus
+    theta = 0), then ``passes`` passes of ``refine`` points around the
+    best REML and ML points, each 10x finer than the last.
+    """
     p = len(des.terms)
     st = des.frame.agg(F.avg("y").alias("ym"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(p)]).first()
     means = np.array([0.0] + [float(st[f"m{i}"]) for i in range(1, p)])
     ymean = float(st["ym"])
     gs = group_sums(des, means, ymean).persist()
     try:
-        s0 = _theta_sums(gs, [0.0], p)[0]
+        first = _theta_sums(gs, [0.0] + [math.exp(x) for x in np.linspace(lo, hi, grid)], p)
+        s0 = next(s for s in first if s["theta"] == 0.0)
         keep = independent_columns(s0["A"])
-        evals: dict[float, dict] = {}
-
-        def run(thetas):
-            new = [t for t in thetas if t not in evals]
-            if new:
-                for s in _theta_sums(gs, new, p):
-                    evals[s["theta"]] = _criteria(s, keep)
-
-        evals[0.0] = _criteria(s0, keep)
-        lts = list(np.linspace(lo, hi, grid))
-        run([math.exp(x) for x in lts])
+        evals: dict[float, dict] = {s["theta"]: _criteria(s, keep) for s in first}
         step = (hi - lo) / (grid - 1)
-        centres = {"reml": None, "ml": None}
         for _ in range(passes):
-            nxt = []
-            for crit in centres:
+            nxt = set()
+            for crit in ("reml", "ml"):
                 pos = {t: v for t, v in evals.items() if t > 0}
-                tb = min(pos, key=lambda t: pos[t][crit])
-                centres[crit] = math.log(tb)
-                nxt += [math.exp(x) for x in _refine(math.log(tb), step, 9)]
-            run(nxt)
-            step /= 4
+                tb = math.log(min(pos, key=lambda t: pos[t][crit]))
+                nxt |= {math.exp(x) for x in np.linspace(tb - step, tb + step, refine)}
+            new = sorted(t for t in nxt if t not in evals)
+            if new:
+                for s in _theta_sums(gs, new, p):
+                    evals[s["theta"]] = _criteria(s, keep)
+            step /= (refine - 1) / 2
         best = {c: min(evals, key=lambda t: evals[t][c]) for c in ("reml", "ml")}
         fit = evals[best["reml"]]
         theta = best["reml"]
@@ -254,7 +250,7 @@ def fit_mixed(des: Design, passes: int = 7, grid: int = 41, lo: float = -14.0, h
         for idx, b in zip(keep, fit["beta"]):
             zxb = zxb + F.col(f"zx_{idx}") * F.lit(float(b))
         blups = gs.select("g", "n", (c * (F.col("zy") - zxb)).alias("u"))
-        n_groups = gs.count()
+        n_groups = fit["groups"]
     except Exception:
         gs.unpersist()
         raise

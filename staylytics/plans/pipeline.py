@@ -72,33 +72,53 @@ def register_views(spark: SparkSession, models: Models) -> None:
         df.createOrReplaceTempView(name)
 
 
-def run_pipeline(spark: SparkSession, src_dir: str, out_root: str, default_db: str = "airbnb",
-                 days: int = 30, default_group: str = "London") -> dict[str, str]:
-    """Raw files -> bronze Parquet -> staging views -> gold Parquet tables.
+def materialise(spark: SparkSession, bronze: dict[str, DataFrame], gold_dir: str, days: int = 30,
+                default_group: str = "London") -> Models:
+    """Build and write every mart under ``gold_dir``; return models that read the written tables.
 
-    ``out_root`` must be a shared folder on a cluster. ``dim_listings`` is
-    written first and read back, so both facts join the written table (no
-    recomputation of its three-way join, and the lineage is cut there).
-    Returns mart name -> path.
+    ``dim_listings`` is written first and read back, so both facts join the
+    written table (no recomputation of its three-way join; lineage is cut
+    there). Staging stays lazy (views over bronze).
     """
     import os
 
+    from pyspark.sql import functions as F
+
     from ..sources import files as FS
 
-    bronze_dir = os.path.join(out_root, target_database(None, default_db) + "_bronze")
-    FS.land_bronze(spark, src_dir, bronze_dir)
-    bronze = FS.load_bronze(spark, bronze_dir)
-    gold_dir = os.path.join(out_root, target_database("gold", default_db))
     first = build(bronze, days, default_group)
-    register_views(spark, first)
     dl_path = os.path.join(gold_dir, "dim_listings")
     FS.write_mart(first.marts["dim_listings"], dl_path, "dim_listings")
-    models = build(bronze, days, default_group, dim_listings_override=spark.read.parquet(dl_path))
-    paths = {"dim_listings": dl_path}
+    dl = spark.read.parquet(dl_path)
+    models = build(bronze, days, default_group, dim_listings_override=dl)
     for name in MART_MODELS:
         if name == "dim_listings":
             continue
+        df = models.marts[name]
         p = os.path.join(gold_dir, name)
-        FS.write_mart(models.marts[name], p, name)
-        paths[name] = p
-    return paths
+        FS.write_mart(df, p, name)
+        # same column order and types as built (partition columns come back last)
+        back = spark.read.parquet(p)
+        part = {"year", "month"} if name == "fct_availability" else set()
+        models.marts[name] = back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in part
+                                           else F.col(f.name) for f in df.schema.fields])
+    return models
+
+
+def run_pipeline(spark: SparkSession, src_dir: str, out_root: str, default_db: str = "airbnb",
+                 days: int = 30, default_group: str = "London") -> dict[str, str]:
+    """Raw files -> bronze Parquet -> staging views -> gold Parquet tables.
+
+    ``out_root`` must be a shared folder on a cluster. Returns mart name -> path.
+    """
+    import os
+
+    from ..sources import files as FS
+
+    bronze_dir = os.path.join(out_root, target_database(None, default_db) + "_bronze")
+    FS.land_bronze(spark, src_dir, bronze_dir)
+    bronze = FS.load_bronze(spark, bronze_dir)
+    gold_dir = os.path.join(out_root, target_database("gold", default_db))
+    models = materialise(spark, bronze, gold_dir, days, default_group)
+    register_views(spark, models)
+    return {name: os.path.join(gold_dir, name) for name in MART_MODELS}

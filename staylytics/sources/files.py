@@ -109,11 +109,11 @@ def write_mart(df: DataFrame, path: str, name: str) -> None:
     year and month (date-window filters then prune files) and sorted by
     listing within each file."""
     if name == "fct_availability":
-        # a snapshot spans about 13 months: shuffling on (year, month) alone would leave
-        # 13 write tasks, so each month is also spread over hash buckets of the listing
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        w = df.repartition("year", "month", F.pmod(F.xxhash64("listing_id"), F.lit(buckets)))
-        w.sortWithinPartitions("year", "month", "listing_id", "date") \
+        # no extra shuffle: each task of the join that builds the fact sorts its rows by
+        # (year, month, listing) and writes one file per month it holds. Task count
+        # follows data size (AQE), so files stay large at scale. A range repartition
+        # would balance files further but computes the whole fact twice (sampling pass).
+        df.sortWithinPartitions("year", "month", "listing_id", "date") \
             .write.mode("overwrite").partitionBy("year", "month").parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
