@@ -194,3 +194,37 @@ oracle("listings_in_boundary", """
 SELECT l.listing_id, n.neighbourhood AS neighbourhood_in_boundary
 FROM dim_listings l JOIN stg_neighbourhoods n
   ON l.longitude > n.lon0 AND l.longitude < n.lon1 AND l.latitude > n.lat0 AND l.latitude < n.lat1""")
+
+
+@query("gold_extract_listings")
+def q_gold_extract_listings(c: Ctx):
+    """The listings extract projection."""
+    from ..sources.files import EXTRACT_COLUMNS
+
+    return c["dim_listings"].select(*EXTRACT_COLUMNS["dim_listings"])
+
+
+oracle("gold_extract_listings", """
+SELECT listing_id, listing_name, host_id, host_name, neighbourhood, latitude, longitude, room_type,
+       current_price, minimum_nights, total_reviews, first_review_date, last_review_date,
+       avg_price_next_30_days, availability_rate_next_30_days
+FROM dim_listings""", ["latitude", "longitude", "current_price", "avg_price_next_30_days",
+                      "availability_rate_next_30_days"])
+
+
+@query("sample_availability")
+def q_sample_availability(c: Ctx):
+    """3 % row sample of the availability extract columns (a sampling operator)."""
+    from ..sources.files import EXTRACT_COLUMNS, sample_rows
+
+    return sample_rows(c["fct_availability"].select(*EXTRACT_COLUMNS["fct_availability"]), 0.03)
+
+
+@query("scatter_sample")
+def q_scatter_sample(c: Ctx):
+    """Reproducible 5,000-listing subsample (seeded hash order) for point charts and maps."""
+    from ..sources.files import hash_sample
+
+    dl = c["dim_listings"].where("latitude IS NOT NULL AND avg_price_next_30_days IS NOT NULL")
+    return hash_sample(dl.select("listing_id", "latitude", "longitude", "room_type",
+                                 "avg_price_next_30_days"), "listing_id", 5000)

@@ -119,6 +119,50 @@ def write_mart(df: DataFrame, path: str, name: str) -> None:
         df.write.mode("overwrite").parquet(path)
 
 
+# fixed values: the column set of each table's columnar extract
+EXTRACT_COLUMNS = {
+    "dim_listings": ["listing_id", "listing_name", "host_id", "host_name", "neighbourhood", "latitude",
+                     "longitude", "room_type", "current_price", "minimum_nights", "total_reviews",
+                     "first_review_date", "last_review_date", "avg_price_next_30_days",
+                     "availability_rate_next_30_days"],
+    "dim_hosts": ["host_id", "host_name", "total_listings", "min_listing_price", "max_listing_price",
+                  "avg_listing_price", "total_reviews_across_listings"],
+    "dim_neighbourhoods": ["neighbourhood", "neighbourhood_group", "total_listings", "total_hosts",
+                           "avg_price_usd", "min_price_usd", "max_price_usd"],
+    "fct_reviews": ["review_id", "listing_id", "review_date", "reviewer_id", "reviewer_name", "comments",
+                    "listing_name", "neighbourhood", "room_type", "host_id", "host_name"],
+    "fct_availability": ["listing_id", "date", "is_available", "price_usd", "minimum_nights",
+                         "maximum_nights", "neighbourhood", "room_type", "year", "month", "month_name",
+                         "day_of_week", "is_weekend"],
+}
+
+
+def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """Bernoulli row sample (Spark samples rows, not storage blocks)."""
+    return df.sample(fraction=fraction, seed=seed)
+
+
+def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """A reproducible subsample of n rows without replacement.
+
+    Rows are ranked by a seeded hash of the key (key as tie-break); the
+    limit runs as a distributed top-n (each task keeps n, one merge).
+    """
+    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+
+
+def extract_all(models, out_dir: str, availability_fraction: float | None = None) -> dict[str, str]:
+    """Write every extract; the availability extract may be a row sample."""
+    paths = {}
+    for name, cols in EXTRACT_COLUMNS.items():
+        df = models[name]
+        if name == "fct_availability" and availability_fraction:
+            df = sample_rows(df, availability_fraction)
+        paths[name] = os.path.join(out_dir, f"{name}.parquet")
+        extract(df, cols, paths[name])
+    return paths
+
+
 def extract(df: DataFrame, cols: list[str], path: str) -> None:
     """Columnar extract of a projection; left alone if it already exists."""
     df.select(*cols).write.mode("ignore").parquet(path)
