@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The reference has no stream processing: its marts are full rebuilds and
+"streaming" in its documents means a chunked file download. Nothing is
+built here (see README.md, "Not built").
+"""
