@@ -1,6 +1,6 @@
 """Feature preparation (C1-C3): dummies, p99 clipping, standardisation.
 
-Clip points are exact linear quantiles (``quantiles.exact_quantiles``);
+Clip points are exact linear quantiles (``quantiles.exact_quantiles_multi``);
 means and population standard deviations come from one aggregate. The
 only values collected are a few scalars per column and the list of room
 types (a small category set).
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .describe import PRICE, RATE
-from .quantiles import quantile_row
+from .quantiles import exact_quantiles_multi
 
 CLUSTER_BASE = ["price", "avail", "minimum_nights", "total_reviews"]
 
@@ -47,9 +47,9 @@ def one_hot(df: DataFrame, col: str, drop_first: bool = True, prefix: str = "rt"
 
 def clip_upper(df: DataFrame, cols: list[str], p: float = 0.99) -> DataFrame:
     """Clip each column at its exact p-quantile (upper only), then fill NULL with 0."""
-    caps = {}
-    for c in cols:
-        caps[c] = quantile_row(df, c, [p], ["cap"]).first()["cap"]
+    caps = {c: None for c in cols}
+    for r in exact_quantiles_multi(df, cols, [p]).collect():  # one row per column
+        caps[r["column"]] = r["value"]
     out = df
     for c in cols:
         x = F.col(c).cast("double")

@@ -117,6 +117,27 @@ def _theta_sums(gs: DataFrame, thetas: list[float], p: int) -> list[dict]:
     return out
 
 
+def _theta_sums_local(rows: list, thetas: list[float], p: int) -> list[dict]:
+    """Same sums as ``_theta_sums`` from collected group rows (used when few groups)."""
+    zz = np.array([r["zz"] for r in rows], dtype=float)
+    zy = np.array([r["zy"] for r in rows], dtype=float)
+    yy = np.array([r["yy"] for r in rows], dtype=float)
+    n = int(sum(r["n"] for r in rows))
+    zx = np.array([[r[f"zx_{i}"] for i in range(p)] for r in rows], dtype=float)          # G x p
+    xy = np.array([[r[f"xy_{i}"] for i in range(p)] for r in rows], dtype=float).sum(0)
+    xx = np.zeros((p, p))
+    for i, j in _pairs(p):
+        xx[i, j] = xx[j, i] = sum(r[f"xx_{i}_{j}"] for r in rows)
+    out = []
+    for t in thetas:
+        c = t / (1.0 + t * zz)
+        a = xx - (zx * c[:, None]).T @ zx
+        b = xy - (zx * (c * zy)[:, None]).sum(0)
+        out.append({"theta": float(t), "n": n, "groups": len(rows), "qy": float((yy - c * zy * zy).sum()),
+                    "ld": float(np.log1p(t * zz).sum()), "A": a, "b": b})
+    return out
+
+
 def independent_columns(xtx: np.ndarray, tol: float = 1e-10) -> list[int]:
     """Greedy column pivot: keep a column unless it is (nearly) a combination of kept ones."""
     keep: list[int] = []
@@ -193,8 +214,13 @@ class MixedFit:
         return j.select("g", "y", fit.alias("fitted"), (F.col("y") - fit).alias("resid"))
 
 
+# at most this many groups are brought to the driver (about 60 numbers each) to search theta
+# there; a larger group table stays in Spark and each grid pass is one Spark job
+LOCAL_GROUPS = 100_000
+
+
 def fit_mixed(des: Design, passes: int = 4, grid: int = 201, lo: float = -14.0, hi: float = 9.0,
-              refine: int = 21) -> MixedFit:
+              refine: int = 21, local_groups: int = LOCAL_GROUPS) -> MixedFit:
     """REML fit (and the ML criterion for the AIC) by grid refinement over log theta.
 
     One Spark job per pass: a ``grid``-point pass over [lo, hi] (plus
@@ -207,7 +233,14 @@ def fit_mixed(des: Design, passes: int = 4, grid: int = 201, lo: float = -14.0,
     ymean = float(st["ym"])
     gs = group_sums(des, means, ymean).persist()
     try:
-        first = _theta_sums(gs, [0.0] + [math.exp(x) for x in np.linspace(lo, hi, grid)], p)
+        few = gs.limit(local_groups + 1).collect() if local_groups > 0 else []
+        if 0 < len(few) <= local_groups:
+            def sums(thetas):
+                return _theta_sums_local(few, thetas, p)
+        else:
+            def sums(thetas):
+                return _theta_sums(gs, thetas, p)
+        first = sums([0.0] + [math.exp(x) for x in np.linspace(lo, hi, grid)])
         s0 = next(s for s in first if s["theta"] == 0.0)
         keep = independent_columns(s0["A"])
         evals: dict[float, dict] = {s["theta"]: _criteria(s, keep) for s in first}
@@ -220,7 +253,7 @@ def fit_mixed(des: Design, passes: int = 4, grid: int = 201, lo: float = -14.0,
                 nxt |= {math.exp(x) for x in np.linspace(tb - step, tb + step, refine)}
             new = sorted(t for t in nxt if t not in evals)
             if new:
-                for s in _theta_sums(gs, new, p):
+                for s in sums(new):
                     evals[s["theta"]] = _criteria(s, keep)
             step /= (refine - 1) / 2
         best = {c: min(evals, key=lambda t: evals[t][c]) for c in ("reml", "ml")}

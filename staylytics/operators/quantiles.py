@@ -77,3 +77,53 @@ def quantile_row(df: DataFrame, col: str, probs: list[float], names: list[str])
     q = exact_quantiles(df, col, probs)
     return q.agg(*[F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(nm)
                    for p, nm in zip(probs, names)])
+
+
+def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
+                          buckets: int | None = None) -> DataFrame:
+    """Linear-interpolated quantiles of several columns at once: rows (column, prob, value).
+
+    The columns are stacked into (column, value) long form and every step of
+    ``value_ranks`` / ``exact_quantiles`` runs keyed by column, so k columns
+    cost the jobs of one. Bucket cuts come back to the driver: at most
+    (columns x buckets) numbers.
+    """
+    spark = df.sparkSession
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])).alias("s"))
+    vc = (long.select("s.column", "s.value").where(F.col("value").isNotNull() & ~F.isnan("value"))
+          .groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    p = buckets or _bucket_count(df)
+    cut_rows = vc.groupBy("column").agg(
+        F.percentile_approx("value", [i / p for i in range(1, p)], 10000).alias("cuts")).collect()
+    cuts = {r["column"]: sorted({float(x) for x in (r["cuts"] or [])}) for r in cut_rows}
+    cut_df = spark.createDataFrame([(c, cuts.get(c, [])) for c in cols], "column string, cuts array<double>")
+    # one row per column: a proven bound
+    vb = vc.join(F.broadcast(cut_df), "column").select(
+        "column", "value", "cnt", F.size(F.filter("cuts", lambda x: x <= F.col("value"))).alias("bucket"))
+    totals = vb.groupBy("column", "bucket").agg(F.sum("cnt").alias("btot"))
+    before = Window.partitionBy("column").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("column", "bucket", F.coalesce(F.sum("btot").over(before), F.lit(0)).alias("boff"),
+                            F.sum("btot").over(Window.partitionBy("column")).alias("n"))
+    inside = Window.partitionBy("column", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    ranks = vb.join(F.broadcast(offsets), ["column", "bucket"]).select(
+        "column", "value", "cnt", "n",
+        (F.col("boff") + F.coalesce(F.sum("cnt").over(inside), F.lit(0))).alias("cum_before"))
+    ns = offsets.select("column", "n").distinct()
+    arr = F.array(*[F.lit(float(q)) for q in probs])
+    targets = ns.select(F.col("column").alias("tcol"), F.explode(arr).alias("prob"), "n").select(
+        "tcol", "prob", ((F.col("n") - 1) * F.col("prob")).alias("h")).select(
+        "tcol", "prob", "h", F.floor("h").alias("lo"), F.ceil("h").alias("hi"))
+    t = F.broadcast(targets)  # columns x probs rows
+    r = ranks.select("column", "value", "cnt", "cum_before")
+
+    def pick(idx: str, name: str) -> DataFrame:
+        return r.join(t, (F.col("column") == F.col("tcol")) & (F.col(idx) >= F.col("cum_before")) &
+                      (F.col(idx) < F.col("cum_before") + F.col("cnt"))) \
+            .select("column", "prob", "h", "lo", F.col("value").alias(name))
+
+    lo = pick("lo", "v_lo")
+    hi = pick("hi", "v_hi").select("column", "prob", "v_hi")
+    return lo.join(hi, ["column", "prob"]).select(
+        "column", "prob",
+        (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.col("lo"))).alias("value"))

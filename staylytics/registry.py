@@ -49,11 +49,14 @@ def context(spark: SparkSession, sf_dir: str) -> Ctx:
     key = (id(spark), sf_dir)
     ctx = _CTX.get(key)
     if ctx is None or ctx.spark is not spark:
-        bronze = bronze_from_tpch(spark, sf_dir)
-        # the gold tables are written once, as the pipeline does, to a fresh folder
-        # under the shared checkpoint folder; analysis queries read the written marts
-        gold_dir = os.path.join(ensure_checkpoint_dir(spark), f"gold-{uuid.uuid4().hex[:12]}")
-        models = materialise(spark, bronze, gold_dir)
+        # bronze and gold are written once, as the pipeline does, to a fresh folder under
+        # the shared checkpoint folder; every query reads the written tables
+        root = os.path.join(ensure_checkpoint_dir(spark), f"tables-{uuid.uuid4().hex[:12]}")
+        bronze = {}
+        for name, df in bronze_from_tpch(spark, sf_dir).items():
+            df.write.mode("overwrite").parquet(os.path.join(root, "bronze", name))
+            bronze[name] = spark.read.parquet(os.path.join(root, "bronze", name))
+        models = materialise(spark, bronze, os.path.join(root, "gold"))
         ctx = Ctx(spark, sf_dir, bronze, models)
         _CTX[key] = ctx
     return ctx

@@ -56,12 +56,12 @@ def fixture(slope: bool, seed=7):
     return pd.DataFrame(rows, columns=["grp", "x1", "cat", "zflag", "y"])
 
 
-@pytest.mark.parametrize("slope", [False, True])
-def test_mixed_matches_dense(spark, slope):
+@pytest.mark.parametrize("slope,local", [(False, True), (True, True), (True, False)])
+def test_mixed_matches_dense(spark, slope, local):
     pdf = fixture(slope)
     df = spark.createDataFrame(pdf)
     des = MX.build_design(df, "y", "grp", ["x1"], "cat", z="zflag" if slope else None)
-    fit = MX.fit_mixed(des)
+    fit = MX.fit_mixed(des, local_groups=MX.LOCAL_GROUPS if local else 0)
     X = np.column_stack([np.ones(len(pdf)), (pdf.cat == "b").astype(float), (pdf.cat == "c").astype(float), pdf.x1])
     z = pdf.zflag.to_numpy() if slope else np.ones(len(pdf))
     g = pdf.grp.to_numpy()

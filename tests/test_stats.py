@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from staylytics.functions import dist
 from staylytics.functions.columns import capped, currency_to_double, round_half_away, safe_corr, weekend_flag
-from staylytics.operators.quantiles import exact_quantiles, value_ranks
+from staylytics.operators.quantiles import exact_quantiles, exact_quantiles_multi, value_ranks
 
 
 def test_f_tail_table_values():
@@ -56,3 +56,17 @@ def test_column_helpers(spark):
     assert [r["cap"] for r in rows] == [5.0, 6.0, 6.0]
     assert df.agg(safe_corr("c", "y").alias("k")).first()["k"] is None   # constant column -> NULL
     assert df.agg(safe_corr("v", "y").alias("k")).first()["k"] == pytest.approx(np.corrcoef([2.5, -2.5, 0.125], [5, 7, 9])[0, 1])
+
+
+def test_exact_quantiles_multi(spark):
+    rng = np.random.default_rng(5)
+    a = np.round(rng.normal(10, 3, 2000), 2)
+    b = rng.integers(0, 7, 2000).astype(float)
+    rows = [(float(x), float(y) if i % 5 else None) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double")
+    probs = [0.01, 0.5, 0.99]
+    got = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles_multi(df, ["a", "b"], probs, 4).collect()}
+    bb = np.array([y for _, y in rows if y is not None])
+    for p in probs:
+        assert got[("a", p)] == pytest.approx(float(np.percentile(a, p * 100)), abs=1e-9)
+        assert got[("b", p)] == pytest.approx(float(np.percentile(bb, p * 100)), abs=1e-9)
