@@ -53,8 +53,10 @@ def context(spark: SparkSession, sf_dir: str) -> Ctx:
         # the shared checkpoint folder; every query reads the written tables
         root = os.path.join(ensure_checkpoint_dir(spark), f"tables-{uuid.uuid4().hex[:12]}")
         bronze = {}
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         for name, df in bronze_from_tpch(spark, sf_dir).items():
-            df.write.mode("overwrite").parquet(os.path.join(root, "bronze", name))
+            # as land_bronze does after reading an unsplittable gzip file: spread the rows
+            df.repartition(parts).write.mode("overwrite").parquet(os.path.join(root, "bronze", name))
             bronze[name] = spark.read.parquet(os.path.join(root, "bronze", name))
         models = materialise(spark, bronze, os.path.join(root, "gold"))
         ctx = Ctx(spark, sf_dir, bronze, models)

@@ -109,11 +109,12 @@ def write_mart(df: DataFrame, path: str, name: str) -> None:
     year and month (date-window filters then prune files) and sorted by
     listing within each file."""
     if name == "fct_availability":
-        # no extra shuffle: each task of the join that builds the fact sorts its rows by
-        # (year, month, listing) and writes one file per month it holds. Task count
-        # follows data size (AQE), so files stay large at scale. A range repartition
-        # would balance files further but computes the whole fact twice (sampling pass).
-        df.sortWithinPartitions("year", "month", "listing_id", "date") \
+        # REBALANCE on (year, month): one hash shuffle, after which AQE splits each
+        # month's partition into advisory-size tasks and merges small ones, so a task
+        # writes mostly one month and files are neither tiny nor huge at any scale.
+        # (Hashing on (year, month) without AQE would leave ~13 tasks for a snapshot;
+        # a range repartition would compute the whole fact twice.)
+        df.hint("rebalance", "year", "month").sortWithinPartitions("year", "month", "listing_id", "date") \
             .write.mode("overwrite").partitionBy("year", "month").parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
