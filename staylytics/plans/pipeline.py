@@ -122,3 +122,23 @@ def run_pipeline(spark: SparkSession, src_dir: str, out_root: str, default_db: s
     models = materialise(spark, bronze, gold_dir, days, default_group)
     register_views(spark, models)
     return {name: os.path.join(gold_dir, name) for name in MART_MODELS}
+
+
+def publish_tables(spark: SparkSession, models: Models, default_db: str = "airbnb") -> dict[str, str]:
+    """Save every mart as a catalog table in its layer's database (full overwrite).
+
+    Staging stays a set of views (S6); marts go to ``target_database('gold', ...)``.
+    The availability fact is partitioned by year and month. Returns name -> qualified table.
+    """
+    db = target_database("gold", default_db)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+    out = {}
+    for name in MART_MODELS:
+        w = models.marts[name].write.mode("overwrite").format("parquet")
+        if name == "fct_availability":
+            w = models.marts[name].hint("rebalance", "year", "month").write.mode("overwrite") \
+                .format("parquet").partitionBy("year", "month")
+        w.saveAsTable(f"`{db}`.`{name}`")
+        out[name] = f"{db}.{name}"
+    register_views(spark, models)
+    return out

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "staylytics", driver_memory: str | None = None) -> SparkSession:
+              app_name: str = "staylytics", driver_memory: str | None = None,
+              conf: dict[str, str] | None = None) -> SparkSession:
     """Session with AQE (coalesce + skew join), UTC, no UI.
 
     On a cluster the master and resources come from spark-submit; the
@@ -33,6 +34,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config("spark.sql.shuffle.partitions", str(parts))
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -12,7 +12,10 @@ SF = "/root/testdata/sf0.001"
 def spark():
     from staylytics.session import ensure_checkpoint_dir, get_spark
 
-    s = get_spark("local[4]", 8)
+    import tempfile
+
+    wh = tempfile.mkdtemp(prefix="staylytics-wh-", dir="/tmp")
+    s = get_spark("local[4]", 8, conf={"spark.sql.warehouse.dir": wh})
     ensure_checkpoint_dir(s)
     yield s
     s.stop()

@@ -138,3 +138,13 @@ def test_run_pipeline(spark, src, tmp_path):
     dl = {r["listing_id"]: r for r in spark.read.parquet(paths["dim_listings"]).collect()}
     assert dl[1]["total_reviews"] == 2 and dl[2]["total_reviews"] == 0
     assert dl[2]["current_price"] == 0.0
+
+
+def test_publish_tables(spark, src):
+    from staylytics.plans.pipeline import publish_tables
+
+    m = build(FS.read_raw(spark, src))
+    names = publish_tables(spark, m)
+    assert names["dim_listings"] == "airbnb_gold.dim_listings"
+    assert spark.table("airbnb_gold.fct_availability").count() == 3
+    assert spark.sql("SELECT count(*) AS n FROM stg_listings").first()["n"] == 2
