@@ -7,6 +7,8 @@ by ascending mean price so results are stable across seeds.
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -77,27 +79,40 @@ def scaled_cluster_frame(dl: DataFrame, room_types: list[str] | None = None) ->
     return z, [c + "_z" for c in cols]
 
 
-def fit_kmeans(df: DataFrame, k: int, seeds=(42,), max_iter: int = 300, tol: float = 1e-4):
-    """Fit one model per seed; keep the lowest training cost (C7's restarts)."""
-    best = None
-    for s in seeds:
-        m = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol="features",
-                   predictionCol="cluster").fit(df)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best
+def fit_kmeans(df: DataFrame, k: int, seeds=(42,), max_iter: int = 300, tol: float = 1e-4,
+               parallelism: int = 4):
+    """Fit one model per seed; keep the lowest training cost (C7's restarts), first seed on ties.
+
+    The fits are independent Spark jobs over the same (persisted) frame and are
+    submitted from a small thread pool, as pyspark.ml.tuning does for its
+    ``parallelism`` parameter.
+    """
+    seeds = list(seeds)
+
+    def one(s):
+        return KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol="features",
+                      predictionCol="cluster").fit(df)
 
+    with ThreadPool(max(1, min(parallelism, len(seeds)))) as pool:
+        models = pool.map(one, seeds)
+    costs = [m.summary.trainingCost for m in models]
+    return models[min(range(len(models)), key=lambda i: (costs[i], i))]
 
-def kmeans_sweep(z: DataFrame, cols: list[str], ks=range(2, 11), seed: int = 42) -> list[tuple]:
+
+def kmeans_sweep(z: DataFrame, cols: list[str], ks=range(2, 11), seed: int = 42,
+                 parallelism: int = 4) -> list[tuple]:
     """(k, inertia, silhouette) for each k; silhouette = squared-Euclidean, all rows."""
     a = assemble(z, cols).select("features").persist()
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
                              distanceMeasure="squaredEuclidean")
-    out = []
+
+    def one(k):
+        m = fit_kmeans(a, k, (seed,))
+        return (int(k), float(m.summary.trainingCost), float(ev.evaluate(m.transform(a))))
+
     try:
-        for k in ks:
-            m = fit_kmeans(a, k, (seed,))
-            out.append((int(k), float(m.summary.trainingCost), float(ev.evaluate(m.transform(a)))))
+        with ThreadPool(max(1, min(parallelism, len(ks)))) as pool:
+            out = pool.map(one, list(ks))
     finally:
         a.unpersist()
     return out
