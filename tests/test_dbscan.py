@@ -73,3 +73,29 @@ def test_connected_components_path(spark):
     assert len({lab[i] for i in range(20)}) == 1
     assert len({lab[i] for i in range(20, 40)}) == 1
     assert lab[0] != lab[39]
+
+
+def test_connected_components_random_graph(spark):
+    import random
+
+    rnd = random.Random(1)
+    ids = [rnd.randrange(1 << 40, 1 << 60) for _ in range(62)]
+    edges = [(rnd.choice(ids), rnd.choice(ids)) for _ in range(77)]
+    lab = {r["id"]: r["label"] for r in connected_components(
+        spark.createDataFrame([(i,) for i in ids], "id long"),
+        spark.createDataFrame(edges, "src long, dst long")).collect()}
+    par = {i: i for i in ids}
+
+    def find(x):
+        while par[x] != x:
+            par[x] = par[par[x]]
+            x = par[x]
+        return x
+
+    for a, b in edges:
+        par[find(a)] = find(b)
+    groups = {}
+    for i in ids:
+        groups.setdefault(find(i), set()).add(lab[i])
+    assert all(len(v) == 1 for v in groups.values())
+    assert len({next(iter(v)) for v in groups.values()}) == len(groups)
