@@ -60,8 +60,9 @@ def build_design(df: DataFrame, y: str, group: str, numeric: list[str],
     terms: list[str] = ["Intercept"]
     cat_exprs, cat_terms = [], []
     if categorical:
-        lv = levels if levels is not None else [
-            r[0] for r in d.select(categorical).distinct().orderBy(categorical).collect()]
+        from .features import levels as distinct_levels
+
+        lv = levels if levels is not None else distinct_levels(d, categorical)
         for v in lv[1:]:
             cat_terms.append(f"C({categorical})[T.{v}]")
             cat_exprs.append(F.when(F.col(categorical) == v, 1.0).otherwise(0.0))
