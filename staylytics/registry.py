@@ -8,6 +8,7 @@ columns are rounded to 6 digits for the engine-to-engine comparison.
 from __future__ import annotations
 
 import os
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -29,6 +30,7 @@ class Ctx:
     bronze: dict[str, DataFrame]
     models: Models
     memo: dict = field(default_factory=dict)
+    timing: dict = field(default_factory=dict)
 
     def once(self, key: str, fn):
         """Compute ``fn()`` once per context (model fits shared by several queries)."""
@@ -52,14 +54,17 @@ def context(spark: SparkSession, sf_dir: str) -> Ctx:
         # bronze and gold are written once, as the pipeline does, to a fresh folder under
         # the shared checkpoint folder; every query reads the written tables
         root = os.path.join(ensure_checkpoint_dir(spark), f"tables-{uuid.uuid4().hex[:12]}")
+        t0 = time.time()
         bronze = {}
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         for name, df in bronze_from_tpch(spark, sf_dir).items():
             # as land_bronze does after reading an unsplittable gzip file: spread the rows
             df.repartition(parts).write.mode("overwrite").parquet(os.path.join(root, "bronze", name))
             bronze[name] = spark.read.parquet(os.path.join(root, "bronze", name))
+        t_bronze = time.time()
         models = materialise(spark, bronze, os.path.join(root, "gold"))
         ctx = Ctx(spark, sf_dir, bronze, models)
+        ctx.timing = {"bronze_sec": t_bronze - t0, "gold_sec": time.time() - t_bronze}
         _CTX[key] = ctx
     return ctx
 
