@@ -78,22 +78,42 @@ def unique_failures(df: DataFrame, column: str) -> DataFrame:
 
 
 def schema_tests(models, tests=SCHEMA_TESTS) -> DataFrame:
-    """Run the key checks; one row per test with its failure count and PASS/FAIL."""
-    parts = []
-    by_model: dict[str, list[str]] = {}
+    """Run the key checks; one row per test with its failure count and PASS/FAIL.
+
+    One scan per model: with a unique test the rows are grouped by that key
+    (partially aggregated map-side) and the NULL counts of the not_null
+    columns ride along as per-key sums; without one, a single aggregate.
+    """
+    by_model: dict[str, dict] = {}
     for model, column, test in tests:
-        if test == "not_null":
-            by_model.setdefault(model, []).append(column)
+        spec = by_model.setdefault(model, {"unique": [], "not_null": []})
+        spec[test].append(column)
+    parts = []
+    for model, spec in by_model.items():
+        df = models[model]
+        nn = spec["not_null"]
+        if len(spec["unique"]) == 1:
+            key = spec["unique"][0]
+            g = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
+                                    *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(nn)])
+            agg = g.agg(F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias("u0"),
+                        *[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(nn))])
+            uniq = [(key, "u0")]
         else:
-            n = unique_failures(models[model], column).agg(F.count(F.lit(1)).alias("failures"))
-            parts.append(n.select(F.lit(model).alias("model"), F.lit(column).alias("column_name"),
-                                  F.lit(test).alias("test"), "failures"))
-    for model, cols in by_model.items():
-        agg = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
-        stack = "stack({}, {}) as (column_name, failures)".format(
-            len(cols), ", ".join(f"'{c}', n{i}" for i, c in enumerate(cols)))
+            agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(nn)])
+            uniq = []
+            for key in spec["unique"]:
+                n = unique_failures(df, key).agg(F.count(F.lit(1)).alias("failures"))
+                parts.append(n.select(F.lit(model).alias("model"), F.lit(key).alias("column_name"),
+                                      F.lit("unique").alias("test"), "failures"))
+        rows = [(c, f"u{j}", "unique") for j, (c, _) in enumerate(uniq)] + \
+               [(c, f"n{i}", "not_null") for i, c in enumerate(nn)]
+        if not rows:
+            continue
+        stack = "stack({}, {}) as (column_name, test, failures)".format(
+            len(rows), ", ".join(f"'{c}', '{t}', CAST({a} AS BIGINT)" for c, a, t in rows))
         parts.append(agg.selectExpr(f"'{model}' as model", stack)
-                     .select("model", "column_name", F.lit("not_null").alias("test"), "failures"))
+                     .select("model", "column_name", "test", "failures"))
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
 
