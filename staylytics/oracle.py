@@ -21,7 +21,7 @@ stg_reviews AS (
   SELECT o_custkey AS listing_id, o_orderkey AS review_id, CAST(o_orderdate AS DATE) AS date,
          o_orderkey % 5000 AS reviewer_id, o_orderpriority AS reviewer_name,
          'order ' || o_orderstatus AS comments
-  FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 4 <> 0
+  FROM orders WHERE o_orderstatus = 'F'
 ),
 stg_listings AS (
   SELECT c.c_custkey AS listing_id, c.c_name AS listing_name,
