@@ -148,3 +148,22 @@ def test_publish_tables(spark, src):
     assert names["dim_listings"] == "airbnb_gold.dim_listings"
     assert spark.table("airbnb_gold.fct_availability").count() == 3
     assert spark.sql("SELECT count(*) AS n FROM stg_listings").first()["n"] == 2
+
+
+def test_bucketed_tables_join_without_calendar_shuffle(spark, src):
+    from staylytics.plans.pipeline import run_pipeline_tables
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = run_pipeline_tables(spark, src, default_db="bk", buckets=4)
+        assert spark.table("airbnb_gold.fct_availability").count() == 3
+        plan = m.marts["fct_availability"]._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert "Exchange" not in plan          # both sides read as co-located buckets
+        dl = {r["listing_id"]: r for r in spark.table("airbnb_gold.dim_listings").collect()}
+        assert dl[1]["total_reviews"] == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
