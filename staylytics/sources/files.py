@@ -146,10 +146,24 @@ def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """A reproducible subsample of n rows without replacement.
 
-    Rows are ranked by a seeded hash of the key (key as tie-break); the
-    limit runs as a distributed top-n (each task keeps n, one merge).
+    Rows are ranked by a seeded hash of the key (key as tie-break) and the n
+    smallest kept. To keep the final top-n merge small on any number of input
+    partitions, a hash threshold t at about 2n/N is found first (approximate
+    quantile); if at least n rows have hash <= t, the n smallest overall are
+    all among them, so filtering first changes nothing. Otherwise the plain
+    distributed top-n runs.
     """
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    h = F.xxhash64(F.col(key), F.lit(seed))
+    hashed = df.select("*", h.alias("_h"))
+    st = hashed.agg(F.count(F.lit(1)).alias("N")).first()
+    total = int(st["N"])
+    out = hashed
+    if total > 4 * n:
+        t = hashed.agg(F.percentile_approx("_h", min(1.0, 2.0 * n / total), 10000).alias("t")).first()["t"]
+        kept = hashed.where(F.col("_h") <= F.lit(t))
+        if kept.count() >= n:
+            out = kept
+    return out.orderBy("_h", key).limit(n).drop("_h")
 
 
 def extract_all(models, out_dir: str, availability_fraction: float | None = None) -> dict[str, str]:

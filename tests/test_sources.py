@@ -5,6 +5,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from staylytics.plans.pipeline import build, target_database
 from staylytics.sources import files as FS
@@ -167,3 +168,11 @@ def test_bucketed_tables_join_without_calendar_shuffle(spark, src):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_hash_sample_exact(spark):
+    df = spark.range(0, 20000).withColumnRenamed("id", "k").repartition(7)
+    got = FS.hash_sample(df, "k", 300)
+    plain = df.orderBy(F.xxhash64(F.col("k"), F.lit(42)), F.col("k")).limit(300)
+    assert sorted(r["k"] for r in got.collect()) == sorted(r["k"] for r in plain.collect())
+    assert FS.hash_sample(df.limit(500), "k", 300).count() == 300
