@@ -67,13 +67,21 @@ def kruskal(d: DataFrame) -> DataFrame:
                      corr.alias("tie_correction"), n.alias("n"), "k")
 
 
-def tukey_pairs(d: DataFrame) -> DataFrame:
+# Tukey compares every pair of groups; the group summary that is broadcast for the
+# pair join is checked against this bound first (500 groups = 124,750 pairs)
+MAX_TUKEY_GROUPS = 500
+
+
+def tukey_pairs(d: DataFrame, max_groups: int = MAX_TUKEY_GROUPS) -> DataFrame:
     """T4 (SQL part): every pair of groups g1 < g2 with mean difference, SE and q.
 
     Joins the k-row group summary with itself: k(k-1)/2 pairs of groups,
-    never pairs of rows.
+    never pairs of rows. k is checked (bounded count) before the broadcast.
     """
     gs = group_stats(d)
+    k = gs.select("g").limit(max_groups + 1).count()
+    if k > max_groups:
+        raise ValueError(f"Tukey HSD over more than {max_groups} groups; select the top groups first")
     t = anova_table(d)
     mse = t.select(F.col("ssw") / F.col("df_within")).scalar()
     a, b = gs.alias("a"), F.broadcast(gs.alias("b"))
