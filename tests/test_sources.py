@@ -136,6 +136,8 @@ def test_run_pipeline(spark, src, tmp_path):
     assert all("airbnb_gold" in p for p in paths.values())
     fa = spark.read.parquet(paths["fct_availability"])
     assert fa.count() == 3 and fa.where("listing_name IS NULL").count() == 0
+    plan = fa.where("year = 2024 AND month = 12").select("price_usd")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "ReadSchema: struct<price_usd:double>" in plan
     dl = {r["listing_id"]: r for r in spark.read.parquet(paths["dim_listings"]).collect()}
     assert dl[1]["total_reviews"] == 2 and dl[2]["total_reviews"] == 0
     assert dl[2]["current_price"] == 0.0
