@@ -16,8 +16,8 @@ SOURCES = {
     "raw_neighbourhoods": "raw_neighbourhoods",
 }
 
-# fixed values: layer -> database name, as the reference's routing macro maps them
-LAYER_DATABASES = {"silver": "airbnb_silver", "gold": "airbnb_gold"}
+# layer -> database name (the routing rule: silver and gold have fixed names)
+LAYER_DATABASES = {"silver": "rentals_silver", "gold": "rentals_gold"}
 
 STAGING_MODELS = ("stg_listings", "stg_calendar", "stg_reviews", "stg_neighbourhoods")
 MART_MODELS = ("dim_listings", "dim_hosts", "dim_neighbourhoods", "fct_reviews", "fct_availability")
@@ -105,7 +105,7 @@ def materialise(spark: SparkSession, bronze: dict[str, DataFrame], gold_dir: str
     return models
 
 
-def run_pipeline(spark: SparkSession, src_dir: str, out_root: str, default_db: str = "airbnb",
+def run_pipeline(spark: SparkSession, src_dir: str, out_root: str, default_db: str = "rentals",
                  days: int = 30, default_group: str = "London") -> dict[str, str]:
     """Raw files -> bronze Parquet -> staging views -> gold Parquet tables.
 
@@ -124,7 +124,7 @@ def run_pipeline(spark: SparkSession, src_dir: str, out_root: str, default_db: s
     return {name: os.path.join(gold_dir, name) for name in MART_MODELS}
 
 
-def publish_tables(spark: SparkSession, models: Models, default_db: str = "airbnb") -> dict[str, str]:
+def publish_tables(spark: SparkSession, models: Models, default_db: str = "rentals") -> dict[str, str]:
     """Save every mart as a catalog table in its layer's database (full overwrite).
 
     Staging stays a set of views (S6); marts go to ``target_database('gold', ...)``.
@@ -144,7 +144,7 @@ def publish_tables(spark: SparkSession, models: Models, default_db: str = "airbn
     return out
 
 
-def run_pipeline_tables(spark: SparkSession, src_dir: str, default_db: str = "airbnb", buckets: int | None = None,
+def run_pipeline_tables(spark: SparkSession, src_dir: str, default_db: str = "rentals", buckets: int | None = None,
                         days: int = 30, default_group: str = "London") -> Models:
     """Catalog-table pipeline with the calendar and ``dim_listings`` bucketed by listing_id.
 

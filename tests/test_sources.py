@@ -123,8 +123,8 @@ def test_marts_written_and_extract(spark, src, tmp_path):
 
 def test_layer_routing():
     assert target_database(None, "proj") == "proj"
-    assert target_database("silver", "proj") == "airbnb_silver"
-    assert target_database("gold", "proj") == "airbnb_gold"
+    assert target_database("silver", "proj") == "rentals_silver"
+    assert target_database("gold", "proj") == "rentals_gold"
     assert target_database(" staging ", "proj") == "proj_staging"
 
 
@@ -133,7 +133,7 @@ def test_run_pipeline(spark, src, tmp_path):
 
     paths = run_pipeline(spark, src, str(tmp_path / "wh"))
     assert set(paths) == {"dim_listings", "dim_hosts", "dim_neighbourhoods", "fct_reviews", "fct_availability"}
-    assert all("airbnb_gold" in p for p in paths.values())
+    assert all("rentals_gold" in p for p in paths.values())
     fa = spark.read.parquet(paths["fct_availability"])
     assert fa.count() == 3 and fa.where("listing_name IS NULL").count() == 0
     plan = fa.where("year = 2024 AND month = 12").select("price_usd")._jdf.queryExecution().executedPlan().toString()
@@ -148,8 +148,8 @@ def test_publish_tables(spark, src):
 
     m = build(FS.read_raw(spark, src))
     names = publish_tables(spark, m)
-    assert names["dim_listings"] == "airbnb_gold.dim_listings"
-    assert spark.table("airbnb_gold.fct_availability").count() == 3
+    assert names["dim_listings"] == "rentals_gold.dim_listings"
+    assert spark.table("rentals_gold.fct_availability").count() == 3
     assert spark.sql("SELECT count(*) AS n FROM stg_listings").first()["n"] == 2
 
 
@@ -161,11 +161,11 @@ def test_bucketed_tables_join_without_calendar_shuffle(spark, src):
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
         m = run_pipeline_tables(spark, src, default_db="bk", buckets=4)
-        assert spark.table("airbnb_gold.fct_availability").count() == 3
+        assert spark.table("rentals_gold.fct_availability").count() == 3
         plan = m.marts["fct_availability"]._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan
         assert "Exchange" not in plan          # both sides read as co-located buckets
-        dl = {r["listing_id"]: r for r in spark.table("airbnb_gold.dim_listings").collect()}
+        dl = {r["listing_id"]: r for r in spark.table("rentals_gold.dim_listings").collect()}
         assert dl[1]["total_reviews"] == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
