@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+import os
+
+from . import decontaminate, token_counts
 from .common import table
 
+#: Where the vocabulary files of the public tokenizers are.
+TOKENIZERS = os.environ.get("STAYLYTICS_TOKENIZERS", "/opt/tokenizers")
+
 QUERIES = {}
 ORACLE = {}
 
 
+def tokenizer(name: str) -> str:
+    """The place of a vocabulary file; the public_tokenizers module knows it where it is installed."""
+    try:
+        from public_tokenizers import path
+    except ModuleNotFoundError:
+        return os.path.join(TOKENIZERS, name)
+    return path(name)
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -43,3 +57,8 @@ FROM d LEFT JOIN hit USING (rid) LEFT JOIN ids USING (rid)
 """)
 def op10_decontaminate(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_token_counts")
+def op5_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
