@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from . import decontaminate, token_counts
+from . import decontaminate, quality_rules, token_counts
 from .common import table
 
 #: Where the vocabulary files of the public tokenizers are.
@@ -62,3 +62,43 @@ def op10_decontaminate(spark, sf_dir):
 @query("op5_token_counts")
 def op5_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+SIGNALS = quality_rules.SIGNALS
+
+
+@query("op6_quality_rules", rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t,
+                  list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+           FROM documents),
+windows AS (SELECT rid, i, array_to_string(w[i:i + 7], ' ') AS g FROM d, unnest(range(1, len(w) - 6)) AS t(i) WHERE len(w) >= 8),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT rid, count(DISTINCT i + k) AS n FROM twice, unnest(range(0, 8)) AS t(k) GROUP BY rid),
+c AS (SELECT rid, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines,
+             length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(t, '[^!?]', '', 'g')) AS n_marks,
+             len(list_filter(w, lambda x, i: x = w[i - 1] AND i > 1)) AS n_echoes
+      FROM d LEFT JOIN covered USING (rid)),
+s AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+             n_symbols / greatest(n_words, 1) AS symbol_share, n_upper / greatest(word_chars, 1) AS upper_share,
+             n_marks / greatest(n_words, 1) AS mark_share, n_dup_lines / greatest(n_lines, 1) AS dup_line_share,
+             n_echoes / greatest(n_words, 1) AS echo_share, word_chars / greatest(n_words, 1) AS mean_word FROM c),
+g AS (SELECT lang, source, count(*) AS n, {", ".join(f"quantile_disc({x}, 0.25) AS {x}_l, quantile_disc({x}, 0.75) AS {x}_h" for x in SIGNALS)}
+      FROM s WHERE NOT base_failed GROUP BY lang, source),
+a AS (SELECT lang, {", ".join(f"quantile_disc({x}, 0.25) AS {x}_l, quantile_disc({x}, 0.75) AS {x}_h" for x in SIGNALS)}
+      FROM s WHERE NOT base_failed GROUP BY lang),
+b AS (SELECT g.lang, g.source, {", ".join(
+    f"CASE WHEN n < {quality_rules.MIN_GROUP} THEN a.{x}_{q} ELSE g.{x}_{q} END AS {x}_{q}" for x in SIGNALS for q in "lh")}
+      FROM g JOIN a ON g.lang IS NOT DISTINCT FROM a.lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce({" AND ".join(
+    f"{x} <= {x}_h + {quality_rules.SPREAD}::DOUBLE * ({x}_h - {x}_l) + {k}::DOUBLE" for x, k in SIGNALS.items())}
+           AND mean_word >= mean_word_l - {quality_rules.SPREAD}::DOUBLE * (mean_word_h - mean_word_l) - {SIGNALS["mean_word"]}::DOUBLE, true) AS kept
+FROM s LEFT JOIN b ON s.lang IS NOT DISTINCT FROM b.lang AND s.source IS NOT DISTINCT FROM b.source
+""")
+def op6_quality_rules(spark, sf_dir):
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
