@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from . import decontaminate, quality_rules, token_counts
+from . import decontaminate, mixing, quality_rules, token_counts
 from .common import table
 
 #: Where the vocabulary files of the public tokenizers are.
@@ -102,3 +102,29 @@ FROM s LEFT JOIN b ON s.lang IS NOT DISTINCT FROM b.lang AND s.source IS NOT DIS
 """)
 def op6_quality_rules(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+@query("op7_mixing", r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source,
+                  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+                  md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS o FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS number
+      FROM d GROUP BY source),
+w AS (SELECT *, [1.0, 2.0, 3.0][(number - 1) % 3 + 1]::DOUBLE AS weight, CAST(3 * source_size AS DOUBLE) AS most FROM s),
+f AS (SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) AS budget, sum(weight) OVER () AS weights,
+             sum(most) OVER (ORDER BY most / weight, number) AS full_words,
+             sum(weight) OVER (ORDER BY most / weight, number) AS full_weight FROM w),
+l AS (SELECT *, (budget - (full_words - most)) / (weights - (full_weight - weight)) AS level FROM f),
+one AS (SELECT level FROM l WHERE level * weight <= most ORDER BY full_words, number LIMIT 1),
+t AS (SELECT source, source_size, number, budget, least(most, one.level * weight) AS target FROM l, one),
+p AS (SELECT rid, doc_id, d.source, size, source_size, number, target, budget, o,
+             sum(size) OVER (PARTITION BY number ORDER BY o, rid) AS upto
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT rid, size, number, pass, upto, o, budget, CAST(pass * source_size + upto AS DOUBLE) / target AS finish
+      FROM p, range(0, 3) AS k(pass) WHERE size > 0),
+m AS (SELECT rid, size, budget, sum(size) OVER (ORDER BY finish, number, pass, upto, o) AS mixed FROM e),
+x AS (SELECT rid, sum(size) AS taken FROM m WHERE mixed <= budget GROUP BY rid)
+SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken FROM p LEFT JOIN x USING (rid)
+""")
+def op7_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
