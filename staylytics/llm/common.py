@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import sysconfig
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +35,25 @@ def fresh(columns, name: str) -> str:
     return name
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches are cut by bytes, so that a worker's memory does not follow the longest texts."""
+def prepare_workers(spark: SparkSession) -> None:
+    """For jobs with Python in their tasks.
+
+    Arrow batches are cut by bytes, so that a worker's memory does not
+    follow the longest texts. Where the workers would not find this
+    package (it is neither installed nor on PYTHONPATH), Spark sends it.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    package = Path(__file__).resolve().parents[1]
+    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep), *sysconfig.get_paths().values()]
+    sc = spark.sparkContext
+    if str(package.parent) in map(os.path.realpath, found) or getattr(sc, "_staylytics_sent", False):
+        return
+    name = os.path.join(tempfile.mkdtemp(prefix="staylytics-code-"), "staylytics.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(name)
+    sc._staylytics_sent = True
 
 
 def words_array(text: Column) -> Column:
@@ -76,7 +97,7 @@ def map_texts(df: DataFrame, text_col: str, keep: list[str], fields: list[T.Stru
     text array of a batch to one array for each field. Field names must
     not clash with ``keep`` (use ``fresh``). No row is added or lost.
     """
-    bounded_batches(df.sparkSession)
+    prepare_workers(df.sparkSession)
     if text_col in keep:
         src, at = df.select(*[F.col(f"`{c}`") for c in keep]), keep.index(text_col)
     else:

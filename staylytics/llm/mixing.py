@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from staylytics.session import cut_lineage
 
-from .common import SPACE, fresh
+from .common import SPACE, fresh, prepare_workers
 
 WEIGHTS = (1.0, 2.0, 3.0)
 PASSES = 3
@@ -68,6 +68,7 @@ def running_total(df: DataFrame, order: list[str], value: str, name: str) -> Dat
 
     Rows that are equal in ``order`` come one after another in any order.
     """
+    prepare_workers(df.sparkSession)
     part = fresh(df.columns, "part")
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(part, F.spark_partition_id())
     ranged = cut_lineage(ranged)  # range bounds come from a sample, so the partitions are fixed by writing them

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from . import decontaminate, mixing, quality_rules, token_counts
+from . import decontaminate, language, mixing, quality_rules, token_counts
 from .common import table
 
 #: Where the vocabulary files of the public tokenizers are.
@@ -128,3 +128,8 @@ SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS
 """)
 def op7_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+
+
+@query("op4_language_id")
+def op4_language_id(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_texts, raw_text
+from .common import map_texts, prepare_workers, raw_text
 
 #: Bound of the sample that fills the broadcast table, and of the table.
 SAMPLE_DOCS, SAMPLE_WORDS, TABLE_WORDS = 2048, 256, 1 << 16
@@ -104,6 +104,7 @@ _CACHES: dict[str, Lengths] = {}
 
 def frequent_lengths(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> dict[str, int]:
     """The broadcast table: lengths of pre-tokens that are frequent in a bounded sample."""
+    prepare_workers(docs.sparkSession)
     n = docs.count()
     step = max(1, -(-n // SAMPLE_DOCS))
     some = docs.where(F.col(text_col).isNotNull() & (F.pmod(F.xxhash64(F.col(id_col)), F.lit(step)) == 0))
