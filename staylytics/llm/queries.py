@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from . import decontaminate, language, mixing, quality_rules, token_counts
+from . import classifier, decontaminate, language, mixing, quality_rules, token_counts
 from .common import table
 
 #: Where the vocabulary files of the public tokenizers are.
@@ -133,3 +133,8 @@ def op7_mixing(spark, sf_dir):
 @query("op4_language_id")
 def op4_language_id(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(spark, sf_dir):
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
