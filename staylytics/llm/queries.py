@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from . import classifier, decontaminate, language, mixing, quality_rules, token_counts
+from . import classifier, decontaminate, language, mixing, quality_rules, token_counts, url_rules
 from .common import table
 
 #: Where the vocabulary files of the public tokenizers are.
@@ -138,3 +138,8 @@ def op4_language_id(spark, sf_dir):
 @query("op9_quality_classifier")
 def op9_quality_classifier(spark, sf_dir):
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_url_rules")
+def op2_url_rules(spark, sf_dir):
+    return url_rules.judge(table(spark, sf_dir, "pages"))
