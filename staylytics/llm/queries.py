@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
+import re
 
-from . import classifier, decontaminate, language, mixing, quality_rules, token_counts, url_rules
+from . import classifier, decontaminate, language, licenses, mixing, quality_rules, token_counts, url_rules
 from .common import table
 
 #: Where the vocabulary files of the public tokenizers are.
@@ -143,3 +145,45 @@ def op9_quality_classifier(spark, sf_dir):
 @query("op2_url_rules")
 def op2_url_rules(spark, sf_dir):
     return url_rules.judge(table(spark, sf_dir, "pages"))
+
+
+def _canonical_line(text: str) -> str:
+    """One notice made canonical as the operator does, for the SQL side."""
+    t = re.sub("[^0-9a-z\x80-\U0010ffff]+", " ", text.translate(str.maketrans(licenses.UPPER, licenses.LOWER))).strip()
+    for a, b in licenses.SPELLINGS:
+        t = t.replace(a, b)
+    return t
+
+
+def _alike_sql(text: str) -> str:
+    for a, b in licenses.SPELLINGS:
+        text = f"replace({text}, '{a}', '{b}')"
+    return text
+
+
+def _licenses_sql() -> str:
+    known = {}
+    for license_id, text in licenses.notices():
+        known.setdefault(hashlib.sha256(_canonical_line(text).encode()).hexdigest(), license_id)
+    known = ", ".join(f"('{d}', '{i}')" for d, i in sorted(known.items()))
+    texts = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in licenses.TEXTS)
+    strict = ", ".join(f"'{i}'" for i, k in licenses.kinds().items() if k != "permissive")
+    clean = (r"regexp_replace(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             rf"'{licenses.COPYRIGHT}', '\1', 'g'), '{licenses.PUNCTUATION}', ' ', 'g')")
+    lines = f"list_filter(list_transform(string_split({_alike_sql(clean)}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')"
+    whole = "sha256(" + _alike_sql(f"array_to_string(list_filter(lines, lambda x: x <> '{licenses.RESERVED}'), ' ')") + ")"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {lines} AS lines FROM documents),
+k AS (SELECT * FROM (VALUES {known}) AS t(digest, license_id)),
+w AS (SELECT {whole} AS digest, min(i) AS license_id FROM (SELECT i, {lines} AS lines FROM (VALUES {texts}) AS t(i, text)) GROUP BY 1),
+n AS (SELECT rid, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS ids, bool_or(license_id IN ({strict})) AS strict
+      FROM (SELECT rid, sha256(unnest(lines)) AS digest FROM d) JOIN k USING (digest) GROUP BY rid)
+SELECT doc_id, dg AS digest, w.license_id, coalesce(ids, '') AS notices,
+       coalesce(strict, false) OR coalesce(w.license_id IN ({strict}), false) AS restricted
+FROM (SELECT *, {whole} AS dg FROM d) LEFT JOIN w ON dg = w.digest LEFT JOIN n USING (rid)
+"""
+
+
+@query("op1_license_scan", _licenses_sql())
+def op1_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
