@@ -6,7 +6,7 @@ import hashlib
 import os
 import re
 
-from . import classifier, decontaminate, language, licenses, mixing, quality_rules, token_counts, url_rules
+from . import classifier, decontaminate, language, licenses, line_dedup, mixing, quality_rules, token_counts, url_rules
 from .common import table
 
 #: Where the vocabulary files of the public tokenizers are.
@@ -187,3 +187,25 @@ FROM (SELECT *, {whole} AS dg FROM d) LEFT JOIN w ON dg = w.digest LEFT JOIN n U
 @query("op1_license_scan", _licenses_sql())
 def op1_license_scan(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op8_line_dedup", r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+l AS (SELECT rid, doc_id, i - 1 AS i, trim(lines[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS x
+      FROM d, unnest(range(1, len(lines) + 1)) AS t(i)),
+w AS (SELECT rid, doc_id, i, x, count(*) OVER p AS n, lead(i, 1) OVER o AS i2, lead(i, 2) OVER o AS i3, lead(x, 1) OVER o AS x2,
+             lead(x, 2) OVER o AS x3, row_number() OVER o AS k
+      FROM l WHERE x <> '' WINDOW o AS (PARTITION BY rid ORDER BY i), p AS (PARTITION BY rid)),
+v AS (SELECT rid, doc_id, i AS a, coalesce(i3, i2, i) AS b, [x, x2, x3] AS g FROM w WHERE i3 IS NOT NULL OR k = 1
+      UNION ALL
+      SELECT rid, doc_id, i, i, [x, NULL, NULL] FROM w WHERE n > 1 AND len(regexp_split_to_array(x, '[\x20\x09-\x0D]+')) >= 50),
+r AS (SELECT rid, a, b, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, rid, a) AS nth FROM v),
+c AS (SELECT rid, list(DISTINCT i) AS gone FROM r, unnest(range(a, b + 1)) AS t(i) WHERE nth > 1 GROUP BY rid),
+f AS (SELECT doc_id, lines, gone, CASE WHEN gone IS NULL THEN coalesce(text, '') ELSE coalesce(array_to_string(
+             list_filter(lines, lambda x, i: NOT list_contains(gone, i - 1)), chr(10)), '') END AS t
+      FROM d LEFT JOIN c USING (rid))
+SELECT doc_id, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       CAST(length(t) AS BIGINT) AS n_chars_left, sha256(t) AS sha256_left FROM f
+""")
+def op8_line_dedup(spark, sf_dir):
+    return line_dedup.report(table(spark, sf_dir, "documents"))
