@@ -29,60 +29,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import chunks, fresh, map_texts, raw_text
+from .rolling import ALNUM, find_words, window_hashes, word_hashes
 
 WINDOW = 13
 MAX_BLOCK_WORDS = 1 << 20
 
-_B, _D = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_IS_WORD = np.zeros(256, bool)
-_IS_WORD[48:58] = _IS_WORD[97:123] = _IS_WORD[128:] = True
-_BYTE = np.random.default_rng(7).integers(1, 2 ** 63, 256).astype(np.uint64)
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and its inverse modulo 2^64 for i < n; kept for the next batch unless one text needed far more."""
-    have = _POWERS.get(int(base))
-    if have is None or len(have[0]) < n:
-        inverse = np.uint64(pow(int(base), -1, 1 << 64))
-        have = tuple(np.concatenate([[np.uint64(1)], np.cumprod(np.full(n - 1, b, np.uint64))]) if n > 1
-                     else np.ones(1, np.uint64) for b in (base, inverse))
-        if n <= 1 << 22:
-            _POWERS[int(base)] = have
-    return have
-
-
-def find_words(raw: np.ndarray, offsets: np.ndarray):
-    """(lower-cased bytes, word starts, word ends, text number of each word)."""
-    low = _LOWER[raw]
-    w = np.zeros(len(low) + 2, bool)
-    w[1:-1] = _IS_WORD[low]
-    first, last = w[1:-1] & ~w[:-2], w[1:-1] & ~w[2:]
-    cut = offsets[(offsets > 0) & (offsets < len(low))]  # a word does not run on into the next text
-    first[cut] = w[cut + 1]
-    last[cut - 1] = w[cut]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    return low, starts, ends, np.searchsorted(offsets, starts, side="right") - 1
-
-
-def word_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    power, inverse = _powers(_B, len(low) + 1)
-    total = np.zeros(len(low) + 1, np.uint64)
-    np.cumsum(_BYTE[low] * power[:len(low)], out=total[1:])
-    h = (total[ends] - total[starts]) * inverse[starts]
-    return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-
-
-def window_hashes(words: np.ndarray, lengths) -> dict[int, np.ndarray]:
-    """The hash of the window of each length that begins at each word."""
-    power, inverse = _powers(_D, len(words) + 1)
-    total = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(words * power[:len(words)], out=total[1:])
-    return {n: (total[n:] - total[:-n]) * inverse[:max(0, len(words) + 1 - n)] for n in lengths if n <= len(words)}
-
-
 @dataclass
 class Block:
     """Windows of some items: by length, the sorted hashes, and the words of each window with its item ids."""
@@ -93,7 +44,7 @@ class Block:
 
     def add(self, item_id: str, text: str) -> None:
         raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-        low, starts, ends, _ = find_words(raw, np.array([0, len(raw)]))
+        low, starts, ends, _ = find_words(raw, np.array([0, len(raw)]), ALNUM)
         if not len(starts):
             return
         n = min(WINDOW, len(starts))
@@ -137,7 +88,7 @@ def _scanner(block_b):
         n_words, spans, items = np.zeros(len(texts), np.int64), [[] for _ in range(len(texts))], [[] for _ in range(len(texts))]
         for i, j in chunks(offsets):
             at = offsets[i:j + 1] - offsets[i]
-            low, starts, ends, of = find_words(raw[offsets[i]:offsets[j]], at)
+            low, starts, ends, of = find_words(raw[offsets[i]:offsets[j]], at, ALNUM)
             n_words[i:j] = np.bincount(of, minlength=j - i)
             if not len(starts):
                 continue
@@ -247,7 +198,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text
                     out.append(None)
                     continue
                 body = raw[offsets[d]:offsets[d + 1]]
-                _, starts, ends, _ = find_words(body, np.array([0, len(body)]))
+                _, starts, ends, _ = find_words(body, np.array([0, len(body)]), ALNUM)
                 left, at = [], 0
                 for s in hit:
                     left.append(body[at:starts[s["start"]]].tobytes())
