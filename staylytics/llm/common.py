@@ -80,11 +80,11 @@ def raw_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
-def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of at most ``limit`` bytes, one row at least."""
+def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES, rows: int = 1 << 15) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``rows`` rows and ``limit`` bytes, one row at least."""
     i, n = 0, len(offsets) - 1
     while i < n:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, side="right")) - 1)
+        j = min(i + rows, max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, side="right")) - 1))
         yield i, min(j, n)
         i = min(j, n)
 

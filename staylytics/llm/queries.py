@@ -6,7 +6,7 @@ import hashlib
 import os
 import re
 
-from . import classifier, decontaminate, language, licenses, line_dedup, mixing, quality_rules, token_counts, url_rules
+from . import classifier, decontaminate, language, licenses, line_dedup, mixing, neardup, quality_rules, token_counts, url_rules
 from .common import table
 
 #: Where the vocabulary files of the public tokenizers are.
@@ -209,3 +209,8 @@ SELECT doc_id, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines, CAST(coalesce
 """)
 def op8_line_dedup(spark, sf_dir):
     return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+@query("op3_near_duplicates")
+def op3_near_duplicates(spark, sf_dir):
+    return neardup.report(table(spark, sf_dir, "documents"))
