@@ -29,11 +29,13 @@ def round_half_away(c: ColumnOrName, digits: int) -> Column:
     """Round half away from zero, computed in binary floating point.
 
     ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d`` gives bit-identical
-    results in every IEEE engine, unlike decimal-string rounding.
+    results in every IEEE engine, unlike decimal-string rounding. From
+    2^53 on a scaled double has no fraction, so x is already rounded.
     """
     x = _c(c)
     scale = float(10 ** digits)
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    rounded = F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    return F.when(F.abs(x) * F.lit(scale) >= F.lit(float(2 ** 53)), x).otherwise(rounded)
 
 
 def nullif_zero(c: ColumnOrName) -> Column:

@@ -1,9 +1,8 @@
 """Descriptive analysis (E1-E34): univariate, bivariate and multivariate frames.
 
-Every statistic runs over all qualifying rows. Per-group quantiles use
-``percentile_approx`` (a mergeable sketch, partially aggregated map-side,
-so one hot group does not gather its values in one task); global
-quantiles that must be exact use ``operators.quantiles``.
+Every statistic runs over all qualifying rows. Quantiles, whole or by
+group, are exact at any size (``operators.quantiles``): no group gathers
+its values in one task.
 Small results are ordered; row-level results are left unordered.
 """
 
@@ -13,18 +12,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import capped, nullif_zero, round_half_away, safe_corr
-from .quantiles import quantile_row
+from .quantiles import group_quantiles, quantile_row
 
 PRICE = "avg_price_next_30_days"
 RATE = "availability_rate_next_30_days"
-ACCURACY = 10000  # sketch size per group; exact while a group has <= ACCURACY rows
 
 # fixed values: labels of the price quintiles
 QUINTILE_LABELS = ["Q1 cheapest", "Q2", "Q3", "Q4", "Q5 priciest"]
 
 
-def _q(col: str, p: float, accuracy: int = ACCURACY):
-    return F.percentile_approx(col, p, accuracy)
+def _with_quantiles(d: DataFrame, keys: list[str], col: str, probs: dict[str, float], aggs: list, digits: int | None = 2) -> DataFrame:
+    """``aggs`` by group and the named exact quantiles of ``col``, rounded to ``digits`` (None: as they are)."""
+    base, q = d.groupBy(*keys).agg(*aggs), group_quantiles(d, keys, col, probs)
+    kind = d.schema[col].dataType
+    fix = lambda c: round_half_away(c, digits) if digits is not None else c.cast(kind)
+    if not keys:
+        row = q.first()  # a few scalars
+        return base.select("*", *[fix(F.lit(row[n] if row else None).cast("double")).alias(n) for n in probs])
+    b, q = base.alias("b"), q.alias("q")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"b.{k}").eqNullSafe(F.col(f"q.{k}"))
+    return b.join(q, same, "left").select("b.*", *[fix(F.col(f"q.{n}")).alias(n) for n in probs])
 
 
 def _price_between(df: DataFrame, lo: float, hi: float) -> DataFrame:
@@ -36,15 +45,11 @@ def _price_between(df: DataFrame, lo: float, hi: float) -> DataFrame:
 def price_stats(dl: DataFrame) -> DataFrame:
     """E1."""
     d = dl.filter(F.col(PRICE).isNotNull() & (F.col(PRICE) > 0))
-    return d.agg(
+    return _with_quantiles(d, [], PRICE, {"median": 0.5, "p25": 0.25, "p75": 0.75, "p99": 0.99}, [
         round_half_away(F.avg(PRICE), 2).alias("mean"),
-        round_half_away(_q(PRICE, 0.5), 2).alias("median"),
         round_half_away(F.stddev_samp(PRICE), 2).alias("std"),
-        round_half_away(_q(PRICE, 0.25), 2).alias("p25"),
-        round_half_away(_q(PRICE, 0.75), 2).alias("p75"),
-        round_half_away(_q(PRICE, 0.99), 2).alias("p99"),
         F.count(F.lit(1)).alias("n_listings"),
-    )
+    ])
 
 
 def price_hist(dl: DataFrame, width: float = 20.0, lo: float = 1, hi: float = 1000) -> DataFrame:
@@ -78,12 +83,11 @@ def top_neighbourhoods(dl: DataFrame, k: int = 20) -> DataFrame:
 
 def review_stats(dl: DataFrame) -> DataFrame:
     """E6."""
-    return dl.agg(
+    return _with_quantiles(dl, [], "total_reviews", {"median": 0.5}, [
         round_half_away(F.avg("total_reviews"), 2).alias("mean"),
-        _q("total_reviews", 0.5).alias("median"),
         round_half_away(F.count_if(F.col("total_reviews") == 0) * 100.0 / F.count(F.lit(1)), 1)
         .alias("pct_zero"),
-    )
+    ], digits=None)
 
 
 def review_hist(dl: DataFrame, width: int = 10, cap: int = 200) -> DataFrame:
@@ -95,11 +99,10 @@ def review_hist(dl: DataFrame, width: int = 10, cap: int = 200) -> DataFrame:
 def min_nights_stats(dl: DataFrame) -> DataFrame:
     """E8."""
     n = F.count(F.lit(1))
-    return dl.agg(
-        _q("minimum_nights", 0.5).alias("median"),
+    return _with_quantiles(dl, [], "minimum_nights", {"median": 0.5}, [
         round_half_away(F.count_if(F.col("minimum_nights") == 1) * 100.0 / n, 1).alias("pct_1_night"),
         round_half_away(F.count_if(F.col("minimum_nights") >= 30) * 100.0 / n, 1).alias("pct_30plus"),
-    )
+    ], digits=None)
 
 
 def min_nights_hist(dl: DataFrame, cap: int = 30) -> DataFrame:
@@ -111,8 +114,7 @@ def min_nights_hist(dl: DataFrame, cap: int = 30) -> DataFrame:
 def availability_stats(dl: DataFrame) -> DataFrame:
     """E10."""
     d = dl.filter(F.col(RATE).isNotNull())
-    return d.agg(round_half_away(F.avg(RATE), 3).alias("mean"),
-                 round_half_away(_q(RATE, 0.5), 3).alias("median"))
+    return _with_quantiles(d, [], RATE, {"median": 0.5}, [round_half_away(F.avg(RATE), 3).alias("mean")], digits=3)
 
 
 def availability_hist(dl: DataFrame) -> DataFrame:
@@ -149,24 +151,22 @@ def price_norm(dl: DataFrame, lo_p: float = 0.05, hi_p: float = 0.95) -> DataFra
 
 # ---- bivariate ------------------------------------------------------------
 
-def _quartiles(col: str = PRICE):
-    return [round_half_away(_q(col, 0.25), 2).alias("p25"),
-            round_half_away(_q(col, 0.5), 2).alias("median"),
-            round_half_away(_q(col, 0.75), 2).alias("p75")]
+# fixed values: names of the quartile columns
+QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
 
 
 def price_by_room_type(dl: DataFrame) -> DataFrame:
     """E14."""
     d = _price_between(dl, 1, 2000)
-    return d.groupBy("room_type").agg(*_quartiles(), round_half_away(F.avg(PRICE), 2).alias("mean"),
-                                      F.count(F.lit(1)).alias("n")) \
+    return _with_quantiles(d, ["room_type"], PRICE, QUARTILES, [
+        round_half_away(F.avg(PRICE), 2).alias("mean"), F.count(F.lit(1)).alias("n")]) \
         .orderBy(F.desc("median"), "room_type")
 
 
 def price_by_neighbourhood(dl: DataFrame, min_n: int = 100, k: int = 20) -> DataFrame:
     """Quartiles by neighbourhood with at least ``min_n`` listings, top k by median."""
     d = _price_between(dl, 1, 2000)
-    return d.groupBy("neighbourhood").agg(*_quartiles(), F.count(F.lit(1)).alias("n")) \
+    return _with_quantiles(d, ["neighbourhood"], PRICE, QUARTILES, [F.count(F.lit(1)).alias("n")]) \
         .filter(F.col("n") >= min_n).orderBy(F.desc("median"), F.asc_nulls_last("neighbourhood")).limit(k)
 
 
@@ -239,6 +239,7 @@ def peak_review_month(fr: DataFrame, start: str = "2018-01-01") -> DataFrame:
     return monthly_reviews(fr, start).orderBy(F.desc("reviews"), "yr_mo").limit(1)
 
 
+# fixed values: result names and the columns they compare
 CORR_PAIRS = [
     ("price_vs_min_nights", "current_price", "minimum_nights"),
     ("price_vs_reviews", "current_price", "total_reviews"),
@@ -285,8 +286,12 @@ def median_price_pivot(dl: DataFrame, k: int = 15, room_types: list[str] | None
     """
     top = top_k_by_count(dl, "neighbourhood", k)
     d = _price_between(dl, 1, 2000).join(F.broadcast(top), "neighbourhood", "left_semi")
-    g = d.groupBy("neighbourhood", "room_type").agg(
-        round_half_away(_q(PRICE, 0.5), 0).alias("median_price"))
+    if room_types is None:
+        from .features import levels
+
+        room_types = levels(dl, "room_type")
+    g = group_quantiles(d, ["neighbourhood", "room_type"], PRICE, {"median_price": 0.5}).select(
+        "neighbourhood", "room_type", round_half_away("median_price", 0).alias("median_price"))
     return g.groupBy("neighbourhood").pivot("room_type", room_types).agg(F.first("median_price")) \
         .orderBy("neighbourhood")
 
@@ -312,19 +317,16 @@ def neighbourhood_supply(dn: DataFrame) -> DataFrame:
 def price_spread_room_type(dl: DataFrame) -> DataFrame:
     """E28."""
     d = _price_between(dl, 1, 2000)
-    return d.groupBy("room_type").agg(
-        *_quartiles(),
-        round_half_away(_q(PRICE, 0.10), 2).alias("p10"),
-        round_half_away(_q(PRICE, 0.90), 2).alias("p90"),
-    ).orderBy(F.desc("median"), "room_type")
+    q = _with_quantiles(d, ["room_type"], PRICE, QUARTILES | {"p10": 0.10, "p90": 0.90}, [F.count(F.lit(1)).alias("n")])
+    return q.drop("n").orderBy(F.desc("median"), "room_type")
 
 
 def price_spread_top20(dl: DataFrame, k: int = 20) -> DataFrame:
     """Quartiles for the k largest neighbourhoods, counted after the price filter."""
     d = _price_between(dl, 1, 2000)
     top = top_k_by_count(d, "neighbourhood", k)
-    return d.join(F.broadcast(top), "neighbourhood", "left_semi") \
-        .groupBy("neighbourhood").agg(*_quartiles()).orderBy(F.desc("median"), "neighbourhood")
+    return group_quantiles(d.join(F.broadcast(top), "neighbourhood", "left_semi"), ["neighbourhood"], PRICE, QUARTILES).select(
+        "neighbourhood", *[round_half_away(n, 2).alias(n) for n in QUARTILES]).orderBy(F.desc("median"), "neighbourhood")
 
 
 def centroids(dl: DataFrame) -> DataFrame:

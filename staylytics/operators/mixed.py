@@ -13,7 +13,7 @@ per-group sums (n, X'X, X'y, y'y, z'X, z'y, z'z):
 
 Work plan: one aggregation of the rows by group (partial aggregation
 map-side, so a group holding a third of all rows is still one small
-partial row per task); the group table is persisted; the criterion is
+partial row per task); the group table is written once; the criterion is
 then evaluated for a whole grid of theta values per Spark job (the grid
 is exploded next to every group row and summed per theta), and the grid
 is refined around the best point a few times. The driver only sees
@@ -35,6 +35,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 LOG2PI = math.log(2 * math.pi)
 
 
@@ -118,27 +120,6 @@ def _theta_sums(gs: DataFrame, thetas: list[float], p: int) -> list[dict]:
     return out
 
 
-def _theta_sums_local(rows: list, thetas: list[float], p: int) -> list[dict]:
-    """Same sums as ``_theta_sums`` from collected group rows (used when few groups)."""
-    zz = np.array([r["zz"] for r in rows], dtype=float)
-    zy = np.array([r["zy"] for r in rows], dtype=float)
-    yy = np.array([r["yy"] for r in rows], dtype=float)
-    n = int(sum(r["n"] for r in rows))
-    zx = np.array([[r[f"zx_{i}"] for i in range(p)] for r in rows], dtype=float)          # G x p
-    xy = np.array([[r[f"xy_{i}"] for i in range(p)] for r in rows], dtype=float).sum(0)
-    xx = np.zeros((p, p))
-    for i, j in _pairs(p):
-        xx[i, j] = xx[j, i] = sum(r[f"xx_{i}_{j}"] for r in rows)
-    out = []
-    for t in thetas:
-        c = t / (1.0 + t * zz)
-        a = xx - (zx * c[:, None]).T @ zx
-        b = xy - (zx * (c * zy)[:, None]).sum(0)
-        out.append({"theta": float(t), "n": n, "groups": len(rows), "qy": float((yy - c * zy * zy).sum()),
-                    "ld": float(np.log1p(t * zz).sum()), "A": a, "b": b})
-    return out
-
-
 def independent_columns(xtx: np.ndarray, tol: float = 1e-10) -> list[int]:
     """Greedy column pivot: keep a column unless it is (nearly) a combination of kept ones."""
     keep: list[int] = []
@@ -215,79 +196,83 @@ class MixedFit:
         return j.select("g", "y", fit.alias("fitted"), (F.col("y") - fit).alias("resid"))
 
 
-# at most this many groups are brought to the driver (about 60 numbers each) to search theta
-# there; a larger group table stays in Spark and each grid pass is one Spark job
-LOCAL_GROUPS = 100_000
+# ln theta is searched this far at most (e^60 is beyond what doubles can tell from infinity), in steps of this width
+EDGE, WIDER = 60.0, 12.0
 
 
 def fit_mixed(des: Design, passes: int = 4, grid: int = 201, lo: float = -14.0, hi: float = 9.0,
-              refine: int = 21, local_groups: int = LOCAL_GROUPS) -> MixedFit:
+              refine: int = 21) -> MixedFit:
     """REML fit (and the ML criterion for the AIC) by grid refinement over log theta.
 
     One Spark job per pass: a ``grid``-point pass over [lo, hi] (plus
-    theta = 0), then ``passes`` passes of ``refine`` points around the
-    best REML and ML points, each 10x finer than the last.
+    theta = 0), more of the same on the side where the best point is the
+    last one, then ``passes`` passes of ``refine`` points around the best
+    REML and ML points, each 10x finer than the last.
     """
     p = len(des.terms)
     st = des.frame.agg(F.avg("y").alias("ym"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(p)]).first()
     means = np.array([0.0] + [float(st[f"m{i}"]) for i in range(1, p)])
     ymean = float(st["ym"])
-    gs = group_sums(des, means, ymean).persist()
-    try:
-        few = gs.limit(local_groups + 1).collect() if local_groups > 0 else []
-        if 0 < len(few) <= local_groups:
-            def sums(thetas):
-                return _theta_sums_local(few, thetas, p)
+    gs = cut_lineage(group_sums(des, means, ymean))  # one row per group, written once
+
+    def sums(thetas: list[float]) -> list[dict]:
+        return _theta_sums(gs, thetas, p)
+
+    step = (hi - lo) / (grid - 1)
+    first = sums([0.0] + [math.exp(x) for x in np.linspace(lo, hi, grid)])
+    s0 = next(s for s in first if s["theta"] == 0.0)
+    keep = independent_columns(s0["A"])
+    evals: dict[float, dict] = {s["theta"]: _criteria(s, keep) for s in first}
+    while abs(lo) < EDGE and abs(hi) < EDGE:
+        best = {min(evals, key=lambda t: evals[t][c]) for c in ("reml", "ml")}
+        ends = sorted(t for t in evals if t > 0)
+        if ends[-1] in best:
+            new, hi = np.linspace(hi + step, hi + WIDER, round(WIDER / step)), hi + WIDER
+        elif ends[0] in best:  # theta = 0 is a point of its own and may be the best
+            new, lo = np.linspace(lo - WIDER, lo - step, round(WIDER / step)), lo - WIDER
         else:
-            def sums(thetas):
-                return _theta_sums(gs, thetas, p)
-        first = sums([0.0] + [math.exp(x) for x in np.linspace(lo, hi, grid)])
-        s0 = next(s for s in first if s["theta"] == 0.0)
-        keep = independent_columns(s0["A"])
-        evals: dict[float, dict] = {s["theta"]: _criteria(s, keep) for s in first}
-        step = (hi - lo) / (grid - 1)
-        for _ in range(passes):
-            nxt = set()
-            for crit in ("reml", "ml"):
-                pos = {t: v for t, v in evals.items() if t > 0}
-                tb = math.log(min(pos, key=lambda t: pos[t][crit]))
-                nxt |= {math.exp(x) for x in np.linspace(tb - step, tb + step, refine)}
-            new = sorted(t for t in nxt if t not in evals)
-            if new:
-                for s in sums(new):
-                    evals[s["theta"]] = _criteria(s, keep)
-            step /= (refine - 1) / 2
-        best = {c: min(evals, key=lambda t: evals[t][c]) for c in ("reml", "ml")}
-        fit = evals[best["reml"]]
-        theta = best["reml"]
-        n = fit["n"]
-        scale = fit["q"] / (n - len(keep))
-        cov_c = scale * np.linalg.inv(fit["A"][np.ix_(keep, keep)])
-        # back to the original scale: intercept_0 = intercept_c + ymean - sum b_j m_j
-        bfull_c = np.zeros(p)
-        bfull_c[keep] = fit["beta"]
-        tmat = np.eye(p)
-        tmat[0, 1:] = -means[1:]
-        beta = tmat @ bfull_c
-        beta[0] += ymean
-        covfull = np.zeros((p, p))
-        covfull[np.ix_(keep, keep)] = cov_c
-        cov = tmat @ covfull @ tmat.T
-        se = np.sqrt(np.maximum(np.diag(cov), 0.0))
-        dropped = [i for i in range(p) if i not in keep]
-        beta[dropped] = np.nan
-        se[dropped] = np.nan
-        ml = evals[best["ml"]]["ml"]
-        k_params = len(keep) + 2
-        c = F.lit(theta) / (F.lit(1.0) + F.lit(theta) * F.col("zz"))
-        zxb = F.lit(0.0)
-        for idx, b in zip(keep, fit["beta"]):
-            zxb = zxb + F.col(f"zx_{idx}") * F.lit(float(b))
-        blups = gs.select("g", "n", (c * (F.col("zy") - zxb)).alias("u"))
-        n_groups = fit["groups"]
-    except Exception:
-        gs.unpersist()
-        raise
+            break
+        for s in sums([math.exp(x) for x in new]):
+            evals[s["theta"]] = _criteria(s, keep)
+    for _ in range(passes):
+        nxt = set()
+        for crit in ("reml", "ml"):
+            pos = {t: v for t, v in evals.items() if t > 0}
+            tb = math.log(min(pos, key=lambda t: pos[t][crit]))
+            nxt |= {math.exp(x) for x in np.linspace(tb - step, tb + step, refine)}
+        new = sorted(t for t in nxt if t not in evals)
+        if new:
+            for s in sums(new):
+                evals[s["theta"]] = _criteria(s, keep)
+        step /= (refine - 1) / 2
+    best = {c: min(evals, key=lambda t: evals[t][c]) for c in ("reml", "ml")}
+    fit = evals[best["reml"]]
+    theta = best["reml"]
+    n = fit["n"]
+    scale = fit["q"] / (n - len(keep))
+    cov_c = scale * np.linalg.inv(fit["A"][np.ix_(keep, keep)])
+    # back to the original scale: intercept_0 = intercept_c + ymean - sum b_j m_j
+    bfull_c = np.zeros(p)
+    bfull_c[keep] = fit["beta"]
+    tmat = np.eye(p)
+    tmat[0, 1:] = -means[1:]
+    beta = tmat @ bfull_c
+    beta[0] += ymean
+    covfull = np.zeros((p, p))
+    covfull[np.ix_(keep, keep)] = cov_c
+    cov = tmat @ covfull @ tmat.T
+    se = np.sqrt(np.maximum(np.diag(cov), 0.0))
+    dropped = [i for i in range(p) if i not in keep]
+    beta[dropped] = np.nan
+    se[dropped] = np.nan
+    ml = evals[best["ml"]]["ml"]
+    k_params = len(keep) + 2
+    c = F.lit(theta) / (F.lit(1.0) + F.lit(theta) * F.col("zz"))
+    zxb = F.lit(0.0)
+    for idx, b in zip(keep, fit["beta"]):
+        zxb = zxb + F.col(f"zx_{idx}") * F.lit(float(b))
+    blups = gs.select("g", "n", (c * (F.col("zy") - zxb)).alias("u"))
+    n_groups = fit["groups"]
     return MixedFit(des.terms, beta, se, theta, scale, theta * scale, fit["reml"], ml,
                     ml + 2 * k_params, n, n_groups, blups, des, fit["beta"], keep, means, ymean)
 
@@ -298,9 +283,12 @@ def residual_histogram(resid: DataFrame, bins: int = 60) -> DataFrame:
     lo, hi = float(mm["lo"]), float(mm["hi"])
     width = (hi - lo) / bins if hi > lo else 1.0
     b = F.least(F.floor((F.col("resid") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-    return resid.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count")).select(
+    counts = resid.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    every = resid.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))  # empty bins count 0
+    return every.join(counts, "bin", "left").select(
         "bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_start"),
-        (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_end"), "count")
+        (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_end"),
+        F.coalesce("count", F.lit(0)).alias("count"))
 
 
 # ---- the three models of the multilevel analysis ---------------------------

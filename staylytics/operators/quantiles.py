@@ -1,129 +1,119 @@
-"""Exact ranks and quantiles without collecting a column into one task.
-
-``value_ranks`` turns a column into (value, cnt, cum_before): the number
-of rows with that value and the number of rows with a smaller value.
-It works on distinct values (pre-aggregated map-side, so a value held by
-a third of all rows is one row here), cuts them into order-preserving
-buckets with approximate quantiles, sums each bucket, and runs the
-prefix sum inside each bucket plus the bucket's offset. No window ever
-spans the whole table; the only data that meets in one place is one
-total per bucket.
+"""Exact ranks and quantiles, whole or by group, without gathering a column in one task.
+
+Rows are first counted by (group, value), summed map-side, so a value
+held by a third of all rows is one row here. The distinct values of a
+group are cut into order-preserving buckets of about BUCKET_VALUES
+values by approximate quantiles (which only balance the work), each
+bucket is summed, and a running total over the bucket sums says in which
+bucket a rank lies. Only buckets that hold a wanted rank are put in order.
+No window spans a whole group, and all joins are equi-joins. The counts
+are written once and reused by every step.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 
-def _bucket_count(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+#: Distinct values that one task puts in order, about.
+BUCKET_VALUES = 100_000
 
 
-def value_ranks(df: DataFrame, col: str, buckets: int | None = None) -> DataFrame:
-    """(value, cnt, cum_before) for the non-null values of ``col`` (as double)."""
-    vc = (df.select(F.col(col).cast("double").alias("value"))
-          .where(F.col("value").isNotNull() & ~F.isnan("value"))
-          .groupBy("value").agg(F.count(F.lit(1)).alias("cnt")))
-    p = buckets or _bucket_count(df)
-    cuts: list[float] = []
+def _same(a: str, b: str, keys: list[str]) -> Column:
+    """Groups are equal; NULL is a group too."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}"))
+    return cond
+
+
+def _bucketed(counts: DataFrame, keys: list[str], buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(keys, value, cnt, bucket) and (keys, bucket, btot, before, n) from counted values, both written."""
+    counts = cut_lineage(counts)
+    p = buckets or max(1, -(-counts.count() // BUCKET_VALUES))
     if p > 1:
-        row = vc.agg(F.percentile_approx("value", [i / p for i in range(1, p)], 10000)).first()
-        cuts = sorted({float(x) for x in (row[0] or [])})
-    if cuts:
-        splits = [float("-inf")] + cuts + [float("inf")]
-        vb = Bucketizer(splits=splits, inputCol="value", outputCol="bucket").transform(vc)
+        cuts = cut_lineage(counts.groupBy(*keys).agg(F.percentile_approx("value", [i / p for i in range(1, p)], 10000).alias("cuts")))
+        c = counts.alias("c").join(cuts.alias("q"), _same("c", "q", keys))
+        counts = cut_lineage(c.select("c.*", F.size(F.filter(F.array_distinct("q.cuts"), lambda x: x <= F.col("c.value"))).alias("bucket")))
     else:
-        vb = vc.withColumn("bucket", F.lit(0.0))
-    totals = vb.groupBy("bucket").agg(F.sum("cnt").alias("btot"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("bucket", F.coalesce(F.sum("btot").over(before), F.lit(0)).alias("boff"))
+        counts = counts.withColumn("bucket", F.lit(0))
+    by = Window.partitionBy(*keys)
+    before = by.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.groupBy(*keys, "bucket").agg(F.sum("cnt").alias("btot"))
+    return counts, cut_lineage(totals.select("*", F.coalesce(F.sum("btot").over(before), F.lit(0)).alias("before"),
+                                             F.sum("btot").over(by).alias("n")))
+
+
+def _counted(df: DataFrame, keys: list[str], col: str) -> DataFrame:
+    """(keys, value, cnt) of the values that are numbers; without keys all rows are one group, ``whole``."""
+    d = df.select(*([F.col(k) for k in keys] or [F.lit(0).alias("whole")]), F.col(col).cast("double").alias("value"))
+    d = d.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return d.groupBy(*(keys or ["whole"]), "value").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def value_ranks(df: DataFrame, col: str, buckets: int | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """(value, cnt, cum_before): rows with that value, and rows with a smaller one.
+
+    ``counts`` may give (value, cnt) where these are known already.
+    """
+    c = _counted(df, [], col) if counts is None else counts.select(F.lit(0).alias("whole"), "value", "cnt")
+    vb, totals = _bucketed(c, ["whole"], buckets)
     inside = Window.partitionBy("bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    # offsets has one row per bucket (<= spark.sql.shuffle.partitions): a proven bound
-    return vb.join(F.broadcast(offsets), "bucket").select(
-        "value", "cnt",
-        (F.col("boff") + F.coalesce(F.sum("cnt").over(inside), F.lit(0))).alias("cum_before"))
+    return vb.join(totals.select("bucket", "before"), "bucket").select(
+        "value", "cnt", (F.col("before") + F.coalesce(F.sum("cnt").over(inside), F.lit(0))).alias("cum_before"))
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
-    """Linear-interpolated quantiles (numpy 'linear'): rows (prob, value).
+def group_quantiles(df: DataFrame, keys: list[str], col: str, probs: dict[str, float], linear: bool = False,
+                    buckets: int | None = None) -> DataFrame:
+    """One row per group of ``keys`` (one in all without keys) and one column per name of ``probs``.
 
-    Position h = (n-1)p; value = v[floor h] + (v[ceil h] - v[floor h]) * (h - floor h).
+    The quantile p of n values is the least one with at least p * n values
+    up to it (``percentile_disc``); ``linear`` interpolates at (n - 1) * p.
+    A group without values has no row.
     """
-    ranks = value_ranks(df, col)
-    spark = df.sparkSession
-    n = ranks.agg(F.sum("cnt")).scalar()
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (spark.range(len(probs))
-               .select(F.element_at(arr, (F.col("id") + 1).cast("int")).alias("prob"))
-               .select("prob", ((n - 1) * F.col("prob")).alias("h"))
-               .select("prob", "h", F.floor("h").alias("lo"), F.ceil("h").alias("hi")))
-    t = F.broadcast(targets)  # len(probs) rows
-
-    def pick(idx: str, name: str) -> DataFrame:
-        return ranks.join(t, (F.col(idx) >= F.col("cum_before")) &
-                          (F.col(idx) < F.col("cum_before") + F.col("cnt"))) \
-            .select("prob", F.col("h"), F.col("lo"), F.col("value").alias(name))
-
-    lo = pick("lo", "v_lo")
-    hi = pick("hi", "v_hi").select("prob", "v_hi")
-    return lo.join(hi, "prob").select(
-        "prob", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.col("lo"))).alias("value"))
+    by = keys or ["whole"]
+    vb, totals = _bucketed(_counted(df, keys, col), by, buckets)
+    at = (F.col("n") - 1) * F.col("p") if linear else F.greatest(F.ceil(F.col("n") * F.col("p")) - 1, F.lit(0)).cast("double")
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(float(p)).alias("p")) for name, p in probs.items()]))
+    want = totals.where("before = 0").select(*by, "n", each.alias("e")).select(*by, "n", "e.name", "e.p")
+    want = want.select(*by, "name", at.alias("h")).select(*by, "name", "h", F.explode(F.array_distinct(F.array(
+        F.floor("h"), F.ceil("h")))).alias("rank"))
+    w, t = want.alias("w"), totals.alias("t")
+    found = w.join(t, _same("w", "t", by) & (F.col("w.rank") >= F.col("t.before")) & (F.col("w.rank") < F.col("t.before") + F.col("t.btot")))
+    found = cut_lineage(found.select(*[F.col(f"w.{k}") for k in by], "w.name", "w.h", "w.rank", "t.bucket", "t.before"))
+    f, v = found.select(*by, "bucket").distinct().alias("f"), vb.alias("v")
+    held = v.join(f, _same("f", "v", by) & (F.col("f.bucket") == F.col("v.bucket")), "left_semi")
+    inside = Window.partitionBy(*by, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select("*", F.coalesce(F.sum("cnt").over(inside), F.lit(0)).alias("less")).alias("v")
+    f = found.alias("f")
+    place = F.col("f.rank") - F.col("f.before")
+    got = f.join(held, _same("f", "v", by) & (F.col("f.bucket") == F.col("v.bucket")) & (place >= F.col("v.less"))
+                 & (place < F.col("v.less") + F.col("v.cnt")))
+    low, high = (F.max(F.when(F.col("rank") == fn("h"), F.col("value"))) for fn in (F.floor, F.ceil))
+    one = got.select(*[F.col(f"f.{k}") for k in by], "f.name", "f.h", "f.rank", "v.value").groupBy(*by, "name").agg(
+        (low + (high - low) * (F.max("h") - F.floor(F.max("h")))).alias("value"))
+    wide = one.groupBy(*by).agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in probs])
+    return wide if keys else wide.drop("whole")
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
+    """Linear-interpolated quantiles (numpy 'linear'): rows (prob, value)."""
+    names = {f"q{i}": p for i, p in enumerate(probs)}
+    wide = group_quantiles(df, [], col, names, linear=True)
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.col(n).alias("value")) for n, p in names.items()])))
 
 
 def quantile_row(df: DataFrame, col: str, probs: list[float], names: list[str]) -> DataFrame:
     """One row, one column per probability."""
-    q = exact_quantiles(df, col, probs)
-    return q.agg(*[F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(nm)
-                   for p, nm in zip(probs, names)])
-
+    return group_quantiles(df, [], col, dict(zip(names, probs)), linear=True)
 
-def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
-                          buckets: int | None = None) -> DataFrame:
-    """Linear-interpolated quantiles of several columns at once: rows (column, prob, value).
 
-    The columns are stacked into (column, value) long form and every step of
-    ``value_ranks`` / ``exact_quantiles`` runs keyed by column, so k columns
-    cost the jobs of one. Bucket cuts come back to the driver: at most
-    (columns x buckets) numbers.
-    """
-    spark = df.sparkSession
+def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float], buckets: int | None = None) -> DataFrame:
+    """Linear-interpolated quantiles of several columns at once: rows (column, prob, value)."""
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])).alias("s"))
-    vc = (long.select("s.column", "s.value").where(F.col("value").isNotNull() & ~F.isnan("value"))
-          .groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    p = buckets or _bucket_count(df)
-    cut_rows = vc.groupBy("column").agg(
-        F.percentile_approx("value", [i / p for i in range(1, p)], 10000).alias("cuts")).collect()
-    cuts = {r["column"]: sorted({float(x) for x in (r["cuts"] or [])}) for r in cut_rows}
-    cut_df = spark.createDataFrame([(c, cuts.get(c, [])) for c in cols], "column string, cuts array<double>")
-    # one row per column: a proven bound
-    vb = vc.join(F.broadcast(cut_df), "column").select(
-        "column", "value", "cnt", F.size(F.filter("cuts", lambda x: x <= F.col("value"))).alias("bucket"))
-    totals = vb.groupBy("column", "bucket").agg(F.sum("cnt").alias("btot"))
-    before = Window.partitionBy("column").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("column", "bucket", F.coalesce(F.sum("btot").over(before), F.lit(0)).alias("boff"),
-                            F.sum("btot").over(Window.partitionBy("column")).alias("n"))
-    inside = Window.partitionBy("column", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = vb.join(F.broadcast(offsets), ["column", "bucket"]).select(
-        "column", "value", "cnt", "n",
-        (F.col("boff") + F.coalesce(F.sum("cnt").over(inside), F.lit(0))).alias("cum_before"))
-    ns = offsets.select("column", "n").distinct()
-    arr = F.array(*[F.lit(float(q)) for q in probs])
-    targets = ns.select(F.col("column").alias("tcol"), F.explode(arr).alias("prob"), "n").select(
-        "tcol", "prob", ((F.col("n") - 1) * F.col("prob")).alias("h")).select(
-        "tcol", "prob", "h", F.floor("h").alias("lo"), F.ceil("h").alias("hi"))
-    t = F.broadcast(targets)  # columns x probs rows
-    r = ranks.select("column", "value", "cnt", "cum_before")
-
-    def pick(idx: str, name: str) -> DataFrame:
-        return r.join(t, (F.col("column") == F.col("tcol")) & (F.col(idx) >= F.col("cum_before")) &
-                      (F.col(idx) < F.col("cum_before") + F.col("cnt"))) \
-            .select("column", "prob", "h", "lo", F.col("value").alias(name))
-
-    lo = pick("lo", "v_lo")
-    hi = pick("hi", "v_hi").select("column", "prob", "v_hi")
-    return lo.join(hi, ["column", "prob"]).select(
-        "column", "prob",
-        (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.col("lo"))).alias("value"))
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])).alias("s")).select("s.*")
+    names = {f"q{i}": p for i, p in enumerate(probs)}
+    wide = group_quantiles(long, ["column"], "value", names, linear=True, buckets=buckets)
+    return wide.select("column", F.inline(F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.col(n).alias("value")) for n, p in names.items()])))

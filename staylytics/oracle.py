@@ -13,7 +13,8 @@ from __future__ import annotations
 
 def r(expr: str, d: int) -> str:
     """Same rounding as functions.columns.round_half_away."""
-    return f"(sign({expr}) * floor(abs({expr}) * 1e{d} + 0.5) / 1e{d})"
+    return (f"(CASE WHEN abs({expr}) * 1e{d} >= 9007199254740992e0 THEN {expr} "
+            f"ELSE sign({expr}) * floor(abs({expr}) * 1e{d} + 0.5) / 1e{d} END)")
 
 
 BASE = """
@@ -21,7 +22,13 @@ stg_reviews AS (
   SELECT o_custkey AS listing_id, o_orderkey AS review_id, CAST(o_orderdate AS DATE) AS date,
          o_orderkey % 5000 AS reviewer_id, o_orderpriority AS reviewer_name,
          'order ' || o_orderstatus AS comments
-  FROM orders WHERE o_orderstatus = 'F'
+  FROM orders
+),
+hosts_and_guests AS (
+  SELECT c_custkey, c_name, c_nationkey, c_mktsegment, c_acctbal FROM customer
+  UNION ALL
+  SELECT s_suppkey + 1099511627776, s_name, s_nationkey,
+         ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'][s_suppkey % 5 + 1], s_acctbal FROM supplier
 ),
 stg_listings AS (
   SELECT c.c_custkey AS listing_id, c.c_name AS listing_name,
@@ -36,7 +43,7 @@ stg_listings AS (
               ELSE CAST(CAST((c.c_acctbal + 1000) / 20 AS DECIMAL(14,4)) AS DOUBLE) END AS price_usd,
          CAST(c.c_custkey % 45 + 1 AS INTEGER) AS minimum_nights,
          CAST(COALESCE(rv.n_rev, 0) AS BIGINT) AS number_of_reviews
-  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+  FROM hosts_and_guests c JOIN nation n ON c.c_nationkey = n.n_nationkey
   LEFT JOIN (SELECT listing_id, count(*) AS n_rev FROM stg_reviews GROUP BY listing_id) rv
          ON rv.listing_id = c.c_custkey
 ),

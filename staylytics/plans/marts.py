@@ -30,28 +30,25 @@ def review_metrics(reviews: DataFrame) -> DataFrame:
     )
 
 
-def calendar_metrics(calendar: DataFrame, days: int = 30) -> DataFrame:
-    """M3: mean price and availability rate over the last ``days``+1 dates.
+def window_rows(calendar: DataFrame, days: int = 30) -> DataFrame:
+    """calendar rows of the last ``days``+1 dates of the snapshot.
 
-    The snapshot's max date is a scalar subquery: Spark runs it once and
-    uses the value as a filter on the calendar scan.
+    No date is after the snapshot's last one, so the window is a lower
+    bound only. It is computed inside a scalar subquery: the scan then
+    gets ``date >= <value>`` as a pushed-down filter.
     """
-    max_dt = snapshot_max_date(calendar).scalar()
-    window = calendar.filter(F.col("date").between(F.date_sub(max_dt, days), max_dt))
-    return window.groupBy("listing_id").agg(
+    first = calendar.agg(F.date_sub(F.max("date"), days)).scalar()
+    return calendar.filter(F.col("date") >= first)
+
+
+def calendar_metrics(calendar: DataFrame, days: int = 30) -> DataFrame:
+    """M3: mean price and availability rate over the last ``days``+1 dates."""
+    return window_rows(calendar, days).groupBy("listing_id").agg(
         F.avg("price_usd").alias("avg_price_next_30_days"),
         (F.count_if(F.col("is_available")) / F.count("date")).alias("availability_rate_next_30_days"),
     )
 
 
-DIM_LISTINGS_COLUMNS = [
-    "listing_id", "listing_name", "host_id", "host_name", "neighbourhood", "latitude",
-    "longitude", "room_type", "current_price", "minimum_nights", "total_reviews",
-    "first_review_date", "last_review_date", "avg_price_next_30_days",
-    "availability_rate_next_30_days",
-]
-
-
 def dim_listings(listings: DataFrame, reviews: DataFrame, calendar: DataFrame, days: int = 30) -> DataFrame:
     """M4: listings with review and calendar metrics (two LEFT joins on listing_id)."""
     rm = review_metrics(reviews)

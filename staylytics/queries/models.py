@@ -81,8 +81,7 @@ FROM stg_calendar""", ["sum_parsed"])
 def q_snapshot_window(c: Ctx):
     """M1 + F1: last date, window start and the calendar rows inside the window."""
     cal = c["stg_calendar"]
-    max_dt = marts.snapshot_max_date(cal).scalar()
-    inside = cal.filter(F.col("date").between(F.date_sub(max_dt, 30), max_dt))
+    inside = marts.window_rows(cal)
     return inside.agg(F.max("date").alias("max_dt"),
                       F.date_sub(F.max("date"), 30).alias("window_start"),
                       F.count(F.lit(1)).alias("rows_in_window"),

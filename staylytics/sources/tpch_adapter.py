@@ -10,7 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TPCH_TABLES = ("region", "nation", "customer", "orders", "lineitem")
+TPCH_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
+#: Suppliers are listings too (without reviews or calendar); their ids start here.
+SUPPLIER_BASE = 1 << 40
+# fixed values: the customer segments of the test tables, used as room types
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
 def load_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -23,7 +27,7 @@ def _money_text(x) -> F.Column:
 
 def raw_reviews(t: dict[str, DataFrame]) -> DataFrame:
     o = t["orders"]
-    return o.filter(F.col("o_orderstatus") == "F").select(
+    return o.select(
         F.col("o_custkey").alias("listing_id"),
         F.col("o_orderkey").alias("id"),
         F.to_date("o_orderdate").alias("date"),
@@ -34,7 +38,13 @@ def raw_reviews(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def raw_listings(t: dict[str, DataFrame]) -> DataFrame:
-    c, n = t["customer"], t["nation"]
+    n = t["nation"]
+    segments = F.array(*map(F.lit, SEGMENTS))
+    c = t["customer"].select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal").unionByName(t["supplier"].select(
+        (F.col("s_suppkey") + F.lit(SUPPLIER_BASE)).alias("c_custkey"), F.col("s_name").alias("c_name"),
+        F.col("s_nationkey").alias("c_nationkey"),
+        F.element_at(segments, (F.col("s_suppkey") % len(SEGMENTS) + 1).cast("int")).alias("c_mktsegment"),
+        F.col("s_acctbal").alias("c_acctbal")))
     key = F.col("c_custkey")
     host_id = F.floor(key * 3 / 5).cast("bigint")
     n_reviews = raw_reviews(t).groupBy("listing_id").agg(F.count(F.lit(1)).alias("n_rev"))
