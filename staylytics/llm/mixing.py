@@ -132,7 +132,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
         weights=WEIGHTS, passes: int = PASSES, seed: int = 0) -> DataFrame:
     """doc_id, source, size, source_size, target and taken (words in the mix, repeats counted) of every row."""
     rows = plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed)
-    placed = cut_lineage(positions(rows, weights, passes))
+    placed = positions(rows, weights, passes)  # its range sort is written; the rest is cheap enough to do twice
     return _taken(placed, passes).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
@@ -155,7 +155,7 @@ def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Rows equal in id, source and text are one document here; each of them carries what the mix takes of it.
     """
     rows = plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed).distinct()
-    got = _taken(cut_lineage(positions(rows, weights, passes)), passes).where("taken > 0")
+    got = _taken(positions(rows, weights, passes), passes).where("taken > 0")
     new = [fresh(docs.columns, c) for c in ("size", "source_size", "target", "taken")]
     d, g = docs.withColumn(h := fresh(docs.columns, "mix_hash"), F.xxhash64(text_col)).alias("d"), got.alias("g")
     same = (F.col(f"d.`{id_col}`").eqNullSafe(F.col("g.doc_id")) & F.col(f"d.`{source_col}`").eqNullSafe(F.col("g.source"))
