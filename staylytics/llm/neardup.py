@@ -12,9 +12,10 @@
 4. Then, only for buckets whose nodes are not yet all linked: the nodes
    outside the bucket's largest part are compared with the nodes of all other parts,
    some of them at first and sixteen times as many in each further
-   round, until each has been. So no bucket is expanded into all its
-   pairs, and none of its pairs is lost: two nodes are either linked
-   through others already or have been compared.
+   round, until each has been. Both sides are dealt into blocks, and a
+   task compares two blocks at a time, so a large bucket is spread over
+   many tasks and its pairs are never rows. None of them is lost: two
+   nodes are either linked through others already or have been compared.
 5. A comparison that the bits rule out (the estimate is four standard
    deviations under the limit) ends there. For all others the exact
    probability Jaccard of the weighted shingles is computed from the
@@ -47,6 +48,8 @@ from .probminhash import BANDS, SLOTS, bands_and_bits, fingerprint, probability_
 SIMILARITY = 0.8
 #: Nodes of a bucket that are compared with its other parts in the first round, and the growth from round to round.
 FIRST_LEADERS, MORE_LEADERS = 16, 16
+#: Nodes on a side of a tile, about.
+BLOCK = 256
 
 
 def least_agreement(similarity: float) -> int:
@@ -138,6 +141,131 @@ def _agreement(a: str, b: str) -> Column:
     return same
 
 
+# ---- comparing the parts of a bucket, tile by tile --------------------------
+
+_TILE = ["bucket", "band", "lead_block", "block", "leads", "node", "comp", "chosen"]
+_TILE_TYPES = "bucket long, band int, lead_block int, block int, leads boolean, node long, comp long, chosen boolean"
+
+
+def _tiles(members: DataFrame, leaders: int) -> DataFrame:
+    """Rows of the tiles in which the chosen nodes of a bucket meet all its nodes.
+
+    Each side is dealt into blocks of about BLOCK nodes and repeated for
+    every block of the other, so n nodes and l chosen ones make
+    2 * n * l / BLOCK rows and no pairs.
+    """
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    m = members.select("*", blocks(F.least("rest", F.lit(2 * leaders))).alias("lead_blocks"), blocks(F.col("n")).alias("blocks"))
+    deal = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    lead = m.where("chosen").select("bucket", "band", deal(1, "lead_blocks").alias("lead_block"), every("blocks").alias("block"),
+                                    F.lit(True).alias("leads"), "node", "comp", "chosen")
+    rest = m.select("bucket", "band", every("lead_blocks").alias("lead_block"), deal(2, "blocks").alias("block"),
+                    F.lit(False).alias("leads"), "node", "comp", "chosen")
+    return lead.unionByName(rest)
+
+
+def _by_tile(rows: DataFrame, step, schema: str) -> DataFrame:
+    """``step`` on the rows of each tile, given as a dict of arrays; rows of a tile are next to each other."""
+    names, key = rows.columns, ["bucket", "lead_block", "block"]
+    rows = rows.repartition(*key).sortWithinPartitions(*key)
+
+    def run(batches):
+        held: list[pa.Table] = []
+
+        def tiles(table: pa.Table, whole: bool):
+            """Results of the tiles in the table, and the rows of the last one if it may go on."""
+            k = [table[c].to_numpy() for c in key]
+            cut = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([x[1:] != x[:-1] for x in k])]))
+            ends = np.append(cut[1:], table.num_rows)
+            for a, b in list(zip(cut, ends))[:None if whole else -1]:
+                if b - a > 1:
+                    yield step(table.slice(a, b - a))
+            if not whole:
+                held[:] = [table.slice(cut[-1])]
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = pa.concat_tables([*held, pa.Table.from_batches([batch])])
+            held.clear()
+            yield from (x for got in tiles(t, False) if got is not None for x in got.to_batches())
+        if held:
+            yield from (x for got in tiles(held[0].combine_chunks(), True) if got is not None for x in got.to_batches())
+
+    assert names[:len(_TILE)] == _TILE
+    prepare_workers(rows.sparkSession)
+    return rows.mapInArrow(run, schema)
+
+
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    return np.concatenate([c.flatten().to_numpy() for c in column.chunks]).reshape(-1, width)
+
+
+def _candidates(t: pa.Table, enough: int):
+    """(row of the leading node, row of the other, equal bits) of the pairs that a tile is to compare.
+
+    Pairs of one part are linked already. A pair that shares several
+    bands is left to the tiles of the first one.
+    """
+    leads = t["leads"].to_numpy()
+    a, b = np.flatnonzero(leads), np.flatnonzero(~leads)
+    node, comp, chosen = (t[c].to_numpy() for c in ("node", "comp", "chosen"))
+    bits, prints = _matrix(t["bits"], SLOTS // 64).view(np.uint64), _matrix(t["prints"], BANDS)
+    same = np.full((len(a), len(b)), SLOTS)
+    for k in range(SLOTS // 64):
+        same -= np.bitwise_count(bits[a, k][:, None] ^ bits[b, k][None, :])
+    ok = (same >= enough) & (comp[a][:, None] != comp[b][None, :]) & (~chosen[b][None, :] | (node[a][:, None] < node[b][None, :]))
+    i, j = np.nonzero(ok)
+    first = (prints[a[i]] == prints[b[j]]).argmax(axis=1)
+    mine = first == t["band"][0].as_py()
+    i, j = i[mine], j[mine]
+    return a[i], b[j], same[i, j]
+
+
+def _narrow(enough: int):
+    """Keeps the rows of a tile that are in a pair to compare."""
+    def step(t: pa.Table):
+        a, b, _ = _candidates(t, enough)
+        return t.select(_TILE).take(np.unique(np.concatenate([a, b]))) if len(a) else None
+    return step
+
+
+def _link(enough: int, similarity: float):
+    """Compares texts, the most alike first, until the parts that can be linked are; gives the links that did it."""
+    def step(t: pa.Table):
+        a, b, same = _candidates(t, enough)
+        node, comp = t["node"].to_numpy(), t["comp"].to_numpy()
+        parent: dict[int, int] = {}
+        known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def root(x):
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        def of(row):
+            n = int(node[row])
+            if n not in known:
+                known[n] = _weighted(t["text"][int(row)].as_py().encode())
+            return known[n]
+
+        out = []
+        for k in np.argsort(-same, kind="stable"):
+            x, y = root(int(comp[a[k]])), root(int(comp[b[k]]))
+            if x != y and probability_jaccard(of(a[k]), of(b[k])) >= similarity - 1e-12:
+                parent[max(x, y)] = min(x, y)
+                out.append((int(node[a[k]]), int(node[b[k]])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())}) if out else None
+    return step
+
+
+def _weighted(body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(body, np.uint8)
+    _, element, count = shingles(raw, np.array([0, len(raw)]))
+    return element, weights(count)
+
+
 def _relabel(frame: DataFrame, comps: DataFrame, of: str) -> DataFrame:
     """``frame`` with its column ``of`` replaced by the component of that node, if it has one."""
     c = comps.select(F.col("node").alias("_node"), F.col("comp").alias("_comp"))
@@ -172,49 +300,48 @@ def is_kept() -> Column:
 def _linked(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """(node, comp) of nodes that are linked with another one."""
     enough = least_agreement(similarity)
-    band = nodes.select("node", F.explode("bands").alias("bucket"))
+    band = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     lead = cut_lineage(band.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
-    members = cut_lineage(band.join(lead, "bucket").select("bucket", "node", "leader"))
-    bits = cut_lineage(nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "bits", "rep_id", "rep_hash"))
+    members = cut_lineage(band.join(lead, "bucket").select("bucket", "band", "node", "leader"))
+    data = cut_lineage(nodes.join(members.select("node").distinct(), "node", "left_semi").select(
+        "node", "bits", F.transform("bands", lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("prints"), "rep_id", "rep_hash"))
     t = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     # rows equal in id and text hash are copies: one of them is enough
-    texts = cut_lineage(bits.select("node", "rep_id", "rep_hash").join(t, F.col("rep_id").eqNullSafe(F.col("doc_id")) & (
+    texts = cut_lineage(data.select("node", "rep_id", "rep_hash").join(t, F.col("rep_id").eqNullSafe(F.col("doc_id")) & (
         F.col("rep_hash") == F.col("text_hash"))).groupBy("node").agg(F.min("text").alias("text")))
-    bits = bits.select("node", "bits")
+    data = data.select("node", "bits", "prints")
 
     # each node and the least node of one of its buckets, the one most like it
     pairs = cut_lineage(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
-    of = lambda c: bits.select(F.col("node").alias(c), F.col("bits").alias(f"bits_{c}"))
+    of = lambda c: data.select(F.col("node").alias(c), F.col("bits").alias(f"bits_{c}"))
     judged = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", _agreement("bits_a", "bits_b").alias("same")).where(F.col("same") >= enough)
     best = cut_lineage(judged.groupBy("b").agg(F.max_by("a", F.struct("same", -F.col("a"))).alias("a")).select("a", "b"))
     comp = components(cut_lineage(_verify(best, texts, similarity)))
 
     # buckets of more than one part
-    members = members.select("bucket", "node", F.col("node").alias("comp"), F.lit(False).alias("tried"))
+    members = members.select("bucket", "band", "node", F.col("node").alias("comp"), F.lit(False).alias("tried"))
     members = _relabel(members, comp, "comp")
     leaders = FIRST_LEADERS
     while True:
         parts = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum((~F.col("tried")).cast("int")).alias("untried"))
-        open_ = parts.groupBy("bucket").agg(F.max(F.struct("n", F.col("comp"))).alias("main"), F.sum("untried").alias("untried"),
+        open_ = parts.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"), F.sum("untried").alias("untried"),
                                             F.max_by("untried", F.struct("n", "comp")).alias("in_main"))
-        open_ = cut_lineage(open_.select("bucket", F.col("main.comp").alias("main"), (F.col("untried") - F.col("in_main")).alias("rest")).where("rest > 0"))
+        open_ = open_.select("bucket", "n", F.col("main.comp").alias("main"), (F.col("untried") - F.col("in_main")).alias("rest"))
+        open_ = cut_lineage(open_.where("rest > 0"))
         if open_.isEmpty():
             return comp
-        # a share of the nodes outside the main part, by hash, so that about ``leaders`` of each bucket are chosen; all of them if they are few
+        # about ``leaders`` of the nodes outside the main part, by hash; all of them if there are no more
         draw = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 30)) * F.col("rest") < F.lit(leaders << 30)
         chosen = ~F.col("tried") & (F.col("comp") != F.col("main")) & ((F.col("rest") <= leaders) | draw)
-        members = members.join(open_, "bucket").select("bucket", "node", "comp", "tried", chosen.alias("chosen"))
-        members = cut_lineage(members.join(bits, "node"))
-        x, y = members.alias("x"), cut_lineage(members.where("chosen")).alias("y")
-        found = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") != F.col("y.comp"))
-                       & (~F.col("x.chosen") | (F.col("x.node") < F.col("y.node"))) & (_agreement("x.bits", "y.bits") >= enough))
-        # of the pairs of two parts in one round all are verified: any may be the one link
-        found = cut_lineage(found.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
-        links = cut_lineage(_verify(found, texts, similarity).select("a", "b"))
-        members = members.select("bucket", "node", "comp", (F.col("tried") | F.col("chosen")).alias("tried"))
+        members = cut_lineage(members.join(open_, "bucket").select("bucket", "band", "node", "comp", "tried", "n", "rest", chosen.alias("chosen")))
+        tiles = _tiles(members, leaders).join(data, "node").select(*_TILE, "bits", "prints")
+        left = cut_lineage(_by_tile(tiles, _narrow(enough), _TILE_TYPES))
+        full = left.join(data, "node").join(texts, "node").select(*_TILE, "bits", "prints", "text")
+        links = cut_lineage(_by_tile(full, _link(enough, similarity), "a long, b long"))
+        members = members.select("bucket", "band", "node", "comp", (F.col("tried") | F.col("chosen")).alias("tried"))
         if not links.isEmpty():
             joined = components(cut_lineage(_relabel(_relabel(links, comp, "a"), comp, "b")))
-            every = comp.select("node").union(joined.select("node")).distinct()
+            every = comp.select("node").union(joined.select("node")).union(links.select("a")).union(links.select("b")).distinct()
             comp = cut_lineage(_relabel(_relabel(every.select("node", F.col("node").alias("comp")), comp, "comp"), joined, "comp"))
             members = _relabel(members, joined, "comp")
         members = cut_lineage(members)
