@@ -5,7 +5,6 @@ Layers:
   plans/      staging views and gold marts (DataFrame -> DataFrame)
   operators/  descriptive, data-quality, inferential and clustering jobs
   functions/  reusable Column expressions and driver-side distribution tails
-  streaming/  incremental bronze landing with Structured Streaming
 """
 
 __version__ = "0.1.0"

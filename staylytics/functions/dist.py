@@ -89,10 +89,17 @@ def _range_cdf_unit(w: np.ndarray, k: int) -> np.ndarray:
     return np.clip(k * np.sum(wz * phi * inner ** (k - 1), axis=1), 0.0, 1.0)
 
 
+def _stirling_rest(a: float) -> float:
+    """ln gamma(a) - ((a - 1/2) ln a - a + ln(2 pi) / 2): the difference itself, or its series where that is exact."""
+    if a < 30:
+        return math.lgamma(a) - ((a - 0.5) * math.log(a) - a + 0.5 * math.log(2 * math.pi))
+    return (1 / 12 - (1 / 360 - (1 / 1260 - 1 / 1680 / a ** 2) / a ** 2) / a ** 2) / a
+
+
 def studentized_range_cdf(q: float, k: int, df: float) -> float:
     if q <= 0:
         return 0.0
-    if df is None or math.isinf(df) or df > 1e5:
+    if df is None or math.isinf(df):
         return float(_range_cdf_unit(np.array([q]), k)[0])
     # s = sqrt(chi2_df / df): density concentrated around 1 with sd ~ 1/sqrt(2 df)
     sd = 1.0 / math.sqrt(2.0 * df)
@@ -102,8 +109,10 @@ def studentized_range_cdf(q: float, k: int, df: float) -> float:
     nodes, weights = _GL_S
     s = 0.5 * (hi - lo) * nodes + 0.5 * (hi + lo)
     ws = 0.5 * (hi - lo) * weights
-    log_f = (0.5 * df * math.log(df) - math.lgamma(0.5 * df) - (0.5 * df - 1.0) * math.log(2.0)
-             + (df - 1.0) * np.log(s) - 0.5 * df * s * s)
+    # ln density with a = df / 2: ln 2 + a ln a - ln gamma(a) + (2a - 1) ln s - a s^2, in terms that stay small
+    a, u = 0.5 * df, s - 1.0
+    log_f = (math.log(2.0) + 0.5 * math.log(a / (2 * math.pi)) - _stirling_rest(a) - np.log(s)
+             + a * (2 * (np.log1p(u) - u) - u * u))
     return float(np.clip(np.sum(ws * np.exp(log_f) * _range_cdf_unit(q * s, k)), 0.0, 1.0))
 
 

@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 
 from ..functions import dist
 from .describe import PRICE, top_k_by_count
+from ..session import cut_lineage, ship_package
 from .quantiles import value_ranks
 
 
 def anova_input(dl: DataFrame, group: str, top_k: int | None = None) -> DataFrame:
-    """(g, y): y = ln(price + 1) for prices in 1..2000; optionally the top_k largest groups."""
-    d = dl.filter(F.col(PRICE).between(1, 2000)).select(
+    """(g, y): y = ln(price + 1) for prices in 1..2000; optionally the top_k largest groups.
+
+    A row without a group belongs to none and takes no part.
+    """
+    d = dl.filter(F.col(PRICE).between(1, 2000) & F.col(group).isNotNull()).select(
         F.col(group).alias("g"), F.log(F.col(PRICE) + 1).alias("y"))
     if top_k:
         d = d.join(F.broadcast(top_k_by_count(d, "g", top_k)), "g", "left_semi")
@@ -36,8 +40,10 @@ def group_stats(d: DataFrame) -> DataFrame:
 
 def anova_table(d: DataFrame) -> DataFrame:
     """One row with k, N, SSB, SSW, F and eta squared."""
-    gs = group_stats(d)
-    gm = d.agg(F.avg("y")).scalar()
+    return _table(group_stats(d), d.agg(F.avg("y")).scalar())
+
+
+def _table(gs: DataFrame, gm) -> DataFrame:
     t = gs.agg(
         F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"),
         F.sum(F.col("n") * (F.col("mean") - gm) * (F.col("mean") - gm)).alias("ssb"),
@@ -51,8 +57,8 @@ def anova_table(d: DataFrame) -> DataFrame:
 
 def kruskal(d: DataFrame) -> DataFrame:
     """Tie-corrected Kruskal-Wallis H in one row (h, h_uncorrected, tie_correction, n, k)."""
-    ranks = value_ranks(d, "y")
-    gv = d.groupBy("g", F.col("y").cast("double").alias("value")).agg(F.count(F.lit(1)).alias("c"))
+    gv = cut_lineage(d.where(F.col("y").isNotNull()).groupBy("g", F.col("y").cast("double").alias("value")).agg(F.count(F.lit(1)).alias("c")))
+    ranks = cut_lineage(value_ranks(d, "y", counts=gv.groupBy("value").agg(F.sum("c").alias("cnt"))))
     mean_rank = F.col("cum_before") + (F.col("cnt") + 1) / 2.0
     per_group = gv.join(ranks, "value").groupBy("g").agg(
         F.sum("c").alias("ng"), F.sum(F.col("c") * mean_rank).alias("rsum"))
@@ -67,26 +73,27 @@ def kruskal(d: DataFrame) -> DataFrame:
                      corr.alias("tie_correction"), n.alias("n"), "k")
 
 
-# Tukey compares every pair of groups; the group summary that is broadcast for the
-# pair join is checked against this bound first (500 groups = 124,750 pairs)
-MAX_TUKEY_GROUPS = 500
-
-
-def tukey_pairs(d: DataFrame, max_groups: int = MAX_TUKEY_GROUPS) -> DataFrame:
+def tukey_pairs(d: DataFrame) -> DataFrame:
     """T4 (SQL part): every pair of groups g1 < g2 with mean difference, SE and q.
 
     Joins the k-row group summary with itself: k(k-1)/2 pairs of groups,
-    never pairs of rows. k is checked (bounded count) before the broadcast.
+    which are the result, never pairs of rows.
     """
-    gs = group_stats(d)
-    k = gs.select("g").limit(max_groups + 1).count()
-    if k > max_groups:
-        raise ValueError(f"Tukey HSD over more than {max_groups} groups; select the top groups first")
-    t = anova_table(d)
-    mse = t.select(F.col("ssw") / F.col("df_within")).scalar()
-    a, b = gs.alias("a"), F.broadcast(gs.alias("b"))
+    gs = cut_lineage(group_stats(d))
+    return _pairs(gs, *_fit(gs))
+
+
+def _fit(gs: DataFrame) -> tuple[int, float, float]:
+    """(k, df within, mean square within) from the group summary."""
+    t = gs.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("ss_within").alias("ssw")).first()
+    dfw = (t["n"] or 0) - t["k"]
+    return t["k"], float(dfw), t["ssw"] / dfw if dfw > 0 else float("nan")
+
+
+def _pairs(gs: DataFrame, k: int, dfw: float, mse: float) -> DataFrame:
+    a, b = gs.alias("a"), gs.alias("b")
     p = a.join(b, F.col("a.g") < F.col("b.g"))
-    se = F.sqrt(mse / 2.0 * (1.0 / F.col("a.n") + 1.0 / F.col("b.n")))
+    se = F.sqrt(F.lit(mse) / 2.0 * (1.0 / F.col("a.n") + 1.0 / F.col("b.n")))
     diff = F.col("b.mean") - F.col("a.mean")
     return p.select(F.col("a.g").alias("group1"), F.col("b.g").alias("group2"),
                     diff.alias("meandiff"), se.alias("se"), (F.abs(diff) / se).alias("q_stat"))
@@ -95,23 +102,21 @@ def tukey_pairs(d: DataFrame, max_groups: int = MAX_TUKEY_GROUPS) -> DataFrame:
 def tukey_hsd(d: DataFrame, alpha: float = 0.05) -> DataFrame:
     """T4: full Tukey-Kramer table with adjusted p, confidence interval and reject flag.
 
-    The pair table has k(k-1)/2 rows (groups, not data); the tails are
-    computed on the driver from those scalars.
+    The tails of the pairs (groups, not data) are computed in tasks.
     """
-    t = anova_table(d).first()
-    k, dfw = int(t["k"]), float(t["df_within"])
-    crit = dist.studentized_range_ppf(1 - alpha, k, dfw)
-    rows = tukey_pairs(d).collect()
-    out = []
-    for r in rows:
-        p_adj = dist.studentized_range_sf(r["q_stat"], k, dfw)
-        out.append((r["group1"], r["group2"], float(r["meandiff"]), float(p_adj),
-                    float(r["meandiff"] - crit * r["se"]), float(r["meandiff"] + crit * r["se"]),
-                    bool(p_adj < alpha)))
-    spark = d.sparkSession
-    return spark.createDataFrame(
-        out, "group1 string, group2 string, meandiff double, p_adj double, lower double, "
-             "upper double, reject boolean")
+    gs = cut_lineage(group_stats(d))
+    k, dfw, mse = _fit(gs)
+    crit = dist.studentized_range_ppf(1 - alpha, k, dfw) if dfw > 0 and k > 1 else float("nan")
+
+    def tails(batches):
+        for pdf in batches:
+            yield pdf.assign(p_adj=[dist.studentized_range_sf(q, k, dfw) for q in pdf["q_stat"]])[
+                ["group1", "group2", "meandiff", "se", "p_adj"]]
+
+    ship_package(d.sparkSession)
+    t = _pairs(gs, k, dfw, mse).mapInPandas(tails, "group1 string, group2 string, meandiff double, se double, p_adj double")
+    return t.select("group1", "group2", "meandiff", "p_adj", (F.col("meandiff") - F.lit(crit) * F.col("se")).alias("lower"),
+                    (F.col("meandiff") + F.lit(crit) * F.col("se")).alias("upper"), (F.col("p_adj") < alpha).alias("reject"))
 
 
 def anova_tests(d: DataFrame, factor: str) -> DataFrame:

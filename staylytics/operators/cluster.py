@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import round_half_away
+from ..session import cut_lineage
 from . import features as FT
 
 
@@ -79,10 +80,16 @@ def scaled_cluster_frame(dl: DataFrame, room_types: list[str] | None = None) ->
     return z, [c + "_z" for c in cols]
 
 
-def fit_kmeans(df: DataFrame, k: int, seeds=(42,), max_iter: int = 300, tol: float = 1e-4,
-               parallelism: int = 4):
+#: Restarts of every K-Means fit; the fit of lowest cost counts.
+SEEDS = tuple(range(42, 52))
+
+
+def fit_kmeans(df: DataFrame, k: int, seeds=SEEDS, max_iter: int = 300, tol: float = 1e-4,
+               parallelism: int = 4, weight: str | None = None):
     """Fit one model per seed; keep the lowest training cost (C7's restarts), first seed on ties.
 
+    ``weight`` names a column that says how many rows a row stands for.
+
     The fits are independent Spark jobs over the same (persisted) frame and are
     submitted from a small thread pool, as pyspark.ml.tuning does for its
     ``parallelism`` parameter.
@@ -90,8 +97,8 @@ def fit_kmeans(df: DataFrame, k: int, seeds=(42,), max_iter: int = 300, tol: flo
     seeds = list(seeds)
 
     def one(s):
-        return KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol="features",
-                      predictionCol="cluster").fit(df)
+        km = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="cluster")
+        return (km.setWeightCol(weight) if weight else km).fit(df)
 
     with ThreadPool(max(1, min(parallelism, len(seeds)))) as pool:
         models = pool.map(one, seeds)
@@ -99,15 +106,15 @@ def fit_kmeans(df: DataFrame, k: int, seeds=(42,), max_iter: int = 300, tol: flo
     return models[min(range(len(models)), key=lambda i: (costs[i], i))]
 
 
-def kmeans_sweep(z: DataFrame, cols: list[str], ks=range(2, 11), seed: int = 42,
+def kmeans_sweep(z: DataFrame, cols: list[str], ks=range(2, 11), seeds=SEEDS,
                  parallelism: int = 4) -> list[tuple]:
-    """(k, inertia, silhouette) for each k; silhouette = squared-Euclidean, all rows."""
+    """(k, inertia, silhouette) of the best of the restarts for each k; squared-Euclidean silhouette, all rows."""
     a = assemble(z, cols).select("features").persist()
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
                              distanceMeasure="squaredEuclidean")
 
     def one(k):
-        m = fit_kmeans(a, k, (seed,))
+        m = fit_kmeans(a, k, seeds)
         return (int(k), float(m.summary.trainingCost), float(ev.evaluate(m.transform(a))))
 
     try:
@@ -151,11 +158,14 @@ class FinalClusters:
         return [np.asarray(raw[c]) for c in self.order]
 
 
-def final_clusters(z: DataFrame, cols: list[str], k: int, seeds=tuple(range(42, 52))) -> FinalClusters:
-    """K-Means with 10 restarts on all rows (frame persisted while the seeds run)."""
+def final_clusters(z: DataFrame, cols: list[str], k: int, seeds=SEEDS) -> FinalClusters:
+    """K-Means with 10 restarts on all rows (the frame is kept while the seeds run; the labelled rows are written)."""
     a = assemble(z, cols).persist()
-    m = fit_kmeans(a, k, seeds)
-    raw = m.transform(a)
+    try:
+        m = fit_kmeans(a, k, seeds)
+        raw = cut_lineage(m.transform(a).drop("features"))
+    finally:
+        a.unpersist()
     order = price_order(raw)
     return FinalClusters(relabel(raw, order), m, order)
 
@@ -179,7 +189,7 @@ def silhouette_rows(pred: DataFrame, cols: list[str]) -> DataFrame:
     other = F.least(*[F.when(F.col("cluster") != c, d) for c, (d, _) in dist.items()], F.lit(None).cast("double"))
     size = F.coalesce(*[F.when(F.col("cluster") == c, F.lit(n)) for c, (_, n) in dist.items()])
     s = F.when(size <= 1, F.lit(0.0)).otherwise(F.try_divide(other - own, F.greatest(own, other)))
-    return pred.select("*", s.alias("silhouette"))
+    return pred.select("*", s.alias("silhouette_sq_euclidean"))
 
 
 def cluster_profile(pred: DataFrame, raw_cols=("price", "avail", "minimum_nights", "total_reviews")) -> DataFrame:
@@ -192,8 +202,12 @@ def cluster_profile(pred: DataFrame, raw_cols=("price", "avail", "minimum_nights
 
 
 def cluster_room_share(pred: DataFrame) -> DataFrame:
-    """Room type % within each cluster (missing cell = 0), one decimal."""
-    counts = pred.groupBy("cluster", "room_type").agg(F.count(F.lit(1)).alias("n"))
-    tot = pred.groupBy("cluster").agg(F.count(F.lit(1)).alias("tot"))
-    return counts.join(F.broadcast(tot), "cluster").select(
-        "cluster", "room_type", round_half_away(F.col("n") * 100.0 / F.col("tot"), 1).alias("pct"))
+    """Room type % within each cluster, one decimal; every cluster has every room type (0 where it has none)."""
+    counts = cut_lineage(pred.groupBy("cluster", "room_type").agg(F.count(F.lit(1)).alias("n")))
+    types = F.array(*[F.lit(r[0]) for r in counts.select("room_type").distinct().orderBy(F.asc_nulls_last("room_type")).collect()])
+    tot = counts.groupBy("cluster").agg(F.sum("n").alias("tot"))
+    cells = tot.select("cluster", "tot", F.explode(types).alias("room_type")).alias("a")
+    c = counts.alias("c")
+    same = F.col("a.cluster").eqNullSafe(F.col("c.cluster")) & F.col("a.room_type").eqNullSafe(F.col("c.room_type"))
+    return cells.join(c, same, "left").select(
+        "a.cluster", "a.room_type", round_half_away(F.coalesce("c.n", F.lit(0)) * 100.0 / F.col("a.tot"), 1).alias("pct"))

@@ -227,6 +227,11 @@ def weekend_premium_overall(fa: DataFrame, k: int = 5) -> DataFrame:
         .select("neighbourhood", "premium_pct", avg.alias("avg_pct"))
 
 
+def weekend_discounts(fa: DataFrame, k: int = 5) -> DataFrame:
+    """O3: the tail of E19, the k neighbourhoods with the lowest weekend premium."""
+    return weekend_premium(fa).orderBy("premium_pct", "neighbourhood").limit(k).select("neighbourhood", "premium_pct")
+
+
 def monthly_reviews(fr: DataFrame, start: str = "2018-01-01") -> DataFrame:
     """E21."""
     d = fr.filter(F.col("review_date") >= F.lit(start).cast("date"))

@@ -31,18 +31,9 @@ def dummy_name(level: str, prefix: str = "rt") -> str:
     return f"{prefix}_" + re.sub(r"[^0-9A-Za-z]+", "_", level).strip("_")
 
 
-# a categorical column becomes one dummy column per level; the level list is the only
-# thing collected, and only up to this bound
-MAX_LEVELS = 1000
-
-
-def levels(df: DataFrame, col: str, max_levels: int = MAX_LEVELS) -> list[str]:
-    """Sorted distinct non-null values of a categorical column (bounded)."""
-    lv = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct()
-          .orderBy(col).limit(max_levels + 1).collect()]
-    if len(lv) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels; not a categorical column")
-    return lv
+def levels(df: DataFrame, col: str) -> list[str]:
+    """Sorted distinct non-null values of a categorical column; each becomes a column of the result's schema."""
+    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
 
 
 def one_hot(df: DataFrame, col: str, drop_first: bool = True, prefix: str = "rt",

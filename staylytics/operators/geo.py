@@ -7,9 +7,9 @@ re-aimed operator. Boundaries are MultiPolygon coordinate arrays
 Plan: an equi-join on grid cells, then the exact test.
   1. each polygon is exploded to the grid cells its bounding box covers;
   2. each point gets its own cell;
-  3. equi-join on the cell (a hash join; AQE broadcasts the polygon side
+  3. equi-join on the cell (the cells carry the polygon's key only; AQE broadcasts the polygon side
      when its measured size is small and splits a hot cell if one holds
-     a third of the points);
+     a third of the points), then the boundaries of the matches;
   4. ray casting with higher-order functions (``exists``/``aggregate``/
      ``filter`` over rings, no Python): a point is inside a polygon when
      a ray to +lon crosses its rings (outer ring and holes) an odd number
@@ -54,25 +54,29 @@ def bounding_box(boundary: Column) -> list[Column]:
 
 
 def polygon_cells(polygons: DataFrame, key: str, boundary: str, cell: float) -> DataFrame:
-    """(key, boundary, cx, cy) for every grid cell met by the polygon's bounding box."""
-    bb = polygons.where(F.col(boundary).isNotNull()).select(key, boundary, *bounding_box(F.col(boundary)))
+    """(key, cx, cy) for every grid cell met by the polygon's bounding box."""
+    bb = polygons.where(F.col(boundary).isNotNull()).select(key, *bounding_box(F.col(boundary)))
     cx = F.explode(F.sequence(F.floor(F.col("min_lon") / cell), F.floor(F.col("max_lon") / cell)))
     cy = F.explode(F.sequence(F.floor(F.col("min_lat") / cell), F.floor(F.col("max_lat") / cell)))
-    return (bb.select(key, boundary, "min_lat", "max_lat", cx.alias("cx"))
-            .select(key, boundary, "cx", cy.alias("cy")))
+    return bb.select(key, "min_lat", "max_lat", cx.alias("cx")).select(key, "cx", cy.alias("cy"))
 
 
-def points_in_polygons(points: DataFrame, lon: str, lat: str, polygons: DataFrame,
+def points_in_polygons(points: DataFrame, lon: str, lat: str, polygons: DataFrame, id_col: str,
                        key: str = "neighbourhood", boundary: str = "neighbourhood_boundary",
                        cell: float = 0.02) -> DataFrame:
-    """Every (point row, polygon key) with the point inside the polygon.
+    """Every point row with the key of each polygon it is inside; NULL where it is in none or has no coordinates.
 
-    ``cell`` is the grid side in degrees; a polygon contributes one row per
-    covered cell, so it should be of the order of a polygon's width.
+    ``id_col`` tells points apart. ``cell`` is the grid side in degrees; a
+    polygon contributes one row (without its boundary) per covered cell,
+    so it should be of the order of a polygon's width. The boundary joins
+    the points that share a cell with it.
     """
     pc = polygon_cells(polygons, key, boundary, cell).withColumnRenamed(key, "_poly_key")
-    pts = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()).select(
-        "*", F.floor(F.col(lon) / cell).alias("cx"), F.floor(F.col(lat) / cell).alias("cy"))
-    j = pts.join(pc, ["cx", "cy"])
-    hit = j.where(inside_multipolygon(F.col(boundary), F.col(lon), F.col(lat)))
-    return hit.select(*points.columns, F.col("_poly_key").alias(f"{key}_in_boundary"))
+    shape = polygons.select(F.col(key).alias("_poly_key"), F.col(boundary).alias("_shape"))
+    at = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()).select(
+        F.col(id_col).alias("_id"), F.col(lon).alias("_lon"), F.col(lat).alias("_lat"),
+        F.floor(F.col(lon) / cell).alias("cx"), F.floor(F.col(lat) / cell).alias("cy"))
+    near = at.join(pc, ["cx", "cy"]).join(shape, "_poly_key")
+    hit = near.where(inside_multipolygon(F.col("_shape"), F.col("_lon"), F.col("_lat"))).select("_id", "_poly_key").distinct()
+    return points.join(hit, F.col(id_col) == F.col("_id"), "left").select(
+        *[points[c] for c in points.columns], F.col("_poly_key").alias(f"{key}_in_boundary"))

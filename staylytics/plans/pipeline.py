@@ -8,14 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import marts, staging
 
-# Logical source name -> bronze table name
-SOURCES = {
-    "raw_listings": "raw_listings",
-    "raw_calendar": "raw_calendar",
-    "raw_reviews": "raw_reviews",
-    "raw_neighbourhoods": "raw_neighbourhoods",
-}
-
 # layer -> database name (the routing rule: silver and gold have fixed names)
 LAYER_DATABASES = {"silver": "rentals_silver", "gold": "rentals_gold"}
 

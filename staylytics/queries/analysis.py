@@ -244,6 +244,14 @@ SELECT neighbourhood, premium_pct, (SELECT {r('avg(premium_pct)', 2)} FROM wp) A
 FROM wp ORDER BY premium_pct DESC, neighbourhood LIMIT 5""", ["premium_pct", "avg_pct"])
 
 
+@query("weekend_discounts")
+def q_weekend_discounts(c): return E.weekend_discounts(c["fct_availability"])
+
+
+oracle("weekend_discounts", WEEKEND_SQL + """
+SELECT neighbourhood, premium_pct FROM wp ORDER BY premium_pct, neighbourhood LIMIT 5""", ["premium_pct"])
+
+
 @query("monthly_reviews")
 def q_monthly_reviews(c): return E.monthly_reviews(c["fct_reviews"], REVIEWS_SINCE)
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..operators import cluster as CL
 from ..operators import features as FT
-from ..oracle import oracle
+from ..oracle import oracle, r
 from ..registry import Ctx, query
+from ..session import cut_lineage
 from .analysis import TEST_ROOM_TYPES
 
 P = "avg_price_next_30_days"
@@ -103,7 +104,7 @@ def q_kmeans_sweep(c: Ctx):
     sw = _sweep(c)
     bk = CL.best_k(sw)
     return c.spark.createDataFrame([(k, i, s, k == bk) for k, i, s in sw],
-                                   "k int, inertia double, silhouette double, is_best boolean")
+                                   "k int, inertia double, silhouette_sq_euclidean double, is_best boolean")
 
 
 def _final(c: Ctx):
@@ -124,9 +125,13 @@ def q_silhouette_by_cluster(c: Ctx):
     """Per-row silhouette (squared Euclidean), averaged per cluster and overall."""
     fc, cols = _final(c)
     s = CL.silhouette_rows(fc.pred, cols)
-    per = s.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("silhouette").alias("silhouette"))
-    overall = s.agg(F.lit(-1).alias("cluster"), F.count(F.lit(1)).alias("n"), F.avg("silhouette").alias("silhouette"))
-    return per.unionByName(overall)
+    return _silhouettes(s)
+
+
+def _silhouettes(s):
+    mean = F.avg("silhouette_sq_euclidean").alias("silhouette_sq_euclidean")
+    per = s.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), mean)
+    return per.unionByName(s.agg(F.lit(-1).alias("cluster"), F.count(F.lit(1)).alias("n"), mean))
 
 
 @query("cluster_profile")
@@ -153,34 +158,123 @@ def q_cluster_centroids(c: Ctx):
     return c.spark.createDataFrame(rows, "cluster int, pc1 double, pc2 double")
 
 
+def _neighbourhood_clusters(c: Ctx):
+    def fit():
+        cols = ["avg_price_usd", "total_listings", "total_hosts", "min_price_usd", "max_price_usd"]
+        dn = c["dim_neighbourhoods"].select(
+            "neighbourhood", *[F.coalesce(F.col(x).cast("double"), F.lit(0.0)).alias(x) for x in cols])
+        z = FT.standardise(dn, cols, suffix="_z")
+        a = CL.assemble(z, [x + "_z" for x in cols]).persist()
+        try:
+            raw = cut_lineage(CL.fit_kmeans(a, 3, tuple(range(42, 62))).transform(a).drop("features"))
+        finally:
+            a.unpersist()
+        return CL.relabel_by_price(raw, "avg_price_usd")
+    return c.once("neighbourhood_clusters", fit)
+
+
 @query("neighbourhood_clusters")
 def q_neighbourhood_clusters(c: Ctx):
-    """K=3 on five standardised neighbourhood measures; profile and members."""
-    cols = ["avg_price_usd", "total_listings", "total_hosts", "min_price_usd", "max_price_usd"]
-    dn = c["dim_neighbourhoods"].select(
-        "neighbourhood", *[F.coalesce(F.col(x).cast("double"), F.lit(0.0)).alias(x) for x in cols])
-    z = FT.standardise(dn, cols, suffix="_z")
-    a = CL.assemble(z, [x + "_z" for x in cols]).persist()
-    m = CL.fit_kmeans(a, 3, tuple(range(42, 62)))
-    pred = CL.relabel_by_price(m.transform(a), "avg_price_usd")
-    return pred.groupBy("cluster").agg(
+    """K=3 on five standardised neighbourhood measures: profile of each cluster."""
+    return _neighbourhood_clusters(c).groupBy("cluster").agg(
         F.round(F.avg("avg_price_usd"), 1).alias("avg_price_usd"),
         F.round(F.avg("total_listings"), 1).alias("total_listings"),
-        F.round(F.avg("total_hosts"), 1).alias("total_hosts"),
-        F.array_join(F.sort_array(F.collect_list("neighbourhood")), ", ").alias("members"))
+        F.round(F.avg("total_hosts"), 1).alias("total_hosts"), F.count(F.lit(1)).alias("n_members"))
+
+
+@query("neighbourhood_cluster_members")
+def q_neighbourhood_cluster_members(c: Ctx):
+    """A row for each member of each cluster."""
+    return _neighbourhood_clusters(c).select("cluster", "neighbourhood")
 
 
 @query("room_type_clusters")
 def q_room_type_clusters(c: Ctx):
-    """C14: clusters of located listings from full room-type one-hot only (for the map)."""
+    """C14: clusters of located listings from full room-type one-hot only (for the map).
+
+    Listings of a room type are one point, so the fit sees each type once
+    with its number of listings as weight. Clusters are numbered by their least room type.
+    """
     d = c["dim_listings"].filter(F.col("latitude").isNotNull())
-    oh, names = FT.one_hot(d, "room_type", drop_first=False, prefix="is")
-    z = FT.standardise(oh, names, suffix="_z")
-    k = CL.best_k(_sweep(c))
-    a = CL.assemble(z, [n + "_z" for n in names])
-    m = CL.fit_kmeans(a, k, tuple(range(42, 52)))
-    return m.transform(a).select("listing_id", "latitude", "longitude", "room_type", "cluster")
+    types = cut_lineage(d.groupBy("room_type").agg(F.count(F.lit(1)).cast("double").alias("n")))
+    oh, names = FT.one_hot(types, "room_type", drop_first=False, prefix="is")
+    total = F.lit(types.agg(F.sum("n")).first()[0] or 1.0)
+    share = types.select("room_type", (F.col("n") / total).alias("share")).collect()  # a row for each room type
+    sd = {FT.dummy_name(r["room_type"], "is"): (r["share"], float(np.sqrt(r["share"] * (1 - r["share"])))) for r in share if r["room_type"] is not None}
+    z = oh.select("room_type", "n", *[((F.col(x) - sd[x][0]) / sd[x][1] if sd[x][1] else F.lit(0.0)).alias(x + "_z") for x in names])
+    a = CL.assemble(z, [n + "_z" for n in names]).persist()
+    try:
+        k = min(CL.best_k(_sweep(c)), a.count())
+        pred = cut_lineage(CL.fit_kmeans(a, k, weight="n").transform(a).select("room_type", "cluster"))
+    finally:
+        a.unpersist()
+    first = pred.groupBy("cluster").agg(F.min("room_type").alias("first")).orderBy(F.asc_nulls_last("first")).collect()
+    of = CL.relabel(pred, [r["cluster"] for r in first])
+    return d.join(of, d["room_type"].eqNullSafe(of["room_type"]), "left").select("listing_id", "latitude", "longitude", d["room_type"], "cluster")
+
+
+def _by_room_type(c: Ctx):
+    """The scaled listings with their room type as cluster, in alphabetical order: a labelling that SQL has too."""
+    z, cols = _scaled(c)
+    number = F.array(*[F.lit(t) for t in TEST_ROOM_TYPES])
+    return z.withColumn("cluster", (F.array_position(number, F.col("room_type")) - 1).cast("int")), cols
+
+
+TYPE_NUMBER = "CASE room_type " + " ".join(f"WHEN '{t}' THEN {i}" for i, t in enumerate(TEST_ROOM_TYPES)) + " END"
+Z = [x + "_z" for x in BASE + DUMMIES]
+LABELLED_SQL = FEATURES_SQL.rstrip() + f""",
+z AS (SELECT f.listing_id, room_type, {TYPE_NUMBER} AS cluster, {", ".join(f"f.{b} AS {b}" for b in BASE)}, {", ".join(
+    f"CASE WHEN stddev_pop(f.{x}) OVER () = 0 THEN 0.0e0 ELSE (f.{x} - avg(f.{x}) OVER ()) / stddev_pop(f.{x}) OVER () END AS {x}_z"
+    for x in BASE + DUMMIES)}
+  FROM f JOIN m ON f.listing_id = m.listing_id)
+"""
+
+
+@query("silhouette_by_room_type")
+def q_silhouette_by_room_type(c: Ctx):
+    """C8 on a given labelling: squared-Euclidean silhouette with the room type as cluster."""
+    z, cols = _by_room_type(c)
+    return _silhouettes(CL.silhouette_rows(z, cols))
+
+
+_NORM = " + ".join(f"{x} * {x}" for x in Z)
+oracle("silhouette_by_room_type", LABELLED_SQL.rstrip() + f""",
+pairs AS (SELECT a.listing_id, a.cluster, b.cluster AS other, sum({" + ".join(f"(a.{x} - b.{x}) * (a.{x} - b.{x})" for x in Z)}) AS d, count(*) AS n
+          FROM z a JOIN z b ON a.listing_id <> b.listing_id GROUP BY a.listing_id, a.cluster, b.cluster),
+s AS (SELECT listing_id, cluster, max(CASE WHEN other = cluster THEN d / n END) AS own, min(CASE WHEN other <> cluster THEN d / n END) AS near
+      FROM pairs GROUP BY listing_id, cluster),
+r AS (SELECT cluster, CASE WHEN own IS NULL THEN 0.0e0 ELSE (near - own) / greatest(own, near) END AS silhouette_sq_euclidean FROM s)
+SELECT cluster, count(*) AS n, avg(silhouette_sq_euclidean) AS silhouette_sq_euclidean FROM r GROUP BY cluster
+UNION ALL SELECT -1, count(*), avg(silhouette_sq_euclidean) FROM r""", ["silhouette_sq_euclidean"])
+
+
+@query("profile_by_room_type")
+def q_profile_by_room_type(c: Ctx):
+    """C9 on a given labelling."""
+    return CL.cluster_profile(_by_room_type(c)[0])
+
+
+oracle("profile_by_room_type", LABELLED_SQL.rstrip() + """,
+p AS (SELECT cluster, """ + ", ".join(f"{r(f'avg({b})', 2)} AS {b}" for b in BASE) + """ FROM z GROUP BY cluster)
+SELECT cluster, """ + ", ".join(BASE) + ", " + ", ".join(
+    f"CASE WHEN stddev_samp({b}) OVER () = 0 THEN NULL ELSE ({b} - avg({b}) OVER ()) / stddev_samp({b}) OVER () END AS {b}_z" for b in BASE)
+       + " FROM p", BASE + [b + "_z" for b in BASE])
+
+
+@query("room_share_by_price_band")
+def q_room_share_by_price_band(c: Ctx):
+    """C10 / A20 on a given labelling: bands of 100 of the clipped price as clusters, empty cells 0."""
+    d, _ = _features(c)
+    return CL.cluster_room_share(d.withColumn("cluster", F.floor(F.col("price") / 100).cast("int")))
+
 
+oracle("room_share_by_price_band", FEATURES_SQL.rstrip() + f""",
+b AS (SELECT CAST(floor(f.price / 100) AS INTEGER) AS cluster, room_type FROM f JOIN m ON f.listing_id = m.listing_id),
+t AS (SELECT cluster, count(*) AS tot FROM b GROUP BY cluster),
+n AS (SELECT cluster, room_type, count(*) AS n FROM b GROUP BY cluster, room_type),
+y AS (SELECT DISTINCT room_type FROM b)
+SELECT t.cluster, y.room_type, {r("COALESCE(n.n, 0) * 100.0e0 / t.tot", 1)} AS pct
+FROM t CROSS JOIN y LEFT JOIN n ON n.cluster = t.cluster AND n.room_type IS NOT DISTINCT FROM y.room_type""", ["pct"])
 
 
 @query("dbscan_summary")

@@ -12,7 +12,7 @@ P = "avg_price_next_30_days"
 
 
 def _input_sql(group: str, top_k: int | None) -> str:
-    s = f", d0 AS (SELECT {group} AS g, ln({P} + 1) AS y FROM dim_listings WHERE {P} BETWEEN 1 AND 2000)"
+    s = f", d0 AS (SELECT {group} AS g, ln({P} + 1) AS y FROM dim_listings WHERE {P} BETWEEN 1 AND 2000 AND {group} IS NOT NULL)"
     if top_k:
         s += (f", top AS (SELECT g FROM d0 GROUP BY g ORDER BY count(*) DESC, g ASC NULLS LAST LIMIT {top_k})"
               ", d AS (SELECT * FROM d0 WHERE g IN (SELECT g FROM top))")

@@ -8,6 +8,7 @@ from ..oracle import oracle, r
 from ..operators import describe
 from ..plans import marts, staging
 from ..registry import Ctx, query
+from ..sources.files import EXTRACT_COLUMNS, _share, extract_all, hash_sample, sample_rows
 
 
 @query("stg_listings")
@@ -185,22 +186,25 @@ def q_listings_in_boundary(c: Ctx):
     from ..operators.geo import points_in_polygons
 
     pts = c["dim_listings"].select("listing_id", "longitude", "latitude")
-    hit = points_in_polygons(pts, "longitude", "latitude", c["dim_neighbourhoods"])
+    hit = points_in_polygons(pts, "longitude", "latitude", c["dim_neighbourhoods"], "listing_id")
     return hit.select("listing_id", "neighbourhood_in_boundary")
 
 
 oracle("listings_in_boundary", """
 SELECT l.listing_id, n.neighbourhood AS neighbourhood_in_boundary
-FROM dim_listings l JOIN stg_neighbourhoods n
+FROM dim_listings l LEFT JOIN stg_neighbourhoods n
   ON l.longitude > n.lon0 AND l.longitude < n.lon1 AND l.latitude > n.lat0 AND l.latitude < n.lat1""")
 
 
+def _extract(c: Ctx, name: str):
+    """One written extract, read back; all are written once for a context."""
+    return c.spark.read.parquet(c.once("extracts", lambda: extract_all(c.models, f"{c.root}/extracts"))[name])
+
+
 @query("gold_extract_listings")
 def q_gold_extract_listings(c: Ctx):
     """The listings extract projection."""
-    from ..sources.files import EXTRACT_COLUMNS
-
-    return c["dim_listings"].select(*EXTRACT_COLUMNS["dim_listings"])
+    return _extract(c, "dim_listings")
 
 
 oracle("gold_extract_listings", """
@@ -211,19 +215,42 @@ FROM dim_listings""", ["latitude", "longitude", "current_price", "avg_price_next
                       "availability_rate_next_30_days"])
 
 
+for _name, _table, _doubles in (("hosts", "dim_hosts", ["min_listing_price", "max_listing_price", "avg_listing_price"]),
+                                ("neighbourhoods", "dim_neighbourhoods", ["avg_price_usd", "min_price_usd", "max_price_usd"]),
+                                ("reviews", "fct_reviews", []), ("availability", "fct_availability", ["price_usd"])):
+    query(f"gold_extract_{_name}")(lambda c, t=_table: _extract(c, t))
+    oracle(f"gold_extract_{_name}", f"SELECT {', '.join(EXTRACT_COLUMNS[_table])} FROM {_table}", _doubles)
+
+
+@query("listings_with_price")
+def q_listings_with_price(c: Ctx):
+    """Staged listings without the rows that have no price."""
+    return c["stg_listings"].where("price_usd IS NOT NULL")
+
+
+oracle("listings_with_price", "SELECT * FROM stg_listings WHERE price_usd IS NOT NULL", ["latitude", "longitude", "price_usd"])
+
+
 @query("sample_availability")
 def q_sample_availability(c: Ctx):
     """3 % row sample of the availability extract columns (a sampling operator)."""
-    from ..sources.files import EXTRACT_COLUMNS, sample_rows
+    return sample_rows(c["fct_availability"].select(*EXTRACT_COLUMNS["fct_availability"]), 0.03, ["listing_id", "date"])
+
 
-    return sample_rows(c["fct_availability"].select(*EXTRACT_COLUMNS["fct_availability"]), 0.03)
+oracle("sample_availability", f"""
+SELECT {", ".join(EXTRACT_COLUMNS["fct_availability"])} FROM fct_availability
+WHERE md5(CAST(listing_id AS VARCHAR) || ':' || CAST(date AS VARCHAR) || ':42') < '{_share(0.03)}'""", ["price_usd"])
 
 
 @query("scatter_sample")
 def q_scatter_sample(c: Ctx):
     """Reproducible 5,000-listing subsample (seeded hash order) for point charts and maps."""
-    from ..sources.files import hash_sample
-
     dl = c["dim_listings"].where("latitude IS NOT NULL AND avg_price_next_30_days IS NOT NULL")
     return hash_sample(dl.select("listing_id", "latitude", "longitude", "room_type",
                                  "avg_price_next_30_days"), "listing_id", 5000)
+
+
+oracle("scatter_sample", """
+SELECT listing_id, latitude, longitude, room_type, avg_price_next_30_days FROM dim_listings
+WHERE latitude IS NOT NULL AND avg_price_next_30_days IS NOT NULL
+ORDER BY md5(CAST(listing_id AS VARCHAR) || ':42'), listing_id LIMIT 5000""", ["latitude", "longitude", "avg_price_next_30_days"])

@@ -1,19 +1,20 @@
-"""Mixed-effects queries T7-T11 (rows-only: iterative fits, no SQL oracle).
+"""Mixed-effects queries T7-T11: iterative fits over the whole tables.
 
-Correctness of the fits is unit-tested against a dense numpy REML
-(tests/test_mixed.py); these entries run them over the whole tables.
+The fits are unit-tested against a dense numpy REML (tests/test_mixed.py);
+the criterion they minimise has a SQL oracle on a fixed grid.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Window
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions.columns import round_half_away
 from ..operators import describe as E
 from ..operators import mixed as MX
+from ..oracle import oracle
 from ..registry import Ctx, query
 
 # test-data parameter: the room type standing in for 'Entire home/apt' (c_mktsegment values)
@@ -59,15 +60,52 @@ def q_lmm_fit_stats(c: Ctx):
 
 @query("neighbourhood_premium")
 def q_neighbourhood_premium(c: Ctx):
-    """T8 + J8: random intercept per neighbourhood, premium % = expm1(u) * 100, ranked, with centroid."""
+    """T8 + J8: random intercept per neighbourhood, premium % = expm1(u) * 100, with centroid."""
+    return _premiums(c).join(E.centroids(c["dim_listings"]), "neighbourhood")
+
+
+def _premiums(c: Ctx):
     u = _a(c).blups.select(F.col("g").alias("neighbourhood"), F.col("u").alias("random_intercept"))
-    cent = E.centroids(c["dim_listings"])
-    ranked = u.select("neighbourhood", "random_intercept",
-                      round_half_away(F.expm1("random_intercept") * 100, 1).alias("premium_pct"),
-                      # one row per neighbourhood: a small, bounded window
-                      F.row_number().over(Window.orderBy(F.desc("random_intercept"), "neighbourhood"))
-                      .alias("rank"))
-    return ranked.join(cent, "neighbourhood")
+    return u.select("*", round_half_away(F.expm1("random_intercept") * 100, 1).alias("premium_pct"))
+
+
+@query("premium_extremes")
+def q_premium_extremes(c: Ctx):
+    """The five highest and the five lowest neighbourhood premiums."""
+    p = _premiums(c)
+    top = p.orderBy(F.desc("random_intercept"), "neighbourhood").limit(5).withColumn("end", F.lit("top"))
+    return top.unionByName(p.orderBy("random_intercept", "neighbourhood").limit(5).withColumn("end", F.lit("bottom")))
+
+
+@query("lmm_residuals")
+def q_lmm_residuals(c: Ctx):
+    """Response, fitted value and conditional residual of every row of model A."""
+    return _a(c).fitted()
+
+
+GRID = (0.0, 0.01, 0.1, 0.5, 1.0, 10.0)
+
+
+@query("lmm_null_criterion")
+def q_lmm_null_criterion(c: Ctx):
+    """T7's criterion on a fixed grid of variance ratios, for the model without predictors."""
+    des = MX.build_design(MX.listing_model_frame(c["dim_listings"]), "log_price", "neighbourhood", [])
+    ymean = float(des.frame.agg(F.avg("y")).first()[0])
+    sums = MX._theta_sums(MX.group_sums(des, np.zeros(1), ymean), list(GRID), 1)
+    rows = [(v["theta"], float(v["reml"]), float(v["ml"])) for v in (MX._criteria(s, [0]) for s in sums)]
+    return c.spark.createDataFrame(rows, "theta double, neg2_reml double, neg2_ml double")
+
+
+oracle("lmm_null_criterion", f"""
+, d AS (SELECT neighbourhood AS g, ln({E.PRICE} + 1) AS y FROM dim_listings
+        WHERE {E.PRICE} BETWEEN 1 AND 2000 AND {E.RATE} IS NOT NULL AND neighbourhood IS NOT NULL),
+m AS (SELECT avg(y) AS ym FROM d),
+gs AS (SELECT g, CAST(count(*) AS DOUBLE) AS n, sum(y - ym) AS s, sum((y - ym) * (y - ym)) AS ss FROM d, m GROUP BY g),
+t AS (SELECT unnest([{", ".join(f"{x}e0" for x in GRID)}]) AS theta),
+a AS (SELECT theta, sum(n) AS n, sum(n - theta / (1 + theta * n) * n * n) AS a, sum(s - theta / (1 + theta * n) * n * s) AS b,
+             sum(ss - theta / (1 + theta * n) * s * s) AS qy, sum(ln(1 + theta * n)) AS ld FROM gs, t GROUP BY theta)
+SELECT theta, (n - 1) * (ln((qy - b * b / a) / (n - 1)) + 1 + ln(2 * pi())) + ld + ln(a) AS neg2_reml,
+       n * (ln((qy - b * b / a) / n) + 1 + ln(2 * pi())) + ld AS neg2_ml FROM a""", ["neg2_reml", "neg2_ml"])
 
 
 @query("lmm_residual_hist")

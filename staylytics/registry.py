@@ -29,6 +29,7 @@ class Ctx:
     sf_dir: str
     bronze: dict[str, DataFrame]
     models: Models
+    root: str = ""
     memo: dict = field(default_factory=dict)
     timing: dict = field(default_factory=dict)
 
@@ -63,7 +64,7 @@ def context(spark: SparkSession, sf_dir: str) -> Ctx:
             bronze[name] = spark.read.parquet(os.path.join(root, "bronze", name))
         t_bronze = time.time()
         models = materialise(spark, bronze, os.path.join(root, "gold"))
-        ctx = Ctx(spark, sf_dir, bronze, models)
+        ctx = Ctx(spark, sf_dir, bronze, models, root)
         ctx.timing = {"bronze_sec": t_bronze - t0, "gold_sec": time.time() - t_bronze}
         _CTX[key] = ctx
     return ctx

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import sysconfig
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +63,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """For jobs with Python in their tasks: send this package where the workers would not find it.
+
+    It is neither installed nor on PYTHONPATH then. Spark serves the file.
+    """
+    package = Path(__file__).resolve().parent
+    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep), *sysconfig.get_paths().values()]
+    sc = spark.sparkContext
+    if str(package.parent) in map(os.path.realpath, found) or getattr(sc, "_staylytics_sent", False):
+        return
+    name = os.path.join(tempfile.mkdtemp(prefix="staylytics-code-"), "staylytics.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(name)
+    sc._staylytics_sent = True
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -37,13 +37,25 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Pick the schema's columns by name and cast them; a missing column becomes NULL."""
-    have = set(df.columns)
-    cols = []
-    for f in schema.fields:
-        src = F.col(f"`{f.name}`") if f.name in have else F.lit(None)
-        cols.append(src.try_cast(f.dataType).alias(f.name) if f.name in have else src.cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    """Pick the schema's columns by name and cast them; text that does not parse becomes NULL (see ``cast_report``)."""
+    _check_columns(df, schema)
+    return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _check_columns(df: DataFrame, schema: T.StructType) -> None:
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"source has no column {', '.join(missing)}; it has {', '.join(df.columns)}")
+
+
+def cast_report(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """(column, n_text, n_lost): texts of each column, and those that ``conform`` turns into NULL."""
+    _check_columns(df, schema)
+    names = [f.name for f in schema.fields]
+    row = df.agg(*[F.count(F.col(f"`{n}`")).alias(f"t{i}") for i, n in enumerate(names)],
+                 *[F.count(F.col(f"`{f.name}`").try_cast(f.dataType)).alias(f"c{i}") for i, f in enumerate(schema.fields)])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"t{i}").alias("n_text"), (
+        F.col(f"t{i}") - F.col(f"c{i}")).alias("n_lost")) for i, n in enumerate(names)])))
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, partitions: int | None = None) -> DataFrame:
@@ -138,32 +150,31 @@ EXTRACT_COLUMNS = {
 }
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Bernoulli row sample (Spark samples rows, not storage blocks)."""
-    return df.sample(fraction=fraction, seed=seed)
+def _draw(keys: list[str], seed: int):
+    """A uniform hexadecimal text for each row: MD5 of its key columns and the seed."""
+    return F.md5(F.concat_ws(":", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed))))
+
+
+def _share(fraction: float) -> str:
+    """The text below which ``fraction`` of all draws lie."""
+    return format(min(int(fraction * 2 ** 60), 2 ** 60 - 1), "015x") if fraction < 1 else "g"
+
+
+def sample_rows(df: DataFrame, fraction: float, keys: list[str], seed: int = 42) -> DataFrame:
+    """Each row stays with probability ``fraction``; its key decides, whatever the partitions."""
+    return df.where(_draw(keys, seed) < F.lit(_share(fraction)))
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """A reproducible subsample of n rows without replacement.
 
-    Rows are ranked by a seeded hash of the key (key as tie-break) and the n
-    smallest kept. To keep the final top-n merge small on any number of input
-    partitions, a hash threshold t at about 2n/N is found first (approximate
-    quantile); if at least n rows have hash <= t, the n smallest overall are
-    all among them, so filtering first changes nothing. Otherwise the plain
-    distributed top-n runs.
+    The n rows with the lowest draws (key as tie-break). Draws are
+    uniform, so rows below 2n/N are about 2n; if they are n at least, the
+    n lowest are among them and only these are sorted.
     """
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    hashed = df.select("*", h.alias("_h"))
-    st = hashed.agg(F.count(F.lit(1)).alias("N")).first()
-    total = int(st["N"])
-    out = hashed
-    if total > 4 * n:
-        t = hashed.agg(F.percentile_approx("_h", min(1.0, 2.0 * n / total), 10000).alias("t")).first()["t"]
-        kept = hashed.where(F.col("_h") <= F.lit(t))
-        if kept.count() >= n:
-            out = kept
-    return out.orderBy("_h", key).limit(n).drop("_h")
+    drawn = df.select("*", _draw([key], seed).alias("_h"))
+    kept = drawn.where(F.col("_h") < F.lit(_share(2.0 * n / max(1, drawn.count()))))
+    return (kept if kept.count() >= n else drawn).orderBy("_h", key).limit(n).drop("_h")
 
 
 def extract_all(models, out_dir: str, availability_fraction: float | None = None) -> dict[str, str]:
@@ -172,7 +183,7 @@ def extract_all(models, out_dir: str, availability_fraction: float | None = None
     for name, cols in EXTRACT_COLUMNS.items():
         df = models[name]
         if name == "fct_availability" and availability_fraction:
-            df = sample_rows(df, availability_fraction)
+            df = sample_rows(df, availability_fraction, ["listing_id", "date"])
         paths[name] = os.path.join(out_dir, f"{name}.parquet")
         extract(df, cols, paths[name])
     return paths
@@ -184,5 +195,5 @@ def extract(df: DataFrame, cols: list[str], path: str) -> None:
 
 
 def write_stats(df: DataFrame, path: str) -> None:
-    """Persist a (small) result frame as JSON lines."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """Persist a result frame as JSON lines."""
+    df.write.mode("overwrite").json(path)

@@ -33,8 +33,9 @@ def test_random_points_match_reference(spark):
     pts += [(3000 + i, float(x), float(y)) for i, (x, y) in enumerate([(2.0, 1.5), (1.0, 0.85), (10.5, 10.2)])]
     df = spark.createDataFrame(pts, "pid long, lon double, lat double")
     got = {(r["pid"], r["neighbourhood_in_boundary"])
-           for r in points_in_polygons(df, "lon", "lat", nb, cell=0.7).collect()}
+           for r in points_in_polygons(df, "lon", "lat", nb, "pid", cell=0.7).collect()}
     want = {(i, k) for i, x, y in pts for k, m in polys.items() if inside(m, x, y)}
+    want |= {(i, None) for i in {p[0] for p in pts} - {i for i, _ in want}}   # in no polygon
     assert got == want
     assert (3001, "A") not in got          # inside the hole
     assert (3002, "A") in got              # inside the far polygon

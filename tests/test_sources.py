@@ -6,6 +6,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from staylytics.plans.pipeline import build, target_database
 from staylytics.sources import files as FS
@@ -87,11 +88,11 @@ def test_point_in_polygon_with_hole(spark, src):
     from staylytics.operators.geo import points_in_polygons
 
     m = build(FS.read_raw(spark, src))
-    pts = spark.createDataFrame([(1, -0.15, 51.55), (2, -0.08, 51.52), (3, -0.05, 51.54), (4, 0.5, 51.5)],
+    pts = spark.createDataFrame([(1, -0.15, 51.55), (2, -0.08, 51.52), (3, -0.05, 51.54), (4, 0.5, 51.5), (5, None, 51.5)],
                                 "pid int, lon double, lat double")
     hit = {r["pid"]: r["neighbourhood_in_boundary"]
-           for r in points_in_polygons(pts, "lon", "lat", m["dim_neighbourhoods"], cell=0.03).collect()}
-    assert hit == {1: "Camden", 2: "Hackney"}   # 3 is in Hackney's hole, 4 outside
+           for r in points_in_polygons(pts, "lon", "lat", m["dim_neighbourhoods"], "pid", cell=0.03).collect()}
+    assert hit == {1: "Camden", 2: "Hackney", 3: None, 4: None, 5: None}   # 3 is in Hackney's hole, 4 outside, 5 nowhere
 
 
 def test_ndjson_roundtrip_and_land(spark, src, tmp_path):
@@ -175,6 +176,18 @@ def test_bucketed_tables_join_without_calendar_shuffle(spark, src):
 def test_hash_sample_exact(spark):
     df = spark.range(0, 20000).withColumnRenamed("id", "k").repartition(7)
     got = FS.hash_sample(df, "k", 300)
-    plain = df.orderBy(F.xxhash64(F.col("k"), F.lit(42)), F.col("k")).limit(300)
+    plain = df.orderBy(F.md5(F.concat_ws(":", F.col("k").cast("string"), F.lit("42"))), F.col("k")).limit(300)
     assert sorted(r["k"] for r in got.collect()) == sorted(r["k"] for r in plain.collect())
     assert FS.hash_sample(df.limit(500), "k", 300).count() == 300
+    assert FS.hash_sample(df.limit(10), "k", 300).count() == 10 and FS.hash_sample(df.limit(0), "k", 300).count() == 0
+    some = [sorted(r["k"] for r in FS.sample_rows(df.repartition(n), 0.03, ["k"]).collect()) for n in (1, 9)]
+    assert some[0] == some[1] and 450 < len(some[0]) < 750
+
+
+def test_missing_column_raises_and_lost_values_are_counted(spark):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.IntegerType())])
+    df = spark.createDataFrame([("1", "2"), ("x", None), ("3", "4.5x")], "id string, n string")
+    with pytest.raises(ValueError, match="no column n"):
+        FS.conform(df.select("id"), schema)
+    assert {r["column"]: (r["n_text"], r["n_lost"]) for r in FS.cast_report(df, schema).collect()} == {"id": (3, 1), "n": (2, 1)}
+    assert [tuple(r) for r in FS.conform(df, schema).collect()] == [(1, 2), (None, None), (3, None)]

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from staylytics.functions import dist
 from staylytics.functions.columns import capped, currency_to_double, round_half_away, safe_corr, weekend_flag
-from staylytics.operators.quantiles import exact_quantiles, exact_quantiles_multi, value_ranks
+from staylytics.operators import anova as A
+from staylytics.operators.quantiles import exact_quantiles, exact_quantiles_multi, group_quantiles, value_ranks
+from staylytics.plans import marts
 
 
 def test_f_tail_table_values():
@@ -70,3 +72,58 @@ def test_exact_quantiles_multi(spark):
     for p in probs:
         assert got[("a", p)] == pytest.approx(float(np.percentile(a, p * 100)), abs=1e-9)
         assert got[("b", p)] == pytest.approx(float(np.percentile(bb, p * 100)), abs=1e-9)
+
+
+def test_group_quantiles_exact_beyond_sketch_size(spark):
+    df = spark.range(1_000_000).select(
+        F.when(F.col("id") % 3 == 0, None).otherwise((F.col("id") % 3).cast("string")).alias("g"),
+        ((F.col("id") * 7919) % 1_000_003 / 7.0).alias("v"))
+    names = {"p01": 0.01, "p25": 0.25, "median": 0.5, "p99": 0.99, "top": 1.0}
+    got = group_quantiles(df, ["g"], "v", names)
+    rows = {r["g"]: r for r in got.collect()}
+    want = df.groupBy("g").agg(*[F.expr(f"percentile_disc({p}) within group (order by v)").alias(n) for n, p in names.items()]).collect()
+    assert {r["g"]: [r[n] for n in names] for r in want} == {g: [r[n] for n in names] for g, r in rows.items()}
+    one = group_quantiles(df, [], "v", {"m": 0.5}, buckets=7).first()["m"]
+    assert one == df.select(F.expr("percentile_disc(0.5) within group (order by v)")).first()[0]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_group_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([("a", None), ("b", float("nan")), ("c", 2.0)], "g string, v double")
+    assert [tuple(r) for r in group_quantiles(df, ["g"], "v", {"m": 0.5}).collect()] == [("c", 2.0)]
+    assert group_quantiles(df.limit(0), [], "v", {"m": 0.5}).count() == 0
+
+
+@pytest.mark.parametrize("digits", [2, 6])
+def test_round_half_away_of_large_values(spark, digits):
+    df = spark.createDataFrame([(1e13,), (2.5e17,), (-2.5e17,), (1e300,), (0.125,)], "v double")
+    got = [r[0] for r in df.select(round_half_away("v", digits)).collect()]
+    assert got[:4] == [1e13, 2.5e17, -2.5e17, 1e300] and got[4] == (0.13 if digits == 2 else 0.125)
+
+
+def test_studentized_range_has_one_formula_for_all_df():
+    limit = dist.studentized_range_sf(3.5, 4, float("inf"))  # the distance to it falls as 1 / df
+    far = [(dist.studentized_range_sf(3.5, 4, df) - limit) * df for df in (1e3, 9e4, 1e5, 1.1e5, 1e6, 1e8)]
+    assert far == pytest.approx([0.6238] * 6, rel=1e-3)
+    assert dist.studentized_range_ppf(0.95, 3, 60) == pytest.approx(3.399, abs=2e-3)
+
+
+def test_rows_without_group_take_no_part(spark):
+    rows = [("a", float(i)) for i in range(1, 9)] + [("b", float(3 * i)) for i in range(1, 9)] + [(None, 500.0)] * 4
+    dl = spark.createDataFrame([(g, p) for g, p in rows], "room_type string, avg_price_next_30_days double")
+    d = A.anova_input(dl, "room_type")
+    t = A.anova_table(d).first()
+    assert (t["k"], t["n"]) == (2, 16)
+    assert A.kruskal(d).first()["n"] == 16 and A.tukey_pairs(d).count() == 1 and A.tukey_hsd(d).count() == 1
+
+
+def test_calendar_window_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "cal")
+    spark.range(400).select(F.col("id").alias("listing_id"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
+                            F.lit(True).alias("is_available"), F.lit(1.0).alias("price_usd")).write.parquet(path)
+    m = marts.calendar_metrics(spark.read.parquet(path))
+    assert m.count() == 31
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
+    assert any("GreaterThanOrEqual(date" in line or "date >= ScalarSubquery" in line or "(date#" in line and ">=" in line for line in pushed), plan
