@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import sysconfig
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staylytics.session import ship_package
+
 #: Bytes of one Arrow batch handed to Python; very long texts then travel alone.
 BATCH_BYTES = 8 << 20
 #: Text bytes that one round of numpy work inside a task covers (a longer text is a round of its own).
@@ -39,21 +36,10 @@ def prepare_workers(spark: SparkSession) -> None:
     """For jobs with Python in their tasks.
 
     Arrow batches are cut by bytes, so that a worker's memory does not
-    follow the longest texts. Where the workers would not find this
-    package (it is neither installed nor on PYTHONPATH), Spark sends it.
+    follow the longest texts, and the workers get this package.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    package = Path(__file__).resolve().parents[1]
-    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep), *sysconfig.get_paths().values()]
-    sc = spark.sparkContext
-    if str(package.parent) in map(os.path.realpath, found) or getattr(sc, "_staylytics_sent", False):
-        return
-    name = os.path.join(tempfile.mkdtemp(prefix="staylytics-code-"), "staylytics.zip")
-    with zipfile.ZipFile(name, "w") as z:
-        for f in sorted(package.rglob("*.py")):
-            z.write(f, f.relative_to(package.parent))
-    sc.addPyFile(name)
-    sc._staylytics_sent = True
+    ship_package(spark)
 
 
 def words_array(text: Column) -> Column:
