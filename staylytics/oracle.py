@@ -60,6 +60,7 @@ stg_calendar AS (
 stg_neighbourhoods AS (
   SELECT n.n_name AS neighbourhood,
          CASE WHEN n.n_regionkey = 0 THEN NULL ELSE r.r_name END AS neighbourhood_group,
+         CAST(n.n_nationkey % 3 AS INTEGER) AS kind,
          -0.5e0 + 0.16e0 * (n.n_nationkey % 5) AS lon0,
          51.3e0 + 0.08e0 * floor(n.n_nationkey / 5) AS lat0,
          -0.5e0 + 0.16e0 * (n.n_nationkey % 5) + 0.16e0 AS lon1,
@@ -106,7 +107,7 @@ listing_stats AS (
 ),
 dim_neighbourhoods AS (
   SELECT n.neighbourhood, COALESCE(NULLIF(trim(n.neighbourhood_group), ''), 'London') AS neighbourhood_group,
-         n.lon0, n.lat0, n.lon1, n.lat1,
+         n.kind, n.lon0, n.lat0, n.lon1, n.lat1,
          COALESCE(ls.total_listings, 0) AS total_listings, COALESCE(ls.total_hosts, 0) AS total_hosts,
          ls.avg_price_usd, ls.min_price_usd, ls.max_price_usd
   FROM stg_neighbourhoods n LEFT JOIN listing_stats ls ON n.neighbourhood = ls.neighbourhood

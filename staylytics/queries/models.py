@@ -8,7 +8,8 @@ from ..oracle import oracle, r
 from ..operators import describe
 from ..plans import marts, staging
 from ..registry import Ctx, query
-from ..sources.files import EXTRACT_COLUMNS, _share, extract_all, hash_sample, sample_rows
+from ..sources.files import EXTRACT_COLUMNS, RAW_FILES, _share, cast_report, extract_all, hash_sample, read_csv_text, sample_rows
+from ..sources.schemas import RAW_LISTINGS
 
 
 @query("stg_listings")
@@ -56,7 +57,8 @@ def q_stg_neighbourhoods(c: Ctx):
 
 
 oracle("stg_neighbourhoods", """
-SELECT neighbourhood, neighbourhood_group, 1 AS n_polygons, 1 AS n_rings, 5 AS n_points,
+SELECT neighbourhood, neighbourhood_group, CASE WHEN kind = 1 THEN 2 ELSE 1 END AS n_polygons,
+       CASE WHEN kind = 0 THEN 1 ELSE 2 END AS n_rings, CASE WHEN kind = 0 THEN 5 ELSE 10 END AS n_points,
        lon0 AS min_lon, lon1 AS max_lon, lat0 AS min_lat, lat1 AS max_lat
 FROM stg_neighbourhoods""", ["min_lon", "max_lon", "min_lat", "max_lat"])
 
@@ -70,8 +72,8 @@ def q_currency_parse(c: Ctx):
 
 
 oracle("currency_parse", """
-SELECT count(*) AS n_rows, count(price_usd) AS n_text, count(price_usd) AS n_parsed,
-       CAST(0 AS BIGINT) AS n_unparsable, sum(price_usd) AS sum_parsed, 'listings' AS source
+SELECT count(*) AS n_rows, CAST(count(price_usd) + count_if(listing_id % 30 = 0) AS BIGINT) AS n_text, count(price_usd) AS n_parsed,
+       CAST(count_if(listing_id % 30 = 0) AS BIGINT) AS n_unparsable, sum(price_usd) AS sum_parsed, 'listings' AS source
 FROM stg_listings
 UNION ALL
 SELECT count(*), count(price_usd), count(price_usd), CAST(0 AS BIGINT), sum(price_usd), 'calendar'
@@ -143,7 +145,8 @@ def q_dim_neighbourhoods(c: Ctx):
 
 
 oracle("dim_neighbourhoods", """
-SELECT neighbourhood, neighbourhood_group, 1 AS n_polygons, 1 AS n_rings, 5 AS n_points,
+SELECT neighbourhood, neighbourhood_group, CASE WHEN kind = 1 THEN 2 ELSE 1 END AS n_polygons,
+       CASE WHEN kind = 0 THEN 1 ELSE 2 END AS n_rings, CASE WHEN kind = 0 THEN 5 ELSE 10 END AS n_points,
        lon0 AS min_lon, lon1 AS max_lon, lat0 AS min_lat, lat1 AS max_lat,
        total_listings, total_hosts, avg_price_usd, min_price_usd, max_price_usd
 FROM dim_neighbourhoods""", ["min_lon", "max_lon", "min_lat", "max_lat", "avg_price_usd",
@@ -193,7 +196,31 @@ def q_listings_in_boundary(c: Ctx):
 oracle("listings_in_boundary", """
 SELECT l.listing_id, n.neighbourhood AS neighbourhood_in_boundary
 FROM dim_listings l LEFT JOIN stg_neighbourhoods n
-  ON l.longitude > n.lon0 AND l.longitude < n.lon1 AND l.latitude > n.lat0 AND l.latitude < n.lat1""")
+  ON l.longitude > n.lon0 AND l.longitude < n.lon1 AND l.latitude > n.lat0 AND l.latitude < n.lat1
+     AND NOT (n.kind = 2 AND l.longitude > n.lon0 + 0.04e0 AND l.longitude < n.lon0 + 0.08e0
+              AND l.latitude > n.lat0 + 0.02e0 AND l.latitude < n.lat0 + 0.04e0)""")
+
+
+@query("geojson_flatten")
+def q_geojson_flatten(c: Ctx):
+    """Features of the landed GeoJSON files, one row each, with the kind of geometry."""
+    return c["raw_neighbourhoods"].select("neighbourhood", "neighbourhood_group", F.get_json_object("geometry_json", "$.type").alias("kind"))
+
+
+oracle("geojson_flatten", """
+SELECT neighbourhood, neighbourhood_group, CASE WHEN kind = 1 THEN 'MultiPolygon' ELSE 'Polygon' END AS kind FROM stg_neighbourhoods""")
+
+
+@query("bronze_cast_report")
+def q_bronze_cast_report(c: Ctx):
+    """Texts of the raw listing columns, and those lost by their cast."""
+    return cast_report(read_csv_text(c.spark, f"{c.root}/raw/{RAW_FILES['raw_listings']}"), RAW_LISTINGS)
+
+
+oracle("bronze_cast_report", """
+SELECT name AS "column", CAST(CASE name WHEN 'host_name' THEN h WHEN 'price' THEN p ELSE n END AS BIGINT) AS n_text, CAST(0 AS BIGINT) AS n_lost
+FROM (VALUES """ + ", ".join(f"('{x.name}')" for x in RAW_LISTINGS.fields) + """) AS v(name),
+     (SELECT count(*) AS n, count(host_name) AS h, count(price_usd) + count_if(listing_id % 30 = 0) AS p FROM stg_listings) AS t""")
 
 
 def _extract(c: Ctx, name: str):

@@ -1,8 +1,9 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame.
 
-Each query builds bronze from the test tables (sources.tpch_adapter),
-runs staging and marts (plans.pipeline.build) and the operator. Double
-columns are rounded to 6 digits for the engine-to-engine comparison.
+Raw files are made from the test tables (sources.tpch_adapter) and landed
+as bronze once for each session and folder; each query runs staging and
+marts (plans.pipeline.build) and the operator. Double columns are rounded
+to 6 digits for the engine-to-engine comparison.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from pyspark.sql import types as T
 from .functions.columns import round_half_away
 from .plans.pipeline import Models, materialise
 from .session import ensure_checkpoint_dir
-from .sources.tpch_adapter import bronze_from_tpch
+from .sources.files import land_bronze, load_bronze
+from .sources.tpch_adapter import write_raw_files
 
 
 @dataclass
@@ -56,12 +58,9 @@ def context(spark: SparkSession, sf_dir: str) -> Ctx:
         # the shared checkpoint folder; every query reads the written tables
         root = os.path.join(ensure_checkpoint_dir(spark), f"tables-{uuid.uuid4().hex[:12]}")
         t0 = time.time()
-        bronze = {}
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        for name, df in bronze_from_tpch(spark, sf_dir).items():
-            # as land_bronze does after reading an unsplittable gzip file: spread the rows
-            df.repartition(parts).write.mode("overwrite").parquet(os.path.join(root, "bronze", name))
-            bronze[name] = spark.read.parquet(os.path.join(root, "bronze", name))
+        write_raw_files(spark, sf_dir, f"{root}/raw")
+        land_bronze(spark, f"{root}/raw", f"{root}/bronze")
+        bronze = load_bronze(spark, f"{root}/bronze")
         t_bronze = time.time()
         models = materialise(spark, bronze, os.path.join(root, "gold"))
         ctx = Ctx(spark, sf_dir, bronze, models, root)
@@ -70,6 +69,15 @@ def context(spark: SparkSession, sf_dir: str) -> Ctx:
     return ctx
 
 
+def drop_contexts(spark: SparkSession) -> None:
+    """Remove the tables that the contexts of this session have written."""
+    for key, ctx in list(_CTX.items()):
+        if ctx.spark is spark:
+            path = spark._jvm.org.apache.hadoop.fs.Path(ctx.root)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            del _CTX[key]
+
+
 def for_compare(df: DataFrame, digits: int = 6) -> DataFrame:
     cols = []
     for f in df.schema.fields:

@@ -3,7 +3,7 @@
 Real snapshot files carry many more columns than the models read, so
 CSVs are read with every column as text (no inference pass over the
 data) and the needed columns are picked by header name and cast with
-``try_cast``. A gzip file cannot be split: it arrives as one partition
+``try_cast``. A raw file may be a file, a folder of files or a glob. A gzip file cannot be split: it arrives as one partition
 and is repartitioned right after the read so later stages run wide.
 """
 
@@ -107,6 +107,8 @@ def land_bronze(spark: SparkSession, src_dir: str, out_dir: str, partitions: int
     paths = {}
     for name, df in read_raw(spark, src_dir, partitions).items():
         p = os.path.join(out_dir, name)
+        if name == "raw_calendar":  # by date, so that a window of dates skips files and row groups
+            df = df.repartitionByRange(_partitions(spark, partitions), "date").sortWithinPartitions("date")
         df.write.mode("overwrite").parquet(p)
         paths[name] = p
     return paths

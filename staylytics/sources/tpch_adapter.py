@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import RAW_FILES
+
 TPCH_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
 #: Suppliers are listings too (without reviews or calendar); their ids start here.
 SUPPLIER_BASE = 1 << 40
@@ -57,7 +59,7 @@ def raw_listings(t: dict[str, DataFrame]) -> DataFrame:
         (F.lit(51.3) + (key % 400) / F.lit(1000.0) + F.lit(0.0005)).alias("latitude"),
         (F.lit(-0.5) + (key % 800) / F.lit(1000.0) + F.lit(0.0005)).alias("longitude"),
         F.col("c_mktsegment").alias("room_type"),
-        F.when(key % 3 != 0, _money_text((F.col("c_acctbal") + 1000) / 20)).alias("price"),
+        F.when(key % 3 != 0, _money_text((F.col("c_acctbal") + 1000) / 20)).when(key % 30 == 0, "on request").alias("price"),
         (key % 45 + 1).cast("int").alias("minimum_nights"),
     )
     return (base.join(n_reviews, base.id == n_reviews.listing_id, "left")
@@ -82,15 +84,28 @@ def raw_calendar(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def raw_neighbourhoods(t: dict[str, DataFrame]) -> DataFrame:
-    """One square tile per nation, as GeoJSON Polygon text."""
+    """One square tile per nation, as GeoJSON text.
+
+    By nation key modulo 3 it is a Polygon, a MultiPolygon of the tile's
+    two halves, or a Polygon with a hole.
+    """
     n, r = t["nation"], t["region"]
     k = F.col("n_nationkey")
     lon0 = F.lit(-0.5) + F.lit(0.16) * (k % 5)
     lat0 = F.lit(51.3) + F.lit(0.08) * F.floor(k / 5)
     lon1, lat1 = lon0 + F.lit(0.16), lat0 + F.lit(0.08)
-    ring = F.array(F.array(lon0, lat0), F.array(lon1, lat0), F.array(lon1, lat1),
-                   F.array(lon0, lat1), F.array(lon0, lat0))
-    geom = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")))
+
+    def ring(x0, y0, x1, y1):
+        return F.array(F.array(x0, y0), F.array(x1, y0), F.array(x1, y1), F.array(x0, y1), F.array(x0, y0))
+
+    def geometry(kind: str, coordinates):
+        return F.to_json(F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates")))
+
+    mid = lon0 + F.lit(0.08)
+    whole = ring(lon0, lat0, lon1, lat1)
+    hole = ring(lon0 + F.lit(0.04), lat0 + F.lit(0.02), mid, lat0 + F.lit(0.04))
+    geom = (F.when(k % 3 == 1, geometry("MultiPolygon", F.array(F.array(ring(lon0, lat0, mid, lat1)), F.array(ring(mid, lat0, lon1, lat1)))))
+            .when(k % 3 == 2, geometry("Polygon", F.array(whole, hole))).otherwise(geometry("Polygon", F.array(whole))))
     return n.join(r, n.n_regionkey == r.r_regionkey, "inner").select(
         F.col("n_name").alias("neighbourhood"),
         F.when(F.col("n_regionkey") != 0, F.col("r_name")).alias("neighbourhood_group"),
@@ -98,7 +113,7 @@ def raw_neighbourhoods(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def bronze_from_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     t = load_tpch(spark, sf_dir)
     return {
         "raw_listings": raw_listings(t),
@@ -106,3 +121,21 @@ def bronze_from_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "raw_reviews": raw_reviews(t),
         "raw_neighbourhoods": raw_neighbourhoods(t),
     }
+
+
+#: GeoJSON files that the boundaries are dealt into.
+GEOJSON_FILES = 4
+
+
+def write_raw_files(spark: SparkSession, sf_dir: str, out_dir: str) -> None:
+    """The four raw tables as the files a snapshot comes in: folders of gzip CSV, and of GeoJSON."""
+    for name, df in raw_tables(spark, sf_dir).items():
+        path = f"{out_dir}/{RAW_FILES[name]}"
+        if name != "raw_neighbourhoods":
+            df.write.option("header", True).option("quote", '"').option("escape", '"').option("compression", "gzip").csv(path)
+            continue
+        props = F.to_json(F.struct("neighbourhood", "neighbourhood_group"), {"ignoreNullFields": "false"})
+        feature = F.concat(F.lit('{"type":"Feature","properties":'), props, F.lit(',"geometry":'), F.col("geometry_json"), F.lit("}"))
+        one = df.groupBy(F.pmod(F.xxhash64("neighbourhood"), F.lit(GEOJSON_FILES)).alias("file")).agg(F.concat(
+            F.lit('{"type":"FeatureCollection","features":['), F.concat_ws(",", F.collect_list(feature)), F.lit("]}")).alias("value"))
+        one.write.partitionBy("file").text(path)

@@ -17,4 +17,7 @@ def spark():
     s = get_spark("local[4]", 8, conf={"spark.sql.warehouse.dir": wh})
     ensure_checkpoint_dir(s)
     yield s
+    from staylytics.registry import drop_contexts
+
+    drop_contexts(s)
     s.stop()
