@@ -75,8 +75,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     lab = cut_lineage(nodes.select("id", F.col("id").alias("label")).distinct())
     while True:
         nb = e.join(lab.withColumnRenamed("id", "dst"), "dst").groupBy("src").agg(F.min("label").alias("m"))
-        step = lab.join(nb.withColumnRenamed("src", "id"), "id", "left").select(
-            "id", F.least("label", F.coalesce("m", "label")).alias("label"))
+        # written, so that both sides of the jump are plain scans: Spark then splits a label that most nodes carry
+        step = cut_lineage(lab.join(nb.withColumnRenamed("src", "id"), "id", "left").select(
+            "id", F.least("label", F.coalesce("m", "label")).alias("label")))
         a, b = step.alias("a"), step.alias("b")
         jumped = a.join(b, F.col("a.label") == F.col("b.id")).select(
             F.col("a.id").alias("id"), F.least(F.col("a.label"), F.col("b.label")).alias("label"))
@@ -87,6 +88,47 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return lab
 
 
+#: A cell's side is cut into so many for the next, finer look at a pair of cells, and so many looks are taken.
+FINER, LOOKS = 16, 2
+
+
+def _near_parts(pairs: DataFrame, coords: DataFrame, g: float, e2: float) -> DataFrame:
+    """(src, dst): components la, lb of the cell pairs (a, b, la, lb) with a point of a within eps of one of b.
+
+    Points meet as boxes first: the points of a cell are cut by a finer
+    grid, and two boxes whose farthest corners are within eps are a link,
+    two whose nearest sides are not are none. Only pairs of boxes in
+    between are cut again, and only for components not linked so far; what
+    is still open after the last look is compared point by point.
+    """
+    todo, links, h = pairs.select("a", "b", "la", "lb"), None, g
+    keys: list[str] = []
+    for look in range(LOOKS):
+        h /= FINER
+        fine = [f"cx{look}", f"cy{look}"]
+        coords = coords.withColumn(fine[0], F.floor(F.col("x") / h)).withColumn(fine[1], F.floor(F.col("y") / h))
+        box = cut_lineage(coords.groupBy("cid", *keys, *fine).agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")))
+        side = lambda s: box.select(*[F.col(c).alias(f"{s}_{c}") for c in box.columns])
+        on = lambda s: [F.col(s) == F.col(f"{s}_cid")] + [F.col(f"p{s}_{k}") == F.col(f"{s}_{k}") for k in keys]
+        t = todo.select("a", "b", "la", "lb", *[F.col(f"{s}_{k}").alias(f"p{s}_{k}") for s in "ab" for k in keys])
+        gap = lambda z: F.greatest(F.col(f"a_{z}0") - F.col(f"b_{z}1"), F.col(f"b_{z}0") - F.col(f"a_{z}1"), F.lit(0.0))
+        far = lambda z: F.greatest(F.col(f"a_{z}1") - F.col(f"b_{z}0"), F.col(f"b_{z}1") - F.col(f"a_{z}0"))
+        near = gap("x") * gap("x") + gap("y") * gap("y") <= e2
+        met = t.join(side("a"), on("a")).join(side("b"), [*on("b"), near])
+        keys = keys + fine
+        met = cut_lineage(met.select("a", "b", "la", "lb", (far("x") * far("x") + far("y") * far("y") <= e2).alias("linked"),
+                                     *[f"{s}_{k}" for s in "ab" for k in keys]))
+        sure = met.where("linked").select(F.col("la").alias("src"), F.col("lb").alias("dst")).distinct()
+        links = cut_lineage(sure if links is None else links.unionByName(sure))
+        todo = cut_lineage(met.where(~F.col("linked")).drop("linked").join(links, (F.col("la") == F.col("src")) & (F.col("lb") == F.col("dst")), "left_anti"))
+    side = lambda s: coords.select(F.col("cid").alias(f"{s}_cid"), F.col("x").alias(f"{s}_x"), F.col("y").alias(f"{s}_y"),
+                                   *[F.col(k).alias(f"q{s}_{k}") for k in keys])
+    on = lambda s: [F.col(s) == F.col(f"{s}_cid")] + [F.col(f"{s}_{k}") == F.col(f"q{s}_{k}") for k in keys]
+    close = (F.col("a_x") - F.col("b_x")) ** 2 + (F.col("a_y") - F.col("b_y")) ** 2 <= e2
+    rest = todo.join(side("a"), on("a")).join(side("b"), [*on("b"), close]).select(F.col("la").alias("src"), F.col("lb").alias("dst")).distinct()
+    return links.unionByName(rest).distinct()
+
+
 def dbscan(points: DataFrame, id_col: str, x: str, y: str, eps: float, min_pts: int) -> DataFrame:
     """(id, label, is_core) for every point with both coordinates; label -1 = noise."""
     g = eps / (2 * math.sqrt(2)) * (1 - 1e-9)  # margin keeps "definite" strict under rounding
@@ -140,17 +182,7 @@ def dbscan(points: DataFrame, id_col: str, x: str, y: str, eps: float, min_pts:
         "a", F.col("id").alias("b"), "la", F.col("l1").alias("lb"))
     ccoords = core.groupBy("sx", "sy", "x", "y").agg(F.count(F.lit(1)).alias("c")).select(
         _cid(F.col("sx"), F.col("sy")).alias("cid"), "sx", "sy", "x", "y")
-    side_a = ccoords.join(pairs.select(F.col("a").alias("cid"), "b", "la", "lb").distinct(), "cid").select(
-        F.col("cid").alias("a"), "b", "la", "lb", F.col("x").alias("ax"), F.col("y").alias("ay"))
-    # keep only points of a within eps of b's box before pairing points
-    bx0 = (F.shiftright(F.col("b"), 32) - F.lit(OFF)) * F.lit(g)
-    by0 = ((F.col("b").bitwiseAND(F.lit(0xFFFFFFFF))) - F.lit(OFF)) * F.lit(g)
-    gapx = F.greatest(bx0 - F.col("ax"), F.col("ax") - (bx0 + F.lit(g)), F.lit(0.0))
-    gapy = F.greatest(by0 - F.col("ay"), F.col("ay") - (by0 + F.lit(g)), F.lit(0.0))
-    side_a = side_a.where(gapx * gapx + gapy * gapy <= e2)
-    amb_edges = side_a.join(ccoords.select(F.col("cid").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by")),
-                            "b").where((F.col("ax") - F.col("bx")) ** 2 + (F.col("ay") - F.col("by")) ** 2 <= e2) \
-        .select(F.col("la").alias("src"), F.col("lb").alias("dst")).distinct()
+    amb_edges = _near_parts(cut_lineage(pairs.distinct()), ccoords.select("cid", "x", "y"), g, e2)
     lab2 = connected_components(lab1.select(F.col("label").alias("id")).distinct(), amb_edges)
     labels = cut_lineage(csc1.join(lab2.withColumnRenamed("id", "l1"), "l1").select("sx", "sy", "label"))
 

@@ -99,3 +99,19 @@ def test_connected_components_random_graph(spark):
         groups.setdefault(find(i), set()).add(lab[i])
     assert all(len(v) == 1 for v in groups.values())
     assert len({next(iter(v)) for v in groups.values()}) == len(groups)
+
+
+@pytest.mark.parametrize("gap,together", [(0.15, True), (0.27, False)])
+def test_two_dense_cells_at_an_ambiguous_offset(spark, gap, together):
+    # 10,000 points in two cells that are linked, if at all, by their facing edges only
+    eps = 0.4
+    g = eps / (2 * np.sqrt(2))
+    rng = np.random.default_rng(5)
+    a = rng.uniform(0, 1, (5000, 2)) * [g * 0.2, g]
+    b = rng.uniform(0, 1, (5000, 2)) * [g * 0.2, g] + [a[:, 0].max() + eps - 0.2 + gap, 0]
+    xy = np.vstack([a, b])
+    d = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(xy)], "id long, x double, y double").repartition(4)
+    near = min(np.hypot(*(b[k] - a).T).min() for k in np.argsort(b[:, 0])[:50]) <= eps
+    assert near == together
+    s = dbscan_summary(dbscan(d, "id", "x", "y", eps, 15)).first()
+    assert (s["n_clusters"], s["n_noise"], s["n_core"]) == (1 if together else 2, 0, 10000)
