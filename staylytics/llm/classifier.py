@@ -23,10 +23,8 @@ than 0 and 1 and null ids teach nothing; with no labels the score is 0.5.
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -34,45 +32,57 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, map_texts, prepare_workers
+from .common import chunks, held_out, map_texts, prepare_workers, raw_text
+from .rolling import SPACED, find_words, mix, word_hashes
 
 #: Bound of the labelled sample that the model is fitted on.
 TRAIN_DOCS = 4000
 BUCKETS, WIDTH = 1 << 15, 16
 GRAMS = (3, 4)
-EPOCHS, BATCH, RATE = 8, 32, 0.5
+#: Batches of the descent, and the rate of the first; the rate falls to nothing.
+STEPS, BATCH, RATE = 1000, 32, 0.5
 GOOD = 0.7
-#: Words in a worker's cache before it starts anew, and the longest it keeps.
-CACHE_WORDS, CACHE_LENGTH = 1 << 18, 64
-
-
-def word_features(word: str) -> list[int]:
-    """Buckets of a word and its character n-grams."""
-    out = [zlib.crc32(word.encode("utf-8")) % BUCKETS]
-    marked = f"<{word}>"
-    for n in GRAMS:
-        out += [zlib.crc32(marked[i:i + n].encode("utf-8"), n) % BUCKETS for i in range(len(marked) - n + 1)]
-    return out
-
 
 #: Bucket of the pair of a word with itself, one feature for whatever word it is.
-ECHO = zlib.crc32(b"= =") % BUCKETS
-
-
-def echoes(words: list[str]) -> int:
-    """Words equal to the one before."""
-    return sum(map(eq, words, words[1:]))
-
-
-def text_features(text: str) -> Counter:
-    words = text.split()
-    total: Counter = Counter()
-    for word, n in Counter(words).items():
-        for f in word_features(word):
-            total[f] += n
-    if n := echoes(words):
-        total[ECHO] += n
-    return total
+ECHO = 1
+_BITS = np.uint64(64 - (BUCKETS.bit_length() - 1))
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+
+
+def features(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """For ranges i to j of the texts: (i, j, text number from i, bucket) of every feature."""
+    raw, offsets = raw_text(texts)
+    for i, j in chunks(offsets):
+        low, starts, ends, word_of = find_words(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], SPACED)
+        if not len(starts):
+            yield i, j, np.zeros(0, np.int64), np.zeros(0, np.int64)
+            continue
+        words = word_hashes(low, starts, ends)
+        same = np.flatnonzero((words[1:] == words[:-1]) & (word_of[1:] == word_of[:-1]))
+        of = [word_of, word_of[same]]
+        bucket = [(mix(words) >> _BITS).astype(np.int64), np.full(len(same), ECHO)]
+        # the characters of the words, a mark (0) in front of each word and behind the last
+        size = ends - starts
+        first = np.cumsum(size) - size
+        body = low[np.arange(size.sum()) + np.repeat(starts - first, size)]
+        n_letters = np.add.reduceat(((body & 0xC0) != 0x80).astype(np.int64), first)
+        letters = np.frombuffer(body.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32).astype(np.uint64)
+        place = np.arange(len(letters)) + np.repeat(np.arange(1, len(size) + 1), n_letters)
+        c, inside, owner = np.zeros(len(letters) + len(size) + 1, np.uint64), np.zeros(len(letters) + len(size) + 1, bool), np.zeros(
+            len(letters) + len(size) + 1, np.int64)
+        c[place], inside[place], owner[place] = letters, True, np.repeat(word_of, n_letters)
+        for n in GRAMS:
+            m = max(0, len(c) - n + 1)
+            ok = np.ones(m, bool)  # marks stand at the ends only
+            for k in range(1, n - 1):
+                ok &= inside[k:k + m]
+            at = np.flatnonzero(ok)
+            h = np.full(len(at), n, np.uint64)
+            for k in range(n):
+                h = mix(h ^ (c[at + k] * _FACTORS[k]))
+            of.append(owner[at + 1])
+            bucket.append((h >> _BITS).astype(np.int64))
+        yield i, j, np.concatenate(of), np.concatenate(bucket)
 
 
 @dataclass
@@ -96,25 +106,24 @@ def fit(ids: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray, see
         return m
     share = np.bincount(labels, minlength=2)
     m.bias[:] = np.log((share + 1) / (n + 2))
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
-        order = rng.permutation(n)
-        for at in range(0, n, BATCH):
-            docs = [d for d in order[at:at + BATCH] if len(ids[d])]
-            if not docs:
-                continue
-            which = np.concatenate([ids[d] for d in docs])
-            first = np.cumsum([0, *[len(ids[d]) for d in docs[:-1]]])
-            weight = np.concatenate([counts[d] / counts[d].sum() for d in docs]).astype(np.float32)[:, None]
-            mean = np.add.reduceat(m.vectors[which] * weight, first, axis=0)
-            z = mean @ m.outputs + m.bias
-            p = np.exp(z - z.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(docs)), labels[docs]] -= 1  # the gradient of the loss by the outputs
-            back = p @ m.outputs.T
-            m.outputs -= rate * (mean.T @ p) / len(docs)
-            step = np.repeat(back, np.diff(np.append(first, len(which))), axis=0) * weight
-            np.add.at(m.vectors, which, -rate * len(GRAMS) * WIDTH * step)
+    order = np.concatenate([rng.permutation(n) for _ in range(-(-STEPS * BATCH // n))])[:STEPS * BATCH]
+    for step in range(STEPS):
+        rate = RATE * (1 - step / STEPS)
+        docs = [d for d in order[step * BATCH:(step + 1) * BATCH] if len(ids[d])]
+        if not docs:
+            continue
+        which = np.concatenate([ids[d] for d in docs])
+        first = np.cumsum([0, *[len(ids[d]) for d in docs[:-1]]])
+        weight = np.concatenate([counts[d] / counts[d].sum() for d in docs]).astype(np.float32)[:, None]
+        mean = np.add.reduceat(m.vectors[which] * weight, first, axis=0)
+        z = mean @ m.outputs + m.bias
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        p[np.arange(len(docs)), labels[docs]] -= 1  # the gradient of the loss by the outputs
+        back = p @ m.outputs.T
+        m.outputs -= rate * (mean.T @ p) / len(docs)
+        change = np.repeat(back, np.diff(np.append(first, len(which))), axis=0) * weight
+        np.add.at(m.vectors, which, -rate * len(GRAMS) * WIDTH * change)
     return m
 
 
@@ -130,9 +139,12 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
     def run(batches):
         for batch in batches:
-            found = [text_features(t or "") for t in batch.column(1).to_pylist()]
-            ids = [np.array(sorted(f), np.int32) for f in found]
-            counts = [np.array([f[i] for i in sorted(f)], np.int32) for f in found]
+            ids, counts = [], []
+            for i, j, of, bucket in features(batch.column(1)):
+                key, n = np.unique(of * BUCKETS + bucket, return_counts=True)
+                cut = np.searchsorted(key, np.arange(j - i + 1) * BUCKETS)
+                ids += [(key[a:b] % BUCKETS).astype(np.int32) for a, b in zip(cut[:-1], cut[1:])]
+                counts += [n[a:b].astype(np.int32) for a, b in zip(cut[:-1], cut[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(2), pa.array(ids, pa.list_(pa.int32())),
                                               pa.array(counts, pa.list_(pa.int32()))], names=["label_id", "label", "ids", "counts"])
 
@@ -146,34 +158,13 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     return fit(take("ids"), take("counts"), got["label"].to_numpy()[order])
 
 
-class Scorer:
-    """Scores of texts; a word's (sum, number of features) is kept while the cache has room."""
-
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias, self.cache = weights.tolist(), bias, {}
-
-    def word(self, word: str) -> tuple[float, int]:
-        features = word_features(word)
-        return sum(map(self.weights.__getitem__, features)), len(features)
-
-    def __call__(self, text: str) -> float:
-        every = text.split()
-        words = Counter(every)
-        cache = self.cache
-        if len(cache) + len(words) > CACHE_WORDS:
-            cache.clear()
-        n = echoes(every)
-        total = n * self.weights[ECHO]
-        for word, k in words.items():
-            got = cache.get(word)
-            if got is None:
-                got = self.word(word)
-                if len(word) <= CACHE_LENGTH:
-                    cache[word] = got
-            total += k * got[0]
-            n += k * got[1]
-        z = self.bias + (total / n if n else 0.0)
-        return float(1 / (1 + np.exp(-z))) if z >= 0 else float(np.exp(z) / (1 + np.exp(z)))
+def scores(texts: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
+    """Softmax of the average of the features' vectors: the mean of their numbers and the bias, squashed."""
+    z = np.full(len(texts), bias)
+    for i, j, of, bucket in features(texts):
+        n = np.bincount(of, minlength=j - i)
+        z[i:j] += np.bincount(of, weights[bucket], minlength=j - i) / np.maximum(n, 1)
+    return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
 
 
 def score(docs: DataFrame, model: Model, *, text_col: str = "text", keep: list[str], name: str = "score") -> DataFrame:
@@ -181,11 +172,7 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", keep: list[s
     weights, bias = model.weights()
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
-    def make():
-        scorer = Scorer(sent.value, bias)
-        return lambda texts: [pa.array([scorer(t or "") for t in texts.to_pylist()], pa.float64())]
-
-    return map_texts(docs, text_col, keep, [T.StructField(name, T.DoubleType())], make)
+    return map_texts(docs, text_col, keep, [T.StructField(name, T.DoubleType())], lambda: lambda texts: [pa.array(scores(texts, sent.value, bias))])
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
