@@ -88,6 +88,19 @@ def q_pca_scores(c: Ctx):
     return _pca_multi(c).scores
 
 
+@query("pca_price_availability")
+def q_pca_price_availability(c: Ctx):
+    """C4 on two columns, where it has a closed form."""
+    d = FT.modelling_frame(c["dim_listings"]).select("listing_id", "price", "avail")
+    res = CL.pca(FT.standardise(d, ["price", "avail"]), ["price", "avail"])
+    return c.spark.createDataFrame([(j + 1, float(v)) for j, v in enumerate(res.ratio)], "component int, explained_ratio double")
+
+
+oracle("pca_price_availability", f"""
+SELECT CAST(j AS INTEGER) AS component, (1 + CASE WHEN j = 1 THEN 1 ELSE -1 END * abs(corr({P}, {RATE}))) / 2 AS explained_ratio
+FROM dim_listings, (VALUES (1), (2)) AS v(j) WHERE {P} BETWEEN 1 AND 2000 AND {RATE} IS NOT NULL GROUP BY j""", ["explained_ratio"])
+
+
 @query("pca_loadings")
 def q_pca_loadings(c: Ctx):
     """loadings = component x sqrt(eigenvalue)."""
@@ -284,3 +297,27 @@ def q_dbscan_summary(c: Ctx):
 
     scores = _pca_cluster(c).scores
     return dbscan_summary(dbscan(scores, "listing_id", "pc1", "pc2", 0.4, 15))
+
+
+EPS, MIN_PTS = 0.0035, 6
+
+
+@query("dbscan_locations")
+def q_dbscan_locations(c: Ctx):
+    """C12 on the listings' coordinates: clusters, noise, noise %, core points."""
+    from ..operators.dbscan import dbscan, dbscan_summary
+
+    return dbscan_summary(dbscan(c["dim_listings"], "listing_id", "longitude", "latitude", EPS, MIN_PTS))
+
+
+oracle("dbscan_locations", f"""
+, p AS (SELECT row_number() OVER (ORDER BY listing_id) AS i, longitude AS x, latitude AS y FROM dim_listings),
+near AS (SELECT a.i AS a, b.i AS b FROM p a JOIN p b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {EPS}e0 * {EPS}e0),
+core AS (SELECT a AS i FROM near GROUP BY a HAVING count(*) >= {MIN_PTS}),
+edge AS (SELECT a, b FROM near WHERE a IN (SELECT i FROM core) AND b IN (SELECT i FROM core)),
+least AS (SELECT a.i, min(r.root) AS root FROM core a JOIN (
+  WITH RECURSIVE reach(root, i) AS (SELECT i, i FROM core UNION SELECT root, b FROM reach JOIN edge ON edge.a = reach.i)
+  SELECT * FROM reach) r ON r.i = a.i GROUP BY a.i),
+t AS (SELECT count(*) AS n_points, count_if(i NOT IN (SELECT i FROM core) AND i NOT IN (SELECT a FROM near WHERE b IN (SELECT i FROM core))) AS n_noise FROM p)
+SELECT (SELECT count(DISTINCT root) FROM least) AS n_clusters, CAST(n_noise AS BIGINT) AS n_noise,
+       {r("n_noise * 100.0e0 / n_points", 2)} AS noise_pct, (SELECT count(*) FROM core) AS n_core, n_points FROM t""", ["noise_pct"])
