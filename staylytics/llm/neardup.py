@@ -47,7 +47,7 @@ from .probminhash import BANDS, SLOTS, bands_and_bits, fingerprint, probability_
 
 SIMILARITY = 0.8
 #: Nodes of a bucket that are compared with its other parts in the first round, and the growth from round to round.
-FIRST_LEADERS, MORE_LEADERS = 16, 16
+FIRST_LEADERS, MORE_LEADERS = 256, 16
 #: Nodes on a side of a tile, about.
 BLOCK = 256
 
@@ -116,6 +116,18 @@ def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return p.mapInArrow(run, "a long, b long, similarity double")
 
 
+def _roots(parent: DataFrame) -> DataFrame:
+    """(node, comp): the root above every node, from a forest of (node, comp) with comp < node."""
+    top = parent.select(F.col("comp").alias("node")).distinct().join(parent, "node", "left_anti")
+    label = cut_lineage(parent.select("node", "comp").unionByName(top.select("node", F.col("node").alias("comp"))))
+    while True:
+        above = label.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
+        jump = cut_lineage(label.join(above, "comp").select("node", F.col("next").alias("comp"), (F.col("next") < F.col("comp")).alias("moved")))
+        label = jump.drop("moved")
+        if not jump.agg(F.max("moved")).first()[0]:
+            return label
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of the edges (a, b): comp is the least node that can be reached."""
     both = edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct()
@@ -123,14 +135,13 @@ def components(edges: DataFrame) -> DataFrame:
     label = cut_lineage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "node"))
     while True:
         # the label of the label, then the least label of the neighbours
-        jump = label.join(label.select(F.col("node").alias("comp"), F.col("comp").alias("next")), "comp").select("node", F.col("next").alias("comp"))
-        jump = cut_lineage(jump)
-        near = both.join(jump.select(F.col("node").alias("b"), F.col("comp").alias("c")), "b").groupBy("a").agg(F.min("c").alias("c"))
-        new = cut_lineage(jump.join(near, F.col("node") == F.col("a")).select("node", F.least("comp", "c").alias("comp")))
-        changed = new.join(label.withColumnRenamed("comp", "old"), "node").where("comp <> old").limit(1).count()
-        label = new
-        if not changed:
-            return label
+        jump = label.join(label.select(F.col("node").alias("comp"), F.col("comp").alias("next")), "comp").select("node", "comp", "next")
+        near = both.join(label.select(F.col("node").alias("b"), F.col("comp").alias("c")), "b").groupBy("a").agg(F.min("c").alias("c"))
+        least = F.least("next", "c")
+        label = cut_lineage(jump.join(near, F.col("node") == F.col("a")).select("node", least.alias("comp"), (least < F.col("comp")).alias("moved")))
+        if not label.agg(F.max("moved")).first()[0]:
+            return label.drop("moved")
+        label = label.drop("moved")
 
 
 def _agreement(a: str, b: str) -> Column:
@@ -312,11 +323,12 @@ def _linked(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     data = data.select("node", "bits", "prints")
 
     # each node and the least node of one of its buckets, the one most like it
-    pairs = cut_lineage(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
+    pairs = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     of = lambda c: data.select(F.col("node").alias(c), F.col("bits").alias(f"bits_{c}"))
     judged = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", _agreement("bits_a", "bits_b").alias("same")).where(F.col("same") >= enough)
-    best = cut_lineage(judged.groupBy("b").agg(F.max_by("a", F.struct("same", -F.col("a"))).alias("a")).select("a", "b"))
-    comp = components(cut_lineage(_verify(best, texts, similarity)))
+    best = judged.groupBy("b").agg(F.max_by("a", F.struct("same", -F.col("a"))).alias("a")).select("a", "b")
+    # each node has one link to a lesser node here: a forest
+    comp = _roots(cut_lineage(_verify(best, texts, similarity).select(F.col("b").alias("node"), F.col("a").alias("comp"))))
 
     # buckets of more than one part
     members = members.select("bucket", "band", "node", F.col("node").alias("comp"), F.lit(False).alias("tried"))
@@ -328,18 +340,17 @@ def _linked(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
                                             F.max_by("untried", F.struct("n", "comp")).alias("in_main"))
         open_ = open_.select("bucket", "n", F.col("main.comp").alias("main"), (F.col("untried") - F.col("in_main")).alias("rest"))
         open_ = cut_lineage(open_.where("rest > 0"))
-        if open_.isEmpty():
+        if not open_.count():
             return comp
         # about ``leaders`` of the nodes outside the main part, by hash; all of them if there are no more
         draw = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 30)) * F.col("rest") < F.lit(leaders << 30)
         chosen = ~F.col("tried") & (F.col("comp") != F.col("main")) & ((F.col("rest") <= leaders) | draw)
         members = cut_lineage(members.join(open_, "bucket").select("bucket", "band", "node", "comp", "tried", "n", "rest", chosen.alias("chosen")))
         tiles = _tiles(members, leaders).join(data, "node").select(*_TILE, "bits", "prints")
-        left = cut_lineage(_by_tile(tiles, _narrow(enough), _TILE_TYPES))
-        full = left.join(data, "node").join(texts, "node").select(*_TILE, "bits", "prints", "text")
+        full = _by_tile(tiles, _narrow(enough), _TILE_TYPES).join(data, "node").join(texts, "node").select(*_TILE, "bits", "prints", "text")
         links = cut_lineage(_by_tile(full, _link(enough, similarity), "a long, b long"))
         members = members.select("bucket", "band", "node", "comp", (F.col("tried") | F.col("chosen")).alias("tried"))
-        if not links.isEmpty():
+        if links.count():
             joined = components(cut_lineage(_relabel(_relabel(links, comp, "a"), comp, "b")))
             every = comp.select("node").union(joined.select("node")).union(links.select("a")).union(links.select("b")).distinct()
             comp = cut_lineage(_relabel(_relabel(every.select("node", F.col("node").alias("comp")), comp, "comp"), joined, "comp"))
@@ -361,6 +372,6 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     h = fresh(docs.columns, "text_hash")
     d, k = docs.withColumn(h, F.xxhash64(text_col)).alias("d"), kept.alias("k")
     rows = d.join(k, F.col(f"d.`{id_col}`").eqNullSafe(F.col("k.doc_id")) & (F.col(f"d.{h}") == F.col("k.text_hash")), "left_semi")
-    if not kept.where("n > 1").isEmpty():
+    if kept.where("n > 1").count():
         rows = rows.dropDuplicates([id_col, h])
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
