@@ -77,5 +77,5 @@ def currency_parse_report(raw: DataFrame, column: str = "price") -> DataFrame:
         F.count(F.col(column)).alias("n_text"),
         F.count(parsed).alias("n_parsed"),
         F.count_if(F.col(column).isNotNull() & parsed.isNull()).alias("n_unparsable"),
-        F.sum(parsed).alias("sum_parsed"),
+        F.sum(parsed.cast("decimal(18,4)")).cast("double").alias("sum_parsed"),  # exact, whatever the order
     )

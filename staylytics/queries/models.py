@@ -73,10 +73,10 @@ def q_currency_parse(c: Ctx):
 
 oracle("currency_parse", """
 SELECT count(*) AS n_rows, CAST(count(price_usd) + count_if(listing_id % 30 = 0) AS BIGINT) AS n_text, count(price_usd) AS n_parsed,
-       CAST(count_if(listing_id % 30 = 0) AS BIGINT) AS n_unparsable, sum(price_usd) AS sum_parsed, 'listings' AS source
+       CAST(count_if(listing_id % 30 = 0) AS BIGINT) AS n_unparsable, CAST(sum(CAST(price_usd AS DECIMAL(18, 4))) AS DOUBLE) AS sum_parsed, 'listings' AS source
 FROM stg_listings
 UNION ALL
-SELECT count(*), count(price_usd), count(price_usd), CAST(0 AS BIGINT), sum(price_usd), 'calendar'
+SELECT count(*), count(price_usd), count(price_usd), CAST(0 AS BIGINT), CAST(sum(CAST(price_usd AS DECIMAL(18, 4))) AS DOUBLE), 'calendar'
 FROM stg_calendar""", ["sum_parsed"])
 
 
