@@ -36,6 +36,8 @@ UNKNOWN = "und"
 MIN_SCORE = 0.15
 #: n-grams a task holds before it adds up equal ones.
 HELD = 1 << 21
+#: Texts counted at once; with every letter there is, text and n-gram still fit in 63 bits.
+TEXTS = 2048
 
 _LETTERS: list[np.ndarray] = []
 
@@ -99,10 +101,10 @@ def ranked(group: np.ndarray, codes: np.ndarray, counts: np.ndarray, size: int):
 
 
 def _parts(texts: list[str | None]):
-    """Ranges of texts of about CHUNK_BYTES characters in all."""
+    """Ranges of at most TEXTS texts of about CHUNK_BYTES characters in all."""
     i, n = 0, 0
     for j, t in enumerate(texts):
-        if n and n + len(t or "") > CHUNK_BYTES:
+        if j - i == TEXTS or n and n + len(t or "") > CHUNK_BYTES:
             yield i, j
             i, n = j, 0
         n += len(t or "")
