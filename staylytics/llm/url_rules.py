@@ -35,6 +35,8 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 MIN_SUPPORT, MIN_CONFIDENCE = 0.01, 0.8
 DEFAULT = "allow"
+#: Matched token sets that are sent to all tasks at most (some 100 bytes each).
+MAX_SENT = 50_000
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -124,5 +126,7 @@ def judge(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", ru
         return p.select(*out, F.coalesce("given.verdict", F.lit(DEFAULT)).alias("verdict"), F.lit(None).cast("string").alias("mined_rule"))
     p = p.withColumn("set", F.when(F.col("given").isNull(), F.array_sort(F.array_intersect("tokens", F.array(*map(F.lit, used))))))
     p = p.drop("tokens", "url")
-    got = match(p.where("set is not null").select("set").distinct(), mined)
+    got = cut_lineage(match(p.where("set is not null").select("set").distinct(), mined))
+    if got.count() <= MAX_SENT:  # else a plain join, whose hot sets Spark splits
+        got = F.broadcast(got)
     return p.join(got, "set", "left").select(*out, F.coalesce("given.verdict", "mined", F.lit(DEFAULT)).alias("verdict"), "mined_rule")
