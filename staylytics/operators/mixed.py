@@ -200,14 +200,14 @@ class MixedFit:
 EDGE, WIDER = 60.0, 12.0
 
 
-def fit_mixed(des: Design, passes: int = 4, grid: int = 201, lo: float = -14.0, hi: float = 9.0,
-              refine: int = 21) -> MixedFit:
+def fit_mixed(des: Design, passes: int = 2, grid: int = 201, lo: float = -14.0, hi: float = 9.0,
+              refine: int = 201) -> MixedFit:
     """REML fit (and the ML criterion for the AIC) by grid refinement over log theta.
 
     One Spark job per pass: a ``grid``-point pass over [lo, hi] (plus
     theta = 0), more of the same on the side where the best point is the
     last one, then ``passes`` passes of ``refine`` points around the best
-    REML and ML points, each 10x finer than the last.
+    REML and ML points, each 100x finer than the last.
     """
     p = len(des.terms)
     st = des.frame.agg(F.avg("y").alias("ym"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(p)]).first()

@@ -30,7 +30,7 @@ def _same(a: str, b: str, keys: list[str]) -> Column:
 
 
 def _bucketed(counts: DataFrame, keys: list[str], buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(keys, value, cnt, bucket) and (keys, bucket, btot, before, n) from counted values, both written."""
+    """(keys, value, cnt, bucket) and (keys, bucket, btot, before, n) from counted values; the first is written."""
     counts = cut_lineage(counts)
     p = buckets or max(1, -(-counts.count() // BUCKET_VALUES))
     if p > 1:
@@ -42,8 +42,8 @@ def _bucketed(counts: DataFrame, keys: list[str], buckets: int | None = None) ->
     by = Window.partitionBy(*keys)
     before = by.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = counts.groupBy(*keys, "bucket").agg(F.sum("cnt").alias("btot"))
-    return counts, cut_lineage(totals.select("*", F.coalesce(F.sum("btot").over(before), F.lit(0)).alias("before"),
-                                             F.sum("btot").over(by).alias("n")))
+    return counts, totals.select("*", F.coalesce(F.sum("btot").over(before), F.lit(0)).alias("before"),
+                                 F.sum("btot").over(by).alias("n"))
 
 
 def _counted(df: DataFrame, keys: list[str], col: str) -> DataFrame:
@@ -82,7 +82,7 @@ def group_quantiles(df: DataFrame, keys: list[str], col: str, probs: dict[str, f
         F.floor("h"), F.ceil("h")))).alias("rank"))
     w, t = want.alias("w"), totals.alias("t")
     found = w.join(t, _same("w", "t", by) & (F.col("w.rank") >= F.col("t.before")) & (F.col("w.rank") < F.col("t.before") + F.col("t.btot")))
-    found = cut_lineage(found.select(*[F.col(f"w.{k}") for k in by], "w.name", "w.h", "w.rank", "t.bucket", "t.before"))
+    found = found.select(*[F.col(f"w.{k}") for k in by], "w.name", "w.h", "w.rank", "t.bucket", "t.before")
     f, v = found.select(*by, "bucket").distinct().alias("f"), vb.alias("v")
     held = v.join(f, _same("f", "v", by) & (F.col("f.bucket") == F.col("v.bucket")), "left_semi")
     inside = Window.partitionBy(*by, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
