@@ -1,5 +1,7 @@
 """Known licences: whole texts and one-line notices (fixed values, in SPDX order)."""
 
+from importlib import resources
+
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
 in the Software without restriction, including without limitation the rights
@@ -58,6 +60,27 @@ OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER
 TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
 THIS SOFTWARE."""
 
+
+def _file(license_id: str) -> str:
+    return resources.files(__package__).joinpath("license_files", f"{license_id}.txt").read_text("utf-8")
+
+
+def _forms(license_id: str) -> list[tuple[str, str]]:
+    """A long text as it is handed on: whole, without the appendix on how to apply it, and with its place for a name filled in."""
+    text = _file(license_id)
+    forms = [text]
+    if _END in text:
+        terms = text[:text.index(_END)]
+        forms += [terms + _END, terms]
+    if _PLACE in text:
+        forms.append(text.replace(_PLACE, ""))  # a copyright line that is filled in is no part of a canonical text
+    return [(license_id, t) for t in forms]
+
+
+_END, _PLACE = "END OF TERMS AND CONDITIONS", "Copyright [yyyy] [name of copyright owner]"
+#: Licences whose text is a file of license_files/.
+FILES = ["Apache-2.0", "CC-BY-SA-4.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0"]
+
 #: (licence, whole text)
 TEXTS = [
     ("0BSD", _ISC_GRANT.format(condition="")),
@@ -68,6 +91,7 @@ TEXTS = [
     ("MIT", "MIT License\n\n" + _MIT_GRANT),
     ("MIT", "The MIT License\n\n" + _MIT_GRANT),
     ("MIT", "The MIT License (MIT)\n\n" + _MIT_GRANT),
+    *(form for i in FILES for form in _forms(i)),
 ]
 
 #: (licence, kind, names it goes by in notices)
@@ -95,3 +119,25 @@ OPENINGS = ["Licensed under", "Licensed under the", "Released under", "Released
 
 #: Notices that name no licence.
 OTHER_NOTICES = [("all-rights-reserved", "reserved", "All rights reserved.")]
+
+#: (licence, kind, lines of its standard header). Where the header is wrapped before the version, the line names the family only.
+HEADERS = [
+    ("AGPL-3.0", "copyleft", ["it under the terms of the GNU Affero General Public License as published by",
+                              "it under the terms of the GNU Affero General Public License as published"]),
+    ("Apache-2.0", "permissive", ['Licensed under the Apache License, Version 2.0 (the "License");',
+                                  'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.']),
+    ("CC-BY-4.0", "permissive", ["This work is licensed under a Creative Commons Attribution 4.0 International License."]),
+    ("CC-BY-NC-4.0", "noncommercial", ["This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."]),
+    ("CC-BY-SA-4.0", "copyleft", ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."]),
+    ("GPL", "copyleft", ["it under the terms of the GNU General Public License as published by",
+                         "under the terms of the GNU General Public License as published by the Free"]),
+    ("GPL-2.0", "copyleft", ["it under the terms of the GNU General Public License version 2 as"]),
+    ("GPL-3.0", "copyleft", ["it under the terms of the GNU General Public License version 3 as"]),
+    ("LGPL", "copyleft", ["it under the terms of the GNU Lesser General Public License as published by",
+                          "modify it under the terms of the GNU Lesser General Public"]),
+    ("MPL-2.0", "copyleft", ["License, v. 2.0. If a copy of the MPL was not distributed with this",
+                             "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."]),
+]
+
+#: Licences whose SPDX identifier says if later versions count too.
+VERSIONED = ["AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0"]

@@ -20,7 +20,7 @@ import functools
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .license_texts import NAMES, OPENINGS, OTHER_NOTICES, TEXTS
+from .license_texts import HEADERS, NAMES, OPENINGS, OTHER_NOTICES, TEXTS, VERSIONED
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A line that states a copyright: the word or sign with a year, a place for one, or the sign.
@@ -52,11 +52,14 @@ def canonical(lines: Column) -> Column:
 def notices() -> list[tuple[str, str]]:
     """(licence, notice) of all known one-line notices."""
     out = [(license_id, f"{o} {n}") for license_id, _, names in NAMES for n in names for o in OPENINGS]
+    out += [(license_id, line) for license_id, _, lines in HEADERS for line in lines]
+    out += [(i, f"SPDX-License-Identifier: {i}{s}") for i in kinds() for s in ["", *(["-only", "-or-later"] if i in VERSIONED else [])]
+            if any(c.isdigit() for c in i) or i in ("ISC", "MIT")]
     return out + [(i, text) for i, _, text in OTHER_NOTICES]
 
 
 def kinds() -> dict[str, str]:
-    return {i: k for i, k, _ in NAMES} | {i: k for i, k, _ in OTHER_NOTICES} | {"0BSD": "permissive"}
+    return {i: k for i, k, _ in [*NAMES, *HEADERS, *OTHER_NOTICES]} | {"0BSD": "permissive"}
 
 
 def _listed(spark: SparkSession, rows) -> DataFrame:

@@ -74,6 +74,27 @@ def test_licenses(odd, none, spark):
     assert got(licenses.scan(held), "doc_id", "notices", "restricted") == [(0, "CC-BY-NC-4.0", True), (1, "all-rights-reserved", True), (2, "", False)]
 
 
+def test_license_whole_texts(spark):
+    strict = {i for i, k in licenses.kinds().items() if k != "permissive"}
+    want = [(k, i, i in strict) for k, (i, _) in enumerate(licenses.TEXTS)]
+    d = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(licenses.TEXTS)], "doc_id int, text string")
+    assert got(licenses.scan(d), "doc_id", "license_id", "restricted") == expect(want)
+    assert {"Apache-2.0", "CC-BY-SA-4.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0"} <= {i for _, i, _ in want}
+    gpl = next(t for i, t in licenses.TEXTS if i == "GPL-3.0")
+    apache = next(t for i, t in licenses.TEXTS if i == "Apache-2.0").replace("[yyyy] [name of copyright owner]", "2021 Jo Doe")
+    d = spark.createDataFrame([(0, "# " + gpl.replace("\n", "\n# ")), (1, gpl.replace("Everyone", "Nobody", 1)), (2, apache)], "doc_id int, text string")
+    assert got(licenses.scan(d), "doc_id", "license_id") == [(0, "GPL-3.0"), (1, None), (2, "Apache-2.0")]
+
+
+def test_license_headers(spark):
+    lines = ['// Licensed under the Apache License, Version 2.0 (the "License");', " * it under the terms of the GNU General Public License as published by",
+             "# SPDX-License-Identifier: GPL-3.0-or-later", "/* SPDX-License-Identifier: MIT */", "License, v. 2.0. If a copy of the MPL was not distributed with this",
+             "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."]
+    d = spark.createDataFrame([(k, f"x = 1\n{t}\ny") for k, t in enumerate(lines)], "doc_id int, text string")
+    assert got(licenses.scan(d), "doc_id", "notices", "restricted") == [
+        (0, "Apache-2.0", False), (1, "GPL", True), (2, "GPL-3.0", True), (3, "MIT", False), (4, "MPL-2.0", True), (5, "CC-BY-NC-4.0", True)]
+
+
 # ---------------------------------------------------------------- 2
 URLS = [None, "", "no scheme", "://", "http://ORG/x", "http://a.org", "http://Ex.Example.ORG/es/1?x=://b/#", "x://a.com/de", "http://q.com/de/?a#b",
         "http://notexample.org/es/", "http://example.org/en/12", "https://e.net/fr/1.html?a=1&b=2", "http://É.com/fr/", "http://a.net/" + "x/" * 3000]
