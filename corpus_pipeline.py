@@ -9,7 +9,7 @@ columns of documents. The last adds size, source_size, target and taken
 What a stage decides takes effect on what follows:
 
 1. language   documents without a letter, or too far from every learned profile, go
-2. lines      later occurrences of repeated three-line windows are cut out; a text with nothing left goes
+2. lines      later occurrences of repeated three-line windows and of passages on one or two lines are cut out; a text with nothing left goes
 3. near       one document of each class of near-duplicates stays
 4. benchmark  contaminated documents go
 5. mixing     documents that the mix does not reach go
@@ -33,7 +33,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(docs).where(F.col("text").rlike(f"[^{SPACE}]"))
+    return line_dedup.dedup_lines(docs, pairs=True).where(F.col("text").rlike(f"[^{SPACE}]"))
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

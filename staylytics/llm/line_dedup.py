@@ -2,7 +2,8 @@
 
 The lines with a word in them are numbered; every three in a row are a
 window, as is a line of PASSAGE words or more by itself, and all
-lines of a text that has fewer than three. Windows are 128-bit hashes of
+lines of a text that has fewer than three. With ``pairs``, two lines in a row
+that have PASSAGE words or more between them are a window too. Windows are 128-bit hashes of
 trimmed lines. Over all documents, the first occurrence of a window (lowest doc_id,
 then lowest line) stays. Every later one is covered; covered lines, and blank lines
 between the lines of a covered window, go.
@@ -32,30 +33,38 @@ PASSAGE = 50
 WHITE = " \t\n\x0b\x0c\r"
 
 
-def windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def windows(docs: DataFrame, id_col: str, text_col: str, pairs: bool = False) -> DataFrame:
     """One row for each window: doc_id, text_hash, first and last line (from 0), h1, h2."""
     d = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.split(text_col, "\n").alias("lines"))
     trimmed = F.transform("lines", lambda x, i: F.struct(i.alias("i"), F.trim(x, F.lit(WHITE)).alias("x")))
     d = d.select("doc_id", "text_hash", F.filter(trimmed, lambda s: s["x"] != "").alias("lines"))
-    words = lambda x: F.when(F.length(x) >= 2 * PASSAGE - 1, F.size(F.split(x, f"[{SPACE}]+"))).otherwise(0)
+    count = lambda x: F.size(F.split(x, f"[{SPACE}]+"))
+    words = count if pairs else lambda x: F.when(F.length(x) >= 2 * PASSAGE - 1, count(x)).otherwise(0)
     d = d.select("doc_id", "text_hash", F.transform("lines", lambda s: F.struct(
         s["i"].alias("i"), F.xxhash64(s["x"]).alias("a"), F.xxhash64(F.lit("2"), s["x"]).alias("b"),
-        (words(s["x"]) >= PASSAGE).alias("long"))).alias("lines")).where(F.size("lines") > 0)
+        words(s["x"]).alias("words"))).alias("lines")).where(F.size("lines") > 0)
     d = d.select("doc_id", "text_hash", "lines", F.size("lines").alias("n"))
     at = lambda k, c: F.get("lines", k)[c]
     runs = F.transform(F.sequence(F.lit(0), F.greatest(F.col("n") - LINES, F.lit(0))), lambda k: F.struct(
         at(k, "i").alias("first"), at(F.least(k + LINES - 1, F.col("n") - 1), "i").alias("last"),
         F.xxhash64(*[at(k + j, "a") for j in range(LINES)]).alias("h1"),
         F.xxhash64(*[at(k + j, "b") for j in range(LINES)]).alias("h2")))
-    alone = F.transform(F.filter("lines", lambda s: s["long"] & (F.col("n") > 1)), lambda s: F.struct(
+    alone = F.transform(F.filter("lines", lambda s: (s["words"] >= PASSAGE) & (F.col("n") > 1)), lambda s: F.struct(
         s["i"].alias("first"), s["i"].alias("last"), F.xxhash64(s["a"]).alias("h1"), F.xxhash64(s["b"]).alias("h2")))
-    return d.select("doc_id", "text_hash", F.inline(F.concat(runs, alone)))
+    if not pairs:
+        return d.select("doc_id", "text_hash", F.inline(F.concat(runs, alone)))
+    starts = F.filter(F.sequence(F.lit(0), F.greatest(F.col("n") - 2, F.lit(0))), lambda k: (F.col("n") > 2) & (
+        at(k, "words") + at(k + 1, "words") >= PASSAGE))  # the two lines of a text that has no more are a window above
+    two = F.transform(starts, lambda k: F.struct(
+        at(k, "i").alias("first"), at(k + 1, "i").alias("last"), F.xxhash64(at(k, "a"), at(k + 1, "a")).alias("h1"),
+        F.xxhash64(at(k, "b"), at(k + 1, "b")).alias("h2")))
+    return d.select("doc_id", "text_hash", F.inline(F.concat(runs, alone, two)))
 
 
-def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", pairs: bool = False) -> DataFrame:
     """doc_id, text_hash and the sorted numbers of the covered lines, for documents that have any."""
-    w = windows(docs, id_col, text_col)  # of rows equal in id and text all are the first occurrence, or none is
+    w = windows(docs, id_col, text_col, pairs)  # of rows equal in id and text all are the first occurrence, or none is
     seen = F.struct("doc_id", "text_hash", "first")
     repeated = w.groupBy("h1", "h2").agg(F.min(seen).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     repeated = cut_lineage(repeated)  # a scan on this side lets Spark split the other side of a hot window
@@ -73,13 +82,13 @@ def _left(text: Column, gone: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n_chars_col: str = "n_chars",
-                removed: str | None = None) -> DataFrame:
+                removed: str | None = None, pairs: bool = False) -> DataFrame:
     """All rows with their columns; the text has no covered line left, and n_chars (if there) is its new length.
 
-    ``removed`` names an extra column for the number of lines taken out.
+    ``removed`` names an extra column for the number of lines taken out; ``pairs`` also takes passages on two lines.
     """
     h = fresh(docs.columns, "text_hash")
-    d, c = docs.withColumn(h, F.xxhash64(text_col)).alias("d"), covered(docs, id_col=id_col, text_col=text_col).alias("c")
+    d, c = docs.withColumn(h, F.xxhash64(text_col)).alias("d"), covered(docs, id_col=id_col, text_col=text_col, pairs=pairs).alias("c")
     j = d.join(c, F.col(f"d.`{id_col}`").eqNullSafe(F.col("c.doc_id")) & (F.col(f"d.{h}") == F.col("c.text_hash")), "left")
     new = fresh(docs.columns, "text_left")
     j = j.select("d.*", F.col("c.covered").alias(gone := fresh([*docs.columns, h, new], "covered")))

@@ -156,6 +156,24 @@ def dedup_lines(rows):
     return out
 
 
+def dedup_lines_pairs(rows):
+    """As dedup_lines, with a window for two lines in a row that have 50 words or more."""
+    seen, out = set(), []
+    for _, text in rows:
+        lines = (text or "").split("\n")
+        at = [(i, x.strip(WHITE)) for i, x in enumerate(lines) if x.strip(WHITE)]
+        spans = [at[k:k + 3] for k in range(max(1, len(at) - 2))] if at else []
+        spans += [[x] for x in at if len(at) > 1 and len(split(x[1])) >= 50]
+        spans += [list(p) for p in zip(at, at[1:]) if len(at) > 2 and len(split(p[0][1])) + len(split(p[1][1])) >= 50]
+        gone = set()
+        for a, b, key in sorted((s[0][0], s[-1][0], tuple(x for _, x in s)) for s in spans):
+            if key in seen:
+                gone |= set(range(a, b + 1))
+            seen.add(key)
+        out.append(text if not gone else "\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return out
+
+
 # ---------------------------------------------------------------- operator 10
 def judge_benchmark(text, items):
     """(words, hit words, item ids, digest, contaminated)."""

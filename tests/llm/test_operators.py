@@ -266,6 +266,18 @@ def test_line_dedup_brute(spark):
     assert got(line_dedup.dedup_lines(d), "doc_id", "text") == expect(zip([i for i, _ in docs], brute.dedup_lines(docs)))
 
 
+def test_line_dedup_pairs(spark):
+    r = random.Random(18)
+    a, b = prose(71, 41), prose(72, 43)
+    lines = ["a", "b c", "", a, b, prose(73, 24), prose(74, 25), prose(75, 60)]
+    docs = [(0, f"x\n{a}\n{b}\ny"), (1, f"p\n {a}\n\n{b}\nq"), (2, f"{a}\n{b}"), (3, f"z\n{a}\nz")]
+    docs += [(i, "\n".join(r.choice(lines) for _ in range(r.randint(0, 12)))) for i in range(4, 150)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    out = {x["doc_id"]: x["text"] for x in line_dedup.dedup_lines(d, pairs=True).collect()}
+    assert [out[i] for i in range(4)] == [docs[0][1], "p\nq", "", docs[3][1]]
+    assert out == dict(zip([i for i, _ in docs], brute.dedup_lines_pairs(docs)))
+
+
 # ---------------------------------------------------------------- 9
 def test_classifier(odd, none, spark):
     labels = spark.createDataFrame([(1, 1), (4, 1), (16, 0), (None, 1), (3, None), (10, 1), (10, 1), (8, 0)], "doc_id long, quality int")
