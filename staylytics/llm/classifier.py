@@ -11,9 +11,8 @@ Training uses at most TRAIN_DOCS labelled documents (those with the
 lowest hash of their id, of the training fold): Spark tasks hash them
 into sparse counts and only these come to the driver. Scoring covers
 all rows and whole texts, in tasks: softmax of an average is linear up
-to the last step, so each bucket's vector is reduced to one number, a
-word to the sum of its features, and a worker keeps the words it has
-met in a bounded cache.
+to the last step, so each bucket's vector is reduced to one number and a
+word to the sum of its features.
 
 Defined cases: a text without words has only the outputs' bias and so
 the share of good documents in training as a score; a document with
