@@ -107,7 +107,7 @@ def frequent_lengths(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     prepare_workers(docs.sparkSession)
     n = docs.count()
     step = max(1, -(-n // SAMPLE_DOCS))
-    some = docs.where(F.col(text_col).isNotNull() & (F.pmod(F.xxhash64(F.col(id_col)), F.lit(step)) == 0))
+    some = docs.where(F.col(text_col).isNotNull() & (F.pmod(F.xxhash64(id_col, text_col), F.lit(step)) == 0))
 
     def tops(batches):
         for batch in batches:

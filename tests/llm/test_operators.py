@@ -200,6 +200,12 @@ def test_token_cache_starts_anew(monkeypatch):
         assert len(cache) <= 12
 
 
+def test_frequent_lengths_of_one_id(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "SAMPLE_DOCS", 10)
+    d = spark.createDataFrame([(None, prose(s, 30)) for s in range(40)], "doc_id long, text string")  # one of four is in the sample
+    assert 0 < len(token_counts.frequent_lengths(d, tokenizer("piece_bpe_32k.model"))) < len({w for s in range(40) for w in prose(s, 30).split()})
+
+
 # ---------------------------------------------------------------- 6
 def test_quality_rules(odd, none, spark):
     assert quality_rules.judge(none).count() == 0
