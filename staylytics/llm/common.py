@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from staylytics.session import ship_package
+from staylytics.session import ensure_checkpoint_dir, ship_package
 
 #: Bytes of one Arrow batch handed to Python; very long texts then travel alone.
 BATCH_BYTES = 8 << 20
@@ -24,6 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written as Parquet in the shared folder and read again."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh(columns, name: str) -> str:
     """``name``, with underscores in front until no column is called so (case does not matter)."""
     taken = {c.lower() for c in columns}

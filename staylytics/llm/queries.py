@@ -6,7 +6,7 @@ import hashlib
 import os
 import re
 
-from . import classifier, decontaminate, language, licenses, line_dedup, mixing, neardup, quality_rules, token_counts, url_rules
+from . import classifier, decontaminate, filter_audit, language, licenses, line_dedup, mixing, neardup, quality_rules, token_counts, url_rules
 from .common import table
 
 #: Where the vocabulary files of the public tokenizers are.
@@ -214,3 +214,36 @@ def op8_line_dedup(spark, sf_dir):
 @query("op3_near_duplicates")
 def op3_near_duplicates(spark, sf_dir):
     return neardup.report(table(spark, sf_dir, "documents"))
+
+
+def _audit_sql() -> str:
+    orders = ", ".join(f"('{o}')" for o in filter_audit.ORDERS)
+    gone = "contains(fails, letter) AND NOT earlier_fails"
+    total = lambda of, value="n": f"CAST(coalesce(sum({value}) FILTER (WHERE {of}), 0) AS BIGINT)"
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT doc_id, part,
+             CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+          || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+          || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+          || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+          || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+      FROM labels GROUP BY doc_id),
+c AS (SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+      FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS letter, filter_order[:step - 1] AS earlier
+      FROM (VALUES {orders}) AS o(filter_order), range(1, 6) AS r(step)),
+x AS (SELECT *, translate(fails, earlier, '') <> fails AS earlier_fails FROM c, s)
+SELECT part, filter_order, step, {total("NOT contains(fails, letter) AND NOT earlier_fails")} AS kept, {total(gone)} AS removed,
+       {total("contains(fails, letter) AND earlier_fails")} AS redundant, {total("fails = letter")} AS unique_fails,
+       {total(gone, "good")} AS good_lost, {total(gone, "toxic")} AS toxic_lost,
+       CAST(sum(coalesce(sum(n) FILTER (WHERE {gone}), 0)) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM x GROUP BY part, filter_order, step, letter
+"""
+
+
+@query("op11_filter_audit", _audit_sql())
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
