@@ -40,7 +40,7 @@ def plain_audit(docs, labels):
     for i, t, *_ in docs:
         if i is not None:
             least[t or ""] = min(i, least.get(t or "", i))
-    good, toxic = {i for i, q, _ in labels if q == 1}, {i for i, _, x in labels if x == 1}
+    good, toxic = {i for i, q, _ in labels if q == 1} - {None}, {i for i, _, x in labels if x == 1} - {None}
     fails = []
     for i, t, lang in docs:
         w, d, c, p, s = plain_counts(t)
