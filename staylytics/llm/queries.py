@@ -6,8 +6,8 @@ import hashlib
 import os
 import re
 
-from . import classifier, decontaminate, filter_audit, language, licenses, line_dedup, mixing, neardup, quality_rules, token_counts, url_rules
-from .common import table
+from . import classifier, decontaminate, filter_audit, language, licenses, line_dedup, mixing, neardup, quality_rules, token_counts, token_files, url_rules
+from .common import shared_folder, table
 
 #: Where the vocabulary files of the public tokenizers are.
 TOKENIZERS = os.environ.get("STAYLYTICS_TOKENIZERS", "/opt/tokenizers")
@@ -247,3 +247,10 @@ FROM x GROUP BY part, filter_order, step, letter
 @query("op11_filter_audit", _audit_sql())
 def op11_filter_audit(spark, sf_dir):
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_token_files")
+def op12_token_files(spark, sf_dir):
+    folder = shared_folder(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), folder, tokenizer("word_bpe_49k.json"))
+    return token_files.checksums(token_files.read(spark, folder))
