@@ -6,7 +6,7 @@ import hashlib
 import os
 import re
 
-from . import classifier, decontaminate, filter_audit, language, licenses, line_dedup, mixing, neardup, quality_rules, token_counts, token_files, url_rules
+from . import alignment, classifier, decontaminate, filter_audit, language, licenses, line_dedup, mixing, neardup, quality_rules, token_counts, token_files, url_rules
 from .common import shared_folder, table
 
 #: Where the vocabulary files of the public tokenizers are.
@@ -254,3 +254,8 @@ def op12_token_files(spark, sf_dir):
     folder = shared_folder(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), folder, tokenizer("word_bpe_49k.json"))
     return token_files.checksums(token_files.read(spark, folder))
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark, sf_dir):
+    return alignment.report(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
