@@ -36,7 +36,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +44,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import prepare_workers, written
-from .pieces import kept_pieces, load_tokenizer
+from .pieces import TOGETHER, kept_pieces, load_tokenizer
 from .token_counts import can_split, load
 
 #: The most frequent id pairs, which are broadcast: 24 bytes each.
 HEAD = 1 << 16
-#: Pieces that are aligned at a time, about.
-STRETCH = 1 << 17
+#: Characters that are aligned at a time, about.
+STRETCH = 1 << 20
 
 #: A run of blanks and line feeds and what follows it. No merge of either tokenizer crosses the place where one begins.
 _PIECES = re.compile("[ \n]*[^ \n]+|[ \n]+$")
@@ -88,28 +87,62 @@ class Pair:
         self.cuts = can_split(self.b)
         self.kept = kept_pieces(("pair", a_path, b_path), self._of_pieces)
 
-    def _whole(self, given: list[str], to_b: list[str], keep: list[slice]) -> list[tuple[bytes, bytes] | None]:
+    def _alone(self, given: list[str], to_b: list[str], keep: list[slice]) -> list[tuple[bytes, bytes] | None]:
         """Ids of both as 32-bit bytes; None where the tokens are not the bytes of ``given``."""
         a = [e.ids for e in self.a.encode_batch_fast(given, add_special_tokens=False)]
         b = [x[k] for x, k in zip(self.b.encode(to_b, num_threads=1), keep)]
-        join = lambda k, ids: b"".join(map(self.entries[k].__getitem__, ids))
-        return [(np.array(x, "<u4").tobytes(), np.array(y, "<u4").tobytes()) if join(0, x) == join(1, y) == g.encode() else None
+        return [(np.array(x, "<u4").tobytes(), np.array(y, "<u4").tobytes()) if self._bytes(0, x) == self._bytes(1, y) == g.encode() else None
                 for g, x, y in zip(given, a, b)]
 
+    def _bytes(self, k: int, ids) -> bytes:
+        return b"".join(map(self.entries[k].__getitem__, ids))
+
     def _of_pieces(self, pieces: list[str]) -> list[tuple[bytes, bytes] | None]:
-        # B puts a blank in front, but not of nothing: each piece is given with a line feed behind it, which is taken off again.
+        # pieces that end in something else than white space can follow one another in any order: they go in one text
+        out = {}
+        joint = [p for p in pieces if p[-1] not in " \n"]
+        for i in range(0, len(joint), TOGETHER):
+            out.update(self._together(joint[i:i + TOGETHER]))
+        # B puts a blank in front, but not of nothing: a piece is given with a line feed behind it, which is taken off again.
         # A piece that begins with a line feed has no blank, so that one is taken off too.
-        starts = [p[0] == " " for p in pieces]
-        return self._whole(pieces, [(p[1:] if s else p) + "\n" for p, s in zip(pieces, starts)], [slice(0 if s else 1, -1) for s in starts])
+        rest = [p for p in pieces if p not in out]
+        starts = [p[0] == " " for p in rest]
+        out.update(zip(rest, self._alone(rest, [(p[1:] if s else p) + "\n" for p, s in zip(rest, starts)], [slice(0 if s else 1, -1) for s in starts])))
+        return [out[p] for p in pieces]
+
+    def _together(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        """The ids of pieces that are encoded as one text; nothing if its tokens are not its bytes or do not end where a piece does."""
+        text = " a" + "".join(pieces)
+        ends = np.cumsum([2, *(len(p.encode()) for p in pieces)])
+        cuts = []
+        for k, ids in enumerate((self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:]))):
+            if self._bytes(k, ids) != text.encode():
+                return {}
+            ids = np.array(ids, "<u4")
+            at = np.cumsum(self.sizes[k][ids])
+            cut = np.searchsorted(at, ends)
+            if not np.array_equal(at[cut], ends):
+                return {}
+            body, cut = ids.tobytes(), (4 * cut + 4).tolist()
+            cuts.append([body[x:y] for x, y in zip(cut[:-1], cut[1:])])
+        return dict(zip(pieces, zip(*cuts)))
 
     def stretches(self, text: str):
         """Ids (of A, of B) of one stretch of the text after another, both ending at the same offset; None if it has no tokens."""
         if not self.cuts or _ODD.search(text):
-            yield self._ids(self._whole([" " + text], [text], [slice(None)]))
+            yield self._ids(self._alone([" " + text], [text], [slice(None)]))
             return
-        found = (m.group() for m in _PIECES.finditer(" " + text))
-        while pieces := list(islice(found, STRETCH)):
-            yield self._ids(self.kept.values_of(pieces))
+        given, at = " " + text, 0
+        while at < len(given):  # a piece that reaches the end of a stretch may go on behind it: it is taken anew
+            pieces = _PIECES.findall(given[at:at + STRETCH])
+            done = at + STRETCH >= len(given)
+            if not done and len(pieces) > 1:
+                pieces.pop()
+            elif not done:
+                pieces, done = _PIECES.findall(given[at:]), True
+            at = len(given) if done else at + sum(map(len, pieces))
+            known = self.kept.fill(pieces)
+            yield self._ids(list(map(known.__getitem__, pieces)))
 
     @staticmethod
     def _ids(values):

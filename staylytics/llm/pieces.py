@@ -9,10 +9,12 @@ know go to the library. Every id is the library's own.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterable
 
-#: Pieces that a worker keeps before it starts anew, and the longest one (characters or bytes) that is kept.
-KEPT_PIECES, KEPT_LENGTH = 1 << 18, 64
+#: Pieces in a table of a worker, about, and the longest one (characters or bytes) that is kept for long.
+KEPT_PIECES, KEPT_LENGTH = 1 << 19, 64
+#: Pieces that the library is given at a time.
+TOGETHER = 512
 
 _LOADED: dict[tuple[str, bool], object] = {}
 
@@ -32,25 +34,29 @@ def load_tokenizer(path: str, special_as_text: bool = False):
     return _LOADED[key]
 
 
-class Pieces(dict):
-    """What ``encode`` (a list of pieces to a list of values) gives for a piece; it holds KEPT_PIECES at most."""
+class Pieces:
+    """What ``encode`` (a list of pieces to a list of values) gives for a piece.
+
+    There are two tables. A piece found in the older one moves on to the newer one; when that
+    holds KEPT_PIECES the older one is dropped, so frequent pieces stay.
+    """
 
     def __init__(self, encode: Callable[[list], list]):
-        super().__init__()
-        self.encode = encode
-
-    def values_of(self, pieces: list[Hashable]) -> list:
-        new = [p for p in set(pieces) if p not in self]
-        if not new:
-            return list(map(self.__getitem__, pieces))
-        if len(self) + len(new) > KEPT_PIECES:
-            self.clear()
-            new = list(set(pieces))
-        got = dict(zip(new, self.encode(new)))
-        for p in new[:KEPT_PIECES]:
-            if len(p) <= KEPT_LENGTH:
-                self[p] = got.pop(p)
-        return [self[p] if p in self else got[p] for p in pieces]
+        self.encode, self.new, self.old = encode, {}, {}
+
+    def fill(self, pieces: Iterable[Hashable]) -> dict:
+        """A table that has all these pieces; it is good until the next call."""
+        pieces = set(pieces)
+        missing = pieces.difference(self.new)
+        if missing:
+            if len(self.new) > KEPT_PIECES:
+                self.new, self.old = {}, {p: v for p, v in self.new.items() if len(p) <= KEPT_LENGTH}
+                missing = pieces
+            again = [p for p in missing if p in self.old]
+            self.new.update(zip(again, map(self.old.__getitem__, again)))
+            missing = list(missing.difference(self.new))
+            self.new.update(zip(missing, self.encode(missing)))
+        return self.new
 
 
 _KEPT: dict[Hashable, Pieces] = {}

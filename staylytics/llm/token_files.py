@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare_workers, raw_text
-from .pieces import kept_pieces, load_tokenizer
+from .common import CHUNK_BYTES, prepare_workers, raw_text
+from .pieces import TOGETHER, kept_pieces, load_tokenizer
 
 END_ID = 1
 #: Bytes of a row group and of a page, and rows in a page at most.
@@ -80,8 +81,40 @@ def id_bytes(path: str):
 
     if not cuts_at_blanks(model):
         return encode
-    kept = kept_pieces(path, encode)
-    return lambda texts: [b"".join(kept.values_of(t.split())) for t in texts]
+    added = {i: t for i, t in model.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip)}
+    mark, sign = next(iter(added.items()), (None, None))
+
+    def encode_words(words: list[bytes]) -> list[bytes]:
+        # words that hold no special token go in one text, with a special token between them
+        held = [str(t.content).encode() for t in added.values()]
+        plain = [w for w in words if not any(h in w for h in held)] if added else []
+        out = {}
+        for i in range(0, len(plain), TOGETHER):
+            some = plain[i:i + TOGETHER]
+            ids = np.array(model.encode_batch_fast([sign.content.join(w.decode() for w in some)], add_special_tokens=False)[0].ids, "<u4")
+            cut = [-1, *np.flatnonzero(ids == mark).tolist(), len(ids)]
+            body = ids.tobytes()
+            out.update(zip(some, (body[4 * a + 4:4 * b] for a, b in zip(cut[:-1], cut[1:]))))
+        rest = [w for w in words if w not in out]
+        out.update(zip(rest, encode(rest)))
+        return [out[w] for w in words]
+
+    kept = kept_pieces(path, encode_words)
+
+    def by_word(texts: list[bytes]) -> list[bytes]:
+        out, i = [], 0
+        while i < len(texts):  # about CHUNK_BYTES at a time
+            j, size = i, 0
+            while j < len(texts) and (j == i or size + len(texts[j]) <= CHUNK_BYTES):
+                size += len(texts[j])
+                j += 1
+            words = [t.split() for t in texts[i:j]]
+            known = kept.fill(chain.from_iterable(words))
+            out += [b"".join(map(known.__getitem__, w)) for w in words]
+            i = j
+        return out
+
+    return by_word
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -101,7 +101,7 @@ def test_report(spark, head, monkeypatch):
 
 
 def test_stretches_and_small_tables(monkeypatch):
-    monkeypatch.setattr(alignment, "STRETCH", 3)
+    monkeypatch.setattr(alignment, "STRETCH", 9)
     monkeypatch.setattr(pieces, "KEPT_PIECES", 4)
     texts = odd_texts()
     pair = alignment.Pair(A, B)
