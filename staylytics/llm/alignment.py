@@ -43,8 +43,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare_workers, written
-from .pieces import TOGETHER, kept_pieces, load_tokenizer
+from .common import chunks, prepare_workers, raw_text, written
+from .pieces import BYTE_LETTERS, TOGETHER, kept_pieces, load_tokenizer
 from .token_counts import can_split, load
 
 #: The most frequent id pairs, which are broadcast: 24 bytes each.
@@ -60,9 +60,8 @@ _ODD = re.compile("[%s]" % "".join(map(chr, [
 
 
 def byte_entries(model) -> list[bytes]:
-    """The bytes of each id of a byte-level tokenizer: printable bytes stand for themselves, the others from U+0100 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    of = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(shown)))}
+    """The bytes of each id of a byte-level tokenizer."""
+    of = {c: b for b, c in BYTE_LETTERS.items()}
     entries = {i: w for w, i in model.get_vocab(with_added_tokens=True).items()}
     added = set(model.get_added_tokens_decoder())
     return [entries.get(i, "").encode() if i in added else bytes(of[c] for c in entries.get(i, "")) for i in range(max(entries, default=-1) + 1)]
@@ -106,6 +105,8 @@ class Pair:
         # B puts a blank in front, but not of nothing: a piece is given with a line feed behind it, which is taken off again.
         # A piece that begins with a line feed has no blank, so that one is taken off too.
         rest = [p for p in pieces if p not in out]
+        if not rest:
+            return [out[p] for p in pieces]
         starts = [p[0] == " " for p in rest]
         out.update(zip(rest, self._alone(rest, [(p[1:] if s else p) + "\n" for p, s in zip(rest, starts)], [slice(0 if s else 1, -1) for s in starts])))
         return [out[p] for p in pieces]
@@ -144,6 +145,11 @@ class Pair:
             known = self.kept.fill(pieces)
             yield self._ids(list(map(known.__getitem__, pieces)))
 
+    def learn(self, texts: list[str | None]) -> None:
+        """Has the pieces of the texts encoded together; they are then known to ``stretches``."""
+        if self.cuts:
+            self.kept.fill(p for t in texts if t and len(t) < STRETCH and not _ODD.search(t) for p in _PIECES.findall(" " + t))
+
     @staticmethod
     def _ids(values):
         if None in values:
@@ -206,7 +212,7 @@ def align_text(pair: Pair, text: str | None):
         if ids is None:
             return _NO_TOKENS
         groups, link_a, link_b = align(*(np.cumsum(size[x]).tolist() for size, x in zip(pair.sizes, ids)))
-        name_a, name_b = ([names[x] for x in i.tolist()] for names, i in zip(pair.names, ids))
+        name_a, name_b = (list(map(names.__getitem__, i.tolist())) for names, i in zip(pair.names, ids))
         said = []
         for a0, a1, b0, b1 in groups:
             if b1:
@@ -244,7 +250,12 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, *, id_col: str = "doc_id"
         for batch in batches:
             if not batch.num_rows:
                 continue
-            got = list(zip(*(align_text(pair, t.as_py()) for t in batch.column(2))))
+            texts, got = batch.column(2), []
+            for i, j in chunks(raw_text(texts)[1]):
+                some = texts.slice(i, j - i).to_pylist()
+                pair.learn(some)
+                got += (align_text(pair, t) for t in some)
+            got = list(zip(*got))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(x, t) for x, t in zip(got, whole)), *map(lists, got[5:])], names=schema.names)
 
     return src.mapInArrow(run, schema)

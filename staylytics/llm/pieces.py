@@ -12,10 +12,15 @@ import os
 from collections.abc import Callable, Hashable, Iterable
 
 #: Pieces in a table of a worker, about, and the longest one (characters or bytes) that is kept for long.
-KEPT_PIECES, KEPT_LENGTH = 1 << 19, 64
+KEPT_PIECES, KEPT_LENGTH = 1 << 18, 64
 #: Pieces that the library is given at a time.
 TOGETHER = 512
 
+#: The letter that byte-level tokenizers write for a byte (given as the code point of that number): printable bytes stand for
+#: themselves, the others are the letters from U+0100 on.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = {b: chr(b) for b in _SHOWN} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
+
 _LOADED: dict[tuple[str, bool], object] = {}
 
 

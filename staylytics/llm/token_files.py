@@ -33,6 +33,7 @@ not read, whatever their names.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from itertools import chain
 
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import CHUNK_BYTES, prepare_workers, raw_text
-from .pieces import TOGETHER, kept_pieces, load_tokenizer
+from .pieces import BYTE_LETTERS, kept_pieces, load_tokenizer
 
 END_ID = 1
 #: Bytes of a row group and of a page, and rows in a page at most.
@@ -58,6 +59,12 @@ BLANK_RULES = {
     "post_processor": None,
 }
 
+#: Letters of Latin script that are one code point, stay so in NFC and have one lower-case letter.
+_LATIN = "\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017e"
+_PLAIN = re.compile(f"[!-~{_LATIN}]+")
+#: The pattern of BLANK_RULES for plain words in lower case.
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^a-z0-9{_LATIN}]+")
+
 TOKENS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("at", T.LongType()),
     T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -65,10 +72,15 @@ INDEX = "part int, start long, n_docs long, n_tokens long"
 
 
 def cuts_at_blanks(model) -> bool:
-    """Whether ASCII white space separates what the tokenizer encodes: BLANK_RULES, and added tokens without white space."""
+    """Whether ASCII white space separates what the tokenizer encodes: BLANK_RULES, and added tokens without white space, which begin with <|."""
     rules = json.loads(model.to_str())
     return all(rules[k] == v for k, v in BLANK_RULES.items()) and not any(
-        set(t["content"]) & set(" \t\n\v\f\r") or t["normalized"] or t["single_word"] for t in rules["added_tokens"])
+        set(t["content"]) & set(" \t\n\v\f\r") or not t["content"].startswith("<|") or t["normalized"] or t["single_word"] for t in rules["added_tokens"])
+
+
+def _byte_letters(part: str) -> str:
+    """A plain part with its bytes as the letters that stand for them."""
+    return part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_LETTERS)
 
 
 def id_bytes(path: str):
@@ -81,22 +93,21 @@ def id_bytes(path: str):
 
     if not cuts_at_blanks(model):
         return encode
-    added = {i: t for i, t in model.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip)}
-    mark, sign = next(iter(added.items()), (None, None))
+    bpe = model.model
+    parts = kept_pieces((path, "parts"), lambda some: [np.array([t.id for t in bpe.tokenize(_byte_letters(p))], "<u4").tobytes() for p in some])
 
     def encode_words(words: list[bytes]) -> list[bytes]:
-        # words that hold no special token go in one text, with a special token between them
-        held = [str(t.content).encode() for t in added.values()]
-        plain = [w for w in words if not any(h in w for h in held)] if added else []
-        out = {}
-        for i in range(0, len(plain), TOGETHER):
-            some = plain[i:i + TOGETHER]
-            ids = np.array(model.encode_batch_fast([sign.content.join(w.decode() for w in some)], add_special_tokens=False)[0].ids, "<u4")
-            cut = [-1, *np.flatnonzero(ids == mark).tolist(), len(ids)]
-            body = ids.tobytes()
-            out.update(zip(some, (body[4 * a + 4:4 * b] for a, b in zip(cut[:-1], cut[1:]))))
-        rest = [w for w in words if w not in out]
-        out.update(zip(rest, encode(rest)))
+        # plain words are cut as BLANK_RULES say, and their parts given to the library's merges; the library does the rest
+        shown = b" ".join(words).decode()
+        cut, rest = {}, []
+        for w, s, low in zip(words, shown.split(" "), shown.lower().split(" ")):
+            if _PLAIN.fullmatch(s) and "<|" not in s:
+                cut[w] = _PARTS.findall(low)
+            else:
+                rest.append(w)
+        known = parts.fill(chain.from_iterable(cut.values()))
+        out = {w: b"".join(map(known.__getitem__, p)) for w, p in cut.items()}
+        out.update(zip(rest, encode(rest) if rest else []))
         return [out[w] for w in words]
 
     kept = kept_pieces(path, encode_words)

@@ -12,7 +12,7 @@ from staylytics.llm import pieces, token_files
 from staylytics.llm.queries import tokenizer
 
 WORD = tokenizer("word_bpe_49k.json")
-LETTERS = [*" \n\t\x0b\x0c\r\x1c\x1f\x85\xa0aBcS'9.ßΣσς#é漢　 ́İ\x00\U0001F600ﬁ", "the ", "don't ", "ΑΣ", "<|endoftext|>", "<|startoftext|>", "<|endof", "  ", "'LL", "é", "x" * 70]
+LETTERS = [*" \n\t\x0b\x0c\r\x1c\x1f\x85\xa0aBcS'9.ßΣσς#é漢　 ́İ\x00\U0001F600ﬁ", "the ", "don't ", "ΑΣ", "<|endoftext|>", "<|startoftext|>", "<|endof", "  ", "'LL", "é", "x" * 70, "\xc9T\xc9", "\u0152uvre,", "\u0130", "\u0149\u0133", "\xd7", "Don'T'll", "'sup", "..'s"]
 
 
 def odd_texts():
