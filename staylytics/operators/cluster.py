@@ -1,17 +1,13 @@
-"""PCA and K-Means (C4-C11, C13, C14) with pyspark.ml over all rows.
+"""PCA (pyspark.ml) and K-Means (kmeans.py) over all rows.
 
-The feature frame is persisted while several models are fitted on it.
+The points are persisted while the models of a sweep are fitted together.
 Cluster ids are arbitrary in K-Means; every output renumbers clusters
 by ascending mean price so results are stable across seeds.
 """
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
 import numpy as np
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -20,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import round_half_away
 from ..session import cut_lineage
 from . import features as FT
+from . import kmeans as KM
 
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
@@ -80,55 +77,30 @@ def scaled_cluster_frame(dl: DataFrame, room_types: list[str] | None = None) ->
     return z, [c + "_z" for c in cols]
 
 
-#: Restarts of every K-Means fit; the fit of lowest cost counts.
-SEEDS = tuple(range(42, 52))
-
-
-def fit_kmeans(df: DataFrame, k: int, seeds=SEEDS, max_iter: int = 300, tol: float = 1e-4,
-               parallelism: int = 4, weight: str | None = None):
-    """Fit one model per seed; keep the lowest training cost (C7's restarts), first seed on ties.
-
-    ``weight`` names a column that says how many rows a row stands for.
-
-    The fits are independent Spark jobs over the same (persisted) frame and are
-    submitted from a small thread pool, as pyspark.ml.tuning does for its
-    ``parallelism`` parameter.
-    """
-    seeds = list(seeds)
-
-    def one(s):
-        km = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="cluster")
-        return (km.setWeightCol(weight) if weight else km).fit(df)
-
-    with ThreadPool(max(1, min(parallelism, len(seeds)))) as pool:
-        models = pool.map(one, seeds)
-    costs = [m.summary.trainingCost for m in models]
-    return models[min(range(len(models)), key=lambda i: (costs[i], i))]
-
-
-def kmeans_sweep(z: DataFrame, cols: list[str], ks=range(2, 11), seeds=SEEDS,
-                 parallelism: int = 4) -> list[tuple]:
-    """(k, inertia, silhouette) of the best of the restarts for each k; squared-Euclidean silhouette, all rows."""
-    a = assemble(z, cols).select("features").persist()
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
-                             distanceMeasure="squaredEuclidean")
+def kmeans_sweep(z: DataFrame, cols: list[str], ks=range(2, 11), seeds=KM.SEEDS) -> list[tuple]:
+    """(k, inertia, silhouette, centres) of the best of the restarts for each k; squared-Euclidean silhouette, all rows."""
+    pts = KM.points(z, cols).persist()
+    try:
+        models = KM.fit(pts, ks, seeds)
+        return [(m.k, m.cost, s, m.centers) for m, s in zip(models, KM.silhouettes(pts, models))] if models else []
+    finally:
+        pts.unpersist()
 
-    def one(k):
-        m = fit_kmeans(a, k, seeds)
-        return (int(k), float(m.summary.trainingCost), float(ev.evaluate(m.transform(a))))
 
+def fit_centers(df: DataFrame, cols: list[str], k: int, seeds=KM.SEEDS, weight: str | None = None) -> np.ndarray:
+    """Centres of the best of the restarts (C7). ``weight`` names a column that says how many rows a row stands for."""
+    pts = KM.points(df, cols, weight).persist()
     try:
-        with ThreadPool(max(1, min(parallelism, len(ks)))) as pool:
-            out = pool.map(one, list(ks))
+        models = KM.fit(pts, [k], seeds)
     finally:
-        a.unpersist()
-    return out
+        pts.unpersist()
+    return models[0].centers if models else np.zeros((1, len(cols)))
 
 
 def best_k(sweep: list[tuple]) -> int:
     """First k with the maximum silhouette."""
-    top = max(s for _, _, s in sweep)
-    return next(k for k, _, s in sweep if s == top)
+    top = max(row[2] for row in sweep)
+    return next(row[0] for row in sweep if row[2] == top)
 
 
 def price_order(pred: DataFrame, price_col: str = "price") -> list[int]:
@@ -149,25 +121,19 @@ def relabel_by_price(pred: DataFrame, price_col: str = "price") -> DataFrame:
 
 
 class FinalClusters:
-    def __init__(self, pred: DataFrame, model, order: list[int]):
-        self.pred, self.model, self.order = pred, model, order
+    def __init__(self, pred: DataFrame, raw: np.ndarray, order: list[int]):
+        self.pred, self.raw, self.order = pred, raw, order
 
     def centers(self) -> list[np.ndarray]:
         """Cluster centres indexed by the relabelled id."""
-        raw = self.model.clusterCenters()
-        return [np.asarray(raw[c]) for c in self.order]
+        return [self.raw[c] for c in self.order]
 
 
-def final_clusters(z: DataFrame, cols: list[str], k: int, seeds=SEEDS) -> FinalClusters:
-    """K-Means with 10 restarts on all rows (the frame is kept while the seeds run; the labelled rows are written)."""
-    a = assemble(z, cols).persist()
-    try:
-        m = fit_kmeans(a, k, seeds)
-        raw = cut_lineage(m.transform(a).drop("features"))
-    finally:
-        a.unpersist()
+def final_clusters(z: DataFrame, cols: list[str], centers: np.ndarray) -> FinalClusters:
+    """All rows labelled by the centres of the chosen fit; the labelled rows are written."""
+    raw = cut_lineage(KM.assign(z, cols, centers))
     order = price_order(raw)
-    return FinalClusters(relabel(raw, order), m, order)
+    return FinalClusters(relabel(raw, order), centers, order)
 
 
 def silhouette_rows(pred: DataFrame, cols: list[str]) -> DataFrame:

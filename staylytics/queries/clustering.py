@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cluster as CL
 from ..operators import features as FT
+from ..operators import kmeans as KM
 from ..oracle import oracle, r
 from ..registry import Ctx, query
 from ..session import cut_lineage
@@ -116,14 +117,16 @@ def q_kmeans_sweep(c: Ctx):
     """Inertia and silhouette for K = 2..10; best K flagged (first maximum)."""
     sw = _sweep(c)
     bk = CL.best_k(sw)
-    return c.spark.createDataFrame([(k, i, s, k == bk) for k, i, s in sw],
+    return c.spark.createDataFrame([(k, i, s, k == bk) for k, i, s, _ in sw],
                                    "k int, inertia double, silhouette_sq_euclidean double, is_best boolean")
 
 
 def _final(c: Ctx):
     def fit():
         z, cols = _scaled(c)
-        return CL.final_clusters(z, cols, CL.best_k(_sweep(c))), cols
+        sw = _sweep(c)
+        bk = CL.best_k(sw)
+        return CL.final_clusters(z, cols, next(row[3] for row in sw if row[0] == bk)), cols
     return c.once("final", fit)
 
 
@@ -177,11 +180,8 @@ def _neighbourhood_clusters(c: Ctx):
         dn = c["dim_neighbourhoods"].select(
             "neighbourhood", *[F.coalesce(F.col(x).cast("double"), F.lit(0.0)).alias(x) for x in cols])
         z = FT.standardise(dn, cols, suffix="_z")
-        a = CL.assemble(z, [x + "_z" for x in cols]).persist()
-        try:
-            raw = cut_lineage(CL.fit_kmeans(a, 3, tuple(range(42, 62))).transform(a).drop("features"))
-        finally:
-            a.unpersist()
+        zs = [x + "_z" for x in cols]
+        raw = cut_lineage(KM.assign(z, zs, CL.fit_centers(z, zs, 3, tuple(range(42, 62)))))
         return CL.relabel_by_price(raw, "avg_price_usd")
     return c.once("neighbourhood_clusters", fit)
 
@@ -215,12 +215,9 @@ def q_room_type_clusters(c: Ctx):
     share = types.select("room_type", (F.col("n") / total).alias("share")).collect()  # a row for each room type
     sd = {FT.dummy_name(r["room_type"], "is"): (r["share"], float(np.sqrt(r["share"] * (1 - r["share"])))) for r in share if r["room_type"] is not None}
     z = oh.select("room_type", "n", *[((F.col(x) - sd[x][0]) / sd[x][1] if sd[x][1] else F.lit(0.0)).alias(x + "_z") for x in names])
-    a = CL.assemble(z, [n + "_z" for n in names]).persist()
-    try:
-        k = min(CL.best_k(_sweep(c)), a.count())
-        pred = cut_lineage(CL.fit_kmeans(a, k, weight="n").transform(a).select("room_type", "cluster"))
-    finally:
-        a.unpersist()
+    zs = [n + "_z" for n in names]
+    k = min(CL.best_k(_sweep(c)), len(share))
+    pred = cut_lineage(KM.assign(z, zs, CL.fit_centers(z, zs, k, weight="n")).select("room_type", "cluster"))
     first = pred.groupBy("cluster").agg(F.min("room_type").alias("first")).orderBy(F.asc_nulls_last("first")).collect()
     of = CL.relabel(pred, [r["cluster"] for r in first])
     return d.join(of, d["room_type"].eqNullSafe(of["room_type"]), "left").select("listing_id", "latitude", "longitude", d["room_type"], "cluster")
