@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from staylytics.functions import dist
 from staylytics.functions.columns import capped, currency_to_double, round_half_away, safe_corr, weekend_flag
 from staylytics.operators import anova as A
-from staylytics.operators.quantiles import exact_quantiles, exact_quantiles_multi, group_quantiles, value_ranks
+from staylytics.operators.quantiles import code, exact_quantiles, exact_quantiles_multi, group_quantiles, value_ranks
 from staylytics.plans import marts
 
 
@@ -40,10 +40,28 @@ def test_exact_quantiles_match_numpy_and_partitioning(spark):
 
 def test_value_ranks_prefix(spark):
     df = spark.createDataFrame([(v,) for v in [3.0, 1.0, 1.0, 2.0, 3.0, 3.0]], "x double")
-    r = {row["value"]: (row["cnt"], row["cum_before"]) for row in value_ranks(df, "x", buckets=3).collect()}
+    r = {row["value"]: (row["cnt"], row["cum_before"]) for row in value_ranks(df, "x").collect()}
     assert r == {1.0: (2, 0), 2.0: (1, 2), 3.0: (3, 3)}
 
 
+def test_code_has_the_order_and_bits_of_doubles(spark):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.integers(0, 1 << 64, 4000, dtype=np.uint64).view(np.float64), 2.0 ** np.arange(-1074, 1024), 2.0 ** np.arange(-1022, 1024) * (1 - 2 ** -53),
+                        [0.0, -0.0, np.inf, -np.inf, 5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, 1 / 3, np.nan]])
+    got = {r["i"]: r["c"] for r in spark.createDataFrame(list(enumerate(x.tolist())), "i int, x double").select("i", code(F.col("x")).alias("c")).collect()}
+    for i, v in enumerate(x):
+        bits = int(np.array(abs(v)).view(np.int64))
+        assert got[i] == (None if np.isnan(v) else -bits if v < 0 else bits), v
+
+
+def test_value_ranks_of_many_values(spark):
+    df = spark.range(200_000).select(((F.col("id") * 7919) % 50_021 / 7.0 - 3000).alias("x"))
+    got = value_ranks(df, "x").orderBy("value").collect()
+    x, n = np.unique(((np.arange(200_000) * 7919) % 50_021) / 7.0 - 3000, return_counts=True)
+    assert [r["value"] for r in got] == x.tolist() and [r["cnt"] for r in got] == n.tolist()
+    assert [r["cum_before"] for r in got] == (np.cumsum(n) - n).tolist()
+
+
 def test_column_helpers(spark):
     df = spark.createDataFrame(
         [("$1,200.00", 2.5, 1.0, 5.0, dt.date(2024, 12, 7)), ("abc", -2.5, 1.0, 7.0, dt.date(2024, 12, 9)),
@@ -67,7 +85,7 @@ def test_exact_quantiles_multi(spark):
     rows = [(float(x), float(y) if i % 5 else None) for i, (x, y) in enumerate(zip(a, b))]
     df = spark.createDataFrame(rows, "a double, b double")
     probs = [0.01, 0.5, 0.99]
-    got = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles_multi(df, ["a", "b"], probs, 4).collect()}
+    got = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles_multi(df, ["a", "b"], probs).collect()}
     bb = np.array([y for _, y in rows if y is not None])
     for p in probs:
         assert got[("a", p)] == pytest.approx(float(np.percentile(a, p * 100)), abs=1e-9)
@@ -83,15 +101,18 @@ def test_group_quantiles_exact_beyond_sketch_size(spark):
     rows = {r["g"]: r for r in got.collect()}
     want = df.groupBy("g").agg(*[F.expr(f"percentile_disc({p}) within group (order by v)").alias(n) for n, p in names.items()]).collect()
     assert {r["g"]: [r[n] for n in names] for r in want} == {g: [r[n] for n in names] for g, r in rows.items()}
-    one = group_quantiles(df, [], "v", {"m": 0.5}, buckets=7).first()["m"]
+    one = group_quantiles(df, [], "v", {"m": 0.5}).first()["m"]
     assert one == df.select(F.expr("percentile_disc(0.5) within group (order by v)")).first()[0]
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan and "percentile_approx" not in plan
+    assert "ReusedExchange" in plan  # the counted values are shuffled once
 
 
 def test_group_quantiles_of_nothing(spark):
     df = spark.createDataFrame([("a", None), ("b", float("nan")), ("c", 2.0)], "g string, v double")
     assert [tuple(r) for r in group_quantiles(df, ["g"], "v", {"m": 0.5}).collect()] == [("c", 2.0)]
+    far = spark.createDataFrame([(float("inf"),), (float("-inf"),), (-0.0,), (0.0,), (5e-324,)], "v double")
+    assert tuple(group_quantiles(far, [], "v", {"a": 0.0, "m": 0.5, "z": 1.0}).first()) == (float("-inf"), 0.0, float("inf"))
     assert group_quantiles(df.limit(0), [], "v", {"m": 0.5}).count() == 0
 
 
