@@ -40,9 +40,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from staylytics.session import cut_lineage
-
 from .common import chunks, fresh, map_texts, prepare_workers, raw_text
+from .common import written as _written
 from .probminhash import BANDS, SLOTS, bands_and_bits, fingerprint, probability_jaccard, shingles, signatures
 
 SIMILARITY = 0.8
@@ -116,29 +115,38 @@ def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return p.mapInArrow(run, "a long, b long, similarity double")
 
 
+def written(df: DataFrame) -> DataFrame:
+    """A written table has a known size, so Spark sends a small one to all tasks instead of shuffling both sides of a join by it."""
+    return _written(df, "near")
+
+
 def _roots(parent: DataFrame) -> DataFrame:
     """(node, comp): the root above every node, from a forest of (node, comp) with comp < node."""
     top = parent.select(F.col("comp").alias("node")).distinct().join(parent, "node", "left_anti")
-    label = cut_lineage(parent.select("node", "comp").unionByName(top.select("node", F.col("node").alias("comp"))))
+    label = written(parent.select("node", "comp").unionByName(top.select("node", F.col("node").alias("comp"))))
     while True:
-        above = label.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
-        jump = cut_lineage(label.join(above, "comp").select("node", F.col("next").alias("comp"), (F.col("next") < F.col("comp")).alias("moved")))
-        label = jump.drop("moved")
-        if not jump.agg(F.max("moved")).first()[0]:
-            return label
+        at = F.col
+        above = label.select(at("node").alias("comp"), at("comp").alias("next"))
+        over = label.select(at("node").alias("next"), at("comp").alias("last"))
+        # the label of the label, and its label
+        jump = label.join(above, "comp").join(over, "next").select("node", at("last").alias("comp"), (at("last") < at("comp")).alias("moved"))
+        label = written(jump)
+        if not label.agg(F.max("moved")).first()[0]:
+            return label.drop("moved")
+        label = label.drop("moved")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of the edges (a, b): comp is the least node that can be reached."""
     both = edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct()
-    both = cut_lineage(both)
-    label = cut_lineage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "node"))
+    both = written(both)
+    label = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "node"))
     while True:
         # the label of the label, then the least label of the neighbours
         jump = label.join(label.select(F.col("node").alias("comp"), F.col("comp").alias("next")), "comp").select("node", "comp", "next")
         near = both.join(label.select(F.col("node").alias("b"), F.col("comp").alias("c")), "b").groupBy("a").agg(F.min("c").alias("c"))
         least = F.least("next", "c")
-        label = cut_lineage(jump.join(near, F.col("node") == F.col("a")).select("node", least.alias("comp"), (least < F.col("comp")).alias("moved")))
+        label = written(jump.join(near, F.col("node") == F.col("a")).select("node", least.alias("comp"), (least < F.col("comp")).alias("moved")))
         if not label.agg(F.max("moved")).first()[0]:
             return label.drop("moved")
         label = label.drop("moved")
@@ -285,19 +293,19 @@ def _relabel(frame: DataFrame, comps: DataFrame, of: str) -> DataFrame:
 
 def link_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, text_hash, class_id (least id of the class), class_hash (its text) and class_size of every row."""
-    signed = cut_lineage(sign(docs, id_col, text_col))
-    written = signed.where(F.size("bands") > 0)
-    nodes = written.groupBy("f1", "f2").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("rep"),
+    signed = written(sign(docs, id_col, text_col))
+    full = signed.where(F.size("bands") > 0)
+    nodes = full.groupBy("f1", "f2").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("rep"),
                                             F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
-    nodes = cut_lineage(nodes.select(F.monotonically_increasing_id().alias("node"), "f1", "f2", F.col("rep.doc_id").alias("rep_id"),
+    nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "f1", "f2", F.col("rep.doc_id").alias("rep_id"),
                                      F.col("rep.text_hash").alias("rep_hash"), "copies", "bands", "bits"))
     comp = _linked(nodes, docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), similarity)
     known = nodes.select("node", "f1", "f2", "rep_id", "rep_hash", "copies", F.col("node").alias("comp"))
     known = _relabel(known, comp, "comp")
     classes = known.groupBy("comp").agg(F.min(F.struct(F.col("rep_id").isNull(), "rep_id", "rep_hash")).alias("rep"), F.sum("copies").alias("class_size"))
-    of = known.select("f1", "f2", "comp").join(cut_lineage(classes), "comp")
-    of = cut_lineage(of.select("f1", "f2", F.col("rep.rep_id").alias("class_id"), F.col("rep.rep_hash").alias("class_hash"), "class_size"))
-    member = written.select("doc_id", "text_hash", "f1", "f2").join(of, ["f1", "f2"]).drop("f1", "f2")
+    of = known.select("f1", "f2", "comp").join(written(classes), "comp")
+    of = written(of.select("f1", "f2", F.col("rep.rep_id").alias("class_id"), F.col("rep.rep_hash").alias("class_hash"), "class_size"))
+    member = full.select("doc_id", "text_hash", "f1", "f2").join(of, ["f1", "f2"]).drop("f1", "f2")
     alone = signed.where(F.size("bands") == 0).select("doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.col("text_hash").alias("class_hash"),
                                                       F.lit(1).cast("long").alias("class_size"))
     return member.unionByName(alone)
@@ -312,13 +320,13 @@ def _linked(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """(node, comp) of nodes that are linked with another one."""
     enough = least_agreement(similarity)
     band = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
-    lead = cut_lineage(band.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
-    members = cut_lineage(band.join(lead, "bucket").select("bucket", "band", "node", "leader"))
-    data = cut_lineage(nodes.join(members.select("node").distinct(), "node", "left_semi").select(
+    lead = written(band.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    members = written(band.join(lead, "bucket").select("bucket", "band", "node", "leader"))
+    data = written(nodes.join(members.select("node").distinct(), "node", "left_semi").select(
         "node", "bits", F.transform("bands", lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("prints"), "rep_id", "rep_hash"))
     t = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     # rows equal in id and text hash are copies: one of them is enough
-    texts = cut_lineage(data.select("node", "rep_id", "rep_hash").join(t, F.col("rep_id").eqNullSafe(F.col("doc_id")) & (
+    texts = written(data.select("node", "rep_id", "rep_hash").join(t, F.col("rep_id").eqNullSafe(F.col("doc_id")) & (
         F.col("rep_hash") == F.col("text_hash"))).groupBy("node").agg(F.min("text").alias("text")))
     data = data.select("node", "bits", "prints")
 
@@ -328,7 +336,7 @@ def _linked(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     judged = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", _agreement("bits_a", "bits_b").alias("same")).where(F.col("same") >= enough)
     best = judged.groupBy("b").agg(F.max_by("a", F.struct("same", -F.col("a"))).alias("a")).select("a", "b")
     # each node has one link to a lesser node here: a forest
-    comp = _roots(cut_lineage(_verify(best, texts, similarity).select(F.col("b").alias("node"), F.col("a").alias("comp"))))
+    comp = _roots(written(_verify(best, texts, similarity).select(F.col("b").alias("node"), F.col("a").alias("comp"))))
 
     # buckets of more than one part
     members = members.select("bucket", "band", "node", F.col("node").alias("comp"), F.lit(False).alias("tried"))
@@ -339,23 +347,23 @@ def _linked(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
         open_ = parts.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"), F.sum("untried").alias("untried"),
                                             F.max_by("untried", F.struct("n", "comp")).alias("in_main"))
         open_ = open_.select("bucket", "n", F.col("main.comp").alias("main"), (F.col("untried") - F.col("in_main")).alias("rest"))
-        open_ = cut_lineage(open_.where("rest > 0"))
+        open_ = written(open_.where("rest > 0"))
         if not open_.count():
             return comp
         # about ``leaders`` of the nodes outside the main part, by hash; all of them if there are no more
         draw = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 30)) * F.col("rest") < F.lit(leaders << 30)
         chosen = ~F.col("tried") & (F.col("comp") != F.col("main")) & ((F.col("rest") <= leaders) | draw)
-        members = cut_lineage(members.join(open_, "bucket").select("bucket", "band", "node", "comp", "tried", "n", "rest", chosen.alias("chosen")))
+        members = written(members.join(open_, "bucket").select("bucket", "band", "node", "comp", "tried", "n", "rest", chosen.alias("chosen")))
         tiles = _tiles(members, leaders).join(data, "node").select(*_TILE, "bits", "prints")
         full = _by_tile(tiles, _narrow(enough), _TILE_TYPES).join(data, "node").join(texts, "node").select(*_TILE, "bits", "prints", "text")
-        links = cut_lineage(_by_tile(full, _link(enough, similarity), "a long, b long"))
+        links = written(_by_tile(full, _link(enough, similarity), "a long, b long"))
         members = members.select("bucket", "band", "node", "comp", (F.col("tried") | F.col("chosen")).alias("tried"))
         if links.count():
-            joined = components(cut_lineage(_relabel(_relabel(links, comp, "a"), comp, "b")))
+            joined = components(written(_relabel(_relabel(links, comp, "a"), comp, "b")))
             every = comp.select("node").union(joined.select("node")).union(links.select("a")).union(links.select("b")).distinct()
-            comp = cut_lineage(_relabel(_relabel(every.select("node", F.col("node").alias("comp")), comp, "comp"), joined, "comp"))
+            comp = written(_relabel(_relabel(every.select("node", F.col("node").alias("comp")), comp, "comp"), joined, "comp"))
             members = _relabel(members, joined, "comp")
-        members = cut_lineage(members)
+        members = written(members)
         leaders *= MORE_LEADERS
 
 
@@ -368,7 +376,7 @@ def report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each class (the least id), with all its columns; of rows equal in id and text one stays."""
     kept = link_classes(docs, id_col=id_col, text_col=text_col).where(is_kept())
-    kept = cut_lineage(kept.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")))
+    kept = written(kept.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")))
     h = fresh(docs.columns, "text_hash")
     d, k = docs.withColumn(h, F.xxhash64(text_col)).alias("d"), kept.alias("k")
     rows = d.join(k, F.col(f"d.`{id_col}`").eqNullSafe(F.col("k.doc_id")) & (F.col(f"d.{h}") == F.col("k.text_hash")), "left_semi")
