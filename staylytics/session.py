@@ -27,6 +27,12 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # no page shows what is over: a long session does not keep it on the driver
+        .config("spark.ui.retainedJobs", "50")
+        .config("spark.ui.retainedStages", "100")
+        .config("spark.ui.retainedTasks", "2000")
+        .config("spark.sql.ui.retainedExecutions", "20")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

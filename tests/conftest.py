@@ -1,3 +1,4 @@
+import gc
 import os
 import sys
 
@@ -21,3 +22,12 @@ def spark():
 
     drop_contexts(s)
     s.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def tidy(spark):
+    """What a module has kept goes before the next one begins: caches, and what the driver's Python holds of finished frames."""
+    yield
+    spark.catalog.clearCache()
+    gc.collect()
+    spark._jvm.System.gc()
