@@ -42,7 +42,7 @@ GRAMS = (3, 4)
 STEPS, BATCH, RATE = 1000, 32, 0.5
 GOOD = 0.7
 
-#: Bucket of the pair of a word with itself, one feature for whatever word it is.
+#: Bucket of a word that follows itself, one feature for whatever word it is; the pair has its own bucket besides.
 ECHO = 1
 _BITS = np.uint64(64 - (BUCKETS.bit_length() - 1))
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -57,9 +57,10 @@ def features(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
             yield i, j, np.zeros(0, np.int64), np.zeros(0, np.int64)
             continue
         words = word_hashes(low, starts, ends)
-        same = np.flatnonzero((words[1:] == words[:-1]) & (word_of[1:] == word_of[:-1]))
-        of = [word_of, word_of[same]]
-        bucket = [(mix(words) >> _BITS).astype(np.int64), np.full(len(same), ECHO)]
+        pair = np.flatnonzero(word_of[1:] == word_of[:-1])
+        same = pair[words[pair] == words[pair + 1]]
+        of = [word_of, word_of[pair], word_of[same]]
+        bucket = [(mix(words) >> _BITS).astype(np.int64), (mix(words[pair] * _FACTORS[1] + words[pair + 1]) >> _BITS).astype(np.int64), np.full(len(same), ECHO)]
         # the characters of the words, a mark (0) in front of each word and behind the last
         size = ends - starts
         first = np.cumsum(size) - size
@@ -133,8 +134,9 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     known = labels.select(F.col(label_id_col).alias("label_id"), F.col(label_col).alias("label")).where("label in (0, 1) and label_id is not null")
     some = known.where(~held_out(F.col("label_id"))).orderBy(F.xxhash64("label_id"), "label_id", "label").limit(max_docs)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    # at most max_docs ids and labels
-    rows = texts.join(F.broadcast(some), F.col("doc_id") == F.col("label_id")).select("label_id", "text", F.col("label").cast("int").alias("label"))
+    # at most max_docs ids and labels, and one text for each: of several rows of an id the one with the least hash
+    rows = texts.join(F.broadcast(some.distinct()), F.col("doc_id") == F.col("label_id"))
+    rows = rows.groupBy("label_id", F.col("label").cast("int").alias("label")).agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("label_id", "text", "label")
 
     def run(batches):
         for batch in batches:
