@@ -69,21 +69,26 @@ def tokens(url: Column) -> Column:
                                      part(query, "&", "key:")))
 
 
-def _frequent(labelled: DataFrame, least: float) -> list[str]:
-    """Tokens in ``least`` or more labelled urls, one of those that occur in the same urls."""
+def _frequent(labelled: DataFrame, least: float) -> dict[str, str]:
+    """Tokens in ``least`` or more labelled urls, each with the least one of those that occur in the same urls."""
     each = labelled.select(F.xxhash64("url").alias("u"), F.explode("tokens").alias("token"))
     # the sum of the urls' hashes tells tokens of different urls apart
     count = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("u").cast("decimal(38,0)")).alias("s"))
-    rows = count.where(F.col("n") >= least).groupBy("n", "s").agg(F.min("token").alias("token")).collect()
-    return sorted(r["token"] for r in rows)
+    rows = count.where(F.col("n") >= least).groupBy("n", "s").agg(F.collect_list("token").alias("tokens")).collect()
+    return {t: min(r["tokens"]) for r in rows for t in r["tokens"]}
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame | None:
-    """Rules (rule_id, parts, verdict, confidence, support) from rows with ``url``, ``tokens`` and ``verdict``."""
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> tuple[DataFrame | None, dict[str, str]]:
+    """Rules (rule_id, parts, verdict, confidence, support) from rows with ``url``, ``tokens`` and ``verdict``, and the alike tokens.
+
+    Tokens that occur in the same labelled urls make the same rules, so
+    one of them is mined; each of them stands for it when rules are matched.
+    """
     n = labelled.count()
-    known = _frequent(labelled, min_support * n) if n else []
+    alike = _frequent(labelled, min_support * n) if n else {}
+    known = sorted(set(alike.values()))
     if not known:
-        return None
+        return None, {}
     items = F.concat(F.array_intersect("tokens", F.array(*map(F.lit, known))), F.array(F.concat(F.lit("="), F.col("verdict"))))
     sets = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(labelled.select(items.alias("items"))).freqItemsets
     sets = cut_lineage(sets)
@@ -100,14 +105,16 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     idle = smaller.join(rules.select("parts", "verdict", "confidence"), ["parts", "verdict"]).where(
         F.col("confidence") >= F.col("mine")).select(F.col("longer").alias("parts"), "verdict").distinct()
     left = rules.join(idle, ["parts", "verdict"], "left_anti")
-    return cut_lineage(left.select(F.array_join("parts", " ").alias("rule_id"), "parts", "verdict", "confidence", "support"))
+    return cut_lineage(left.select(F.array_join("parts", " ").alias("rule_id"), "parts", "verdict", "confidence", "support")), alike
 
 
-def match(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """The verdict of the best rule whose tokens are all in the set: columns ``set`` and ``mined``."""
-    index = rules.select("rule_id", "verdict", "confidence", "support", F.size("parts").alias("n"), F.explode("parts").alias("token"))
+def match(sets: DataFrame, rules: DataFrame, alike: dict[str, str]) -> DataFrame:
+    """The verdict of the best rule whose tokens, or tokens alike, are all in the set: columns ``set`` and ``mined``."""
+    index = rules.select("rule_id", "verdict", "confidence", "support", F.size("parts").alias("n"), F.explode("parts").alias("part"))
+    same = sets.sparkSession.createDataFrame(sorted(alike.items()), "token string, part string")
+    index = index.join(same, "part")
     hits = sets.select("set", F.explode("set").alias("token")).join(index, "token")
-    full = hits.groupBy("set", "rule_id", "n", "verdict", "confidence", "support").count().where(F.col("count") == F.col("n"))
+    full = hits.groupBy("set", "rule_id", "n", "verdict", "confidence", "support").agg(F.size(F.collect_set("part")).alias("found")).where("found = n")
     best = F.max(F.struct("confidence", "support", "verdict", "rule_id"))
     return full.groupBy("set").agg(best.alias("best")).select("set", F.col("best.verdict").alias("mined"), F.col("best.rule_id").alias("mined_rule"))
 
@@ -119,14 +126,15 @@ def judge(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", ru
     p = pages.select(F.col(id_col).alias("page_id"), url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"),
                      tokens(url).alias("tokens"))
     p = p.withColumn("given", given_rule(F.col("host"), F.col("path"), rules))
-    mined = mine(p.where("given is not null").select("url", "tokens", F.col("given.verdict").alias("verdict")), min_support, min_confidence)
+    mined, alike = mine(p.where("given is not null").select("url", "tokens", F.col("given.verdict").alias("verdict")), min_support, min_confidence)
     out = ["page_id", "host", "path", F.col("given.rule").alias("rule")]
-    used = [] if mined is None else sorted({t for r in mined.select("parts").collect() for t in r["parts"]})  # frequent tokens
+    parts = set() if mined is None else {t for r in mined.select("parts").collect() for t in r["parts"]}
+    used = sorted(t for t, part in alike.items() if part in parts)  # frequent tokens
     if not used:
         return p.select(*out, F.coalesce("given.verdict", F.lit(DEFAULT)).alias("verdict"), F.lit(None).cast("string").alias("mined_rule"))
     p = p.withColumn("set", F.when(F.col("given").isNull(), F.array_sort(F.array_intersect("tokens", F.array(*map(F.lit, used))))))
     p = p.drop("tokens", "url")
-    got = cut_lineage(match(p.where("set is not null").select("set").distinct(), mined))
+    got = cut_lineage(match(p.where("set is not null").select("set").distinct(), mined, alike))
     if got.count() <= MAX_SENT:  # else a plain join, whose hot sets Spark splits
         got = F.broadcast(got)
     return p.join(got, "set", "left").select(*out, F.coalesce("given.verdict", "mined", F.lit(DEFAULT)).alias("verdict"), "mined_rule")

@@ -37,11 +37,7 @@ def mined_rules(labelled, min_support, min_confidence):
     for i, (tokens, _) in enumerate(labelled):
         for t in tokens:
             where[t].append(i)
-    same = {}
-    for t, rows in sorted(where.items()):
-        if len(rows) >= min_support * n:
-            same.setdefault(tuple(rows), t)
-    known = set(same.values())
+    known = {t for t, rows in where.items() if len(rows) >= min_support * n}
     count, by = Counter(), Counter()
     for tokens, verdict in labelled:
         items = sorted(set(tokens) & known)

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+from collections import Counter
 
 import brute
 import pyarrow as pa
@@ -118,6 +119,10 @@ def test_url_rules(spark):
         assert (o["host"], o["path"], o["rule"]) == (host, path, rule)
         assert o["verdict"] == (verdict or (mined[2] if mined else "allow")), p
     assert any(o["mined_rule"] for o in out.values())
+    # of tokens in the same labelled urls each one makes the rule fire
+    alike = [(i, f"http://a{i}.com/de/aaa/spam/{i}") for i in range(100)] + [(200, "http://q.net/spam/zz"), (201, "http://q.net/aaa/zz"), (202, "http://q.net/zz")]
+    alike = {r["page_id"]: r["verdict"] for r in url_rules.judge(spark.createDataFrame(alike, "page_id int, url string")).collect()}
+    assert (alike[200], alike[201], alike[202]) == ("block", "block", "allow")
     assert url_rules.judge(pages.limit(0)).count() == 0
     assert {r["verdict"] for r in url_rules.judge(pages.where("url is null or url = ''")).collect()} == {"allow"}
 
@@ -310,10 +315,20 @@ def test_classifier_features():
     for i, j, of, bucket in classifier.features(pa.array(texts)):
         for d, t in enumerate(texts[i:j]):
             w = brute.split(t)
-            assert (of == d).sum() == len(w) + sum(a == b for a, b in zip(w, w[1:])) + len(brute.char_grams(t))
+            assert (of == d).sum() == len(w) + max(0, len(w) - 1) + sum(a == b for a, b in zip(w, w[1:])) + len(brute.char_grams(t))
         # equal words and n-grams share a bucket wherever they stand
         alone = lambda t: sorted(next(classifier.features(pa.array([t])))[3].tolist())
-        assert sorted(bucket[of == 0].tolist()) == sorted(alone("go") * 2 + alone("é") + alone("a\U0001F600") + alone("abcd") + [classifier.ECHO])
+        words = brute.split(texts[0])
+        pairs = sum((Counter(alone(f"{a} {b}")) - Counter(alone(a) + alone(b)) for a, b in zip(words, words[1:])), Counter())
+        assert Counter(bucket[of == 0].tolist()) == Counter(sum((alone(w) for w in words), [])) + pairs
+        assert pairs.total() == 5 and len(pairs) == 5 and pairs[classifier.ECHO] == 1
+
+
+def test_classifier_fit_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(classifier, "fit", lambda ids, counts, labels, seed=1: len(labels))
+    docs = spark.range(20_000).select(F.lit(4).alias("doc_id"), F.concat(F.lit("some text "), F.col("id").cast("string")).alias("text"))
+    labels = spark.createDataFrame([(4, 1), (4, 1), (4, 0)], "doc_id long, quality int")
+    assert not brute.held_out(4) and classifier.train(docs, labels) == 2  # an id and its two labels
 
 
 def test_classifier_held_out_accuracy(spark):
