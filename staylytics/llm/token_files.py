@@ -20,9 +20,9 @@ once. Rows with equal ids are ordered by text hash and then by their place
 in the input, and range partitions may cut between them, so one id with a third
 of all rows is spread over many files. What passes through the driver is one row for each file.
 
-Word pieces (runs without ASCII white space) are encoded one by one and
-kept by the worker where the tokenizer's rules are those of
-``cuts_at_blanks``; with other rules whole texts go to the library.
+Where the tokenizer's rules are those of ``cuts_at_blanks``, texts are cut
+into parts as these say and the ids of a part, from the library, are kept by the worker;
+with other rules whole texts go to the library.
 
 Defined cases: a null or empty text has the end id only; null ids come
 first; rows with equal ids are written one by one; an empty table is written as files
@@ -35,6 +35,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -43,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import CHUNK_BYTES, prepare_workers, raw_text
+from .common import CHUNK_BYTES, prepare_workers
 from .pieces import BYTE_LETTERS, kept_pieces, load_tokenizer
 
 END_ID = 1
@@ -61,9 +62,11 @@ BLANK_RULES = {
 
 #: Letters of Latin script that are one code point, stay so in NFC and have one lower-case letter.
 _LATIN = "\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017e"
-_PLAIN = re.compile(f"[!-~{_LATIN}]+")
-#: The pattern of BLANK_RULES for plain words in lower case.
-_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^a-z0-9{_LATIN}]+")
+#: What is not such a letter, printable ASCII or ASCII white space; and what may be a special token.
+_ODD = re.compile(f"[^\t-\r -~{_LATIN}]|<\\|")
+#: The pattern of BLANK_RULES for texts in lower case without any of that.
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[!-/:-@\\[-`{{-~]+")
+_WORDS = re.compile("[^\t-\r ]+")
 
 TOKENS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("at", T.LongType()),
@@ -84,48 +87,44 @@ def _byte_letters(part: str) -> str:
 
 
 def id_bytes(path: str):
-    """A function from a list of UTF-8 texts to the ids of each, as little-endian 32-bit bytes."""
+    """A function from a list of texts to the ids of each, as little-endian 32-bit bytes."""
     model = load_tokenizer(path)
 
-    def encode(texts: list[bytes]) -> list[bytes]:
-        got = model.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+    def encode(texts: list[str]) -> list[bytes]:
+        got = model.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
     if not cuts_at_blanks(model):
         return encode
     bpe = model.model
-    parts = kept_pieces((path, "parts"), lambda some: [np.array([t.id for t in bpe.tokenize(_byte_letters(p))], "<u4").tobytes() for p in some])
-
-    def encode_words(words: list[bytes]) -> list[bytes]:
-        # plain words are cut as BLANK_RULES say, and their parts given to the library's merges; the library does the rest
-        shown = b" ".join(words).decode()
-        cut, rest = {}, []
-        for w, s, low in zip(words, shown.split(" "), shown.lower().split(" ")):
-            if _PLAIN.fullmatch(s) and "<|" not in s:
-                cut[w] = _PARTS.findall(low)
-            else:
-                rest.append(w)
-        known = parts.fill(chain.from_iterable(cut.values()))
-        out = {w: b"".join(map(known.__getitem__, p)) for w, p in cut.items()}
-        out.update(zip(rest, encode(rest) if rest else []))
-        return [out[w] for w in words]
-
-    kept = kept_pieces(path, encode_words)
-
-    def by_word(texts: list[bytes]) -> list[bytes]:
+
+    def encode_keys(keys: list[str]) -> list[bytes]:
+        # parts as BLANK_RULES cut them are given to the library's merges; other words are the library's from the start
+        odd = [k for k in keys if _ODD.search(k)]
+        known = dict(zip(odd, encode(odd)))
+        return [known[k] if k in known else array("I", [t.id for t in bpe.tokenize(_byte_letters(k))]).tobytes() for k in keys]
+
+    kept = kept_pieces(path, encode_keys)
+
+    def keys_of(text: str) -> list[str]:
+        if not _ODD.search(text):
+            return _PARTS.findall(text.lower())
+        return [k for w in _WORDS.findall(text) for k in ([w] if _ODD.search(w) else _PARTS.findall(w.lower()))]
+
+    def by_part(texts: list[str]) -> list[bytes]:
         out, i = [], 0
         while i < len(texts):  # about CHUNK_BYTES at a time
             j, size = i, 0
             while j < len(texts) and (j == i or size + len(texts[j]) <= CHUNK_BYTES):
                 size += len(texts[j])
                 j += 1
-            words = [t.split() for t in texts[i:j]]
-            known = kept.fill(chain.from_iterable(words))
-            out += [b"".join(map(known.__getitem__, w)) for w in words]
+            keys = list(map(keys_of, texts[i:j]))
+            known = kept.fill(chain.from_iterable(keys))
+            out += [b"".join(map(known.__getitem__, k)) for k in keys]
             i = j
         return out
 
-    return by_word
+    return by_part
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -142,9 +141,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID, *, id_col: st
         for batch in batches:
             if not batch.num_rows:
                 continue
-            raw, offsets = raw_text(batch.column(2))
-            body = raw.tobytes()
-            rows = [x + end for x in ids_of([body[a:b] for a, b in zip(offsets[:-1], offsets[1:])])]
+            rows = [x + end for x in ids_of(batch.column(2).to_pylist())]
             n = np.array([len(x) // 4 for x in rows], np.int64)
             cut = np.concatenate([[0], np.cumsum(n)])
             ids = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(np.frombuffer(b"".join(rows), "<i4")))
