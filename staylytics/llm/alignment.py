@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -128,8 +129,15 @@ class Pair:
             cuts.append([body[x:y] for x, y in zip(cut[:-1], cut[1:])])
         return dict(zip(pieces, zip(*cuts)))
 
-    def stretches(self, text: str):
+    def pieces(self, text: str | None) -> list[str] | None:
+        """The pieces of a text that is encoded by pieces and in one stretch."""
+        return _PIECES.findall(" " + text) if text and self.cuts and len(text) < STRETCH and not _ODD.search(text) else None
+
+    def stretches(self, text: str, pieces: list[str] | None = None):
         """Ids (of A, of B) of one stretch of the text after another, both ending at the same offset; None if it has no tokens."""
+        if pieces:
+            yield self._ids(list(map(self.kept.fill(pieces).__getitem__, pieces)))
+            return
         if not self.cuts or _ODD.search(text):
             yield self._ids(self._alone([" " + text], [text], [slice(None)]))
             return
@@ -145,16 +153,11 @@ class Pair:
             known = self.kept.fill(pieces)
             yield self._ids(list(map(known.__getitem__, pieces)))
 
-    def learn(self, texts: list[str | None]) -> None:
-        """Has the pieces of the texts encoded together; they are then known to ``stretches``."""
-        if self.cuts:
-            self.kept.fill(p for t in texts if t and len(t) < STRETCH and not _ODD.search(t) for p in _PIECES.findall(" " + t))
-
     @staticmethod
     def _ids(values):
         if None in values:
             return None
-        return [np.frombuffer(b"".join([v[k] for v in values]), "<u4") for k in (0, 1)]
+        return [np.frombuffer(b"".join(ids), "<u4") for ids in zip(*values)]
 
 
 def align(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int, int]], list[int], list[int]]:
@@ -202,13 +205,13 @@ _NO_TOKENS = (0, 0, 0, 0, "", [], [], [])
 ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair_a array<int>, pair_b array<int>, pair_n array<int>"
 
 
-def align_text(pair: Pair, text: str | None):
-    """Values of ALIGNED of one text."""
+def align_text(pair: Pair, text: str | None, pieces: list[str] | None = None):
+    """Values of ALIGNED of one text; ``pieces`` are its pair.pieces() if these are at hand."""
     if not text:
         return _NO_TOKENS
     n_a = n_b = n_groups = n_links = 0
     digest, keys, counts = hashlib.sha256(), [], []
-    for ids in pair.stretches(text):
+    for ids in pair.stretches(text, pieces):
         if ids is None:
             return _NO_TOKENS
         groups, link_a, link_b = align(*(np.cumsum(size[x]).tolist() for size, x in zip(pair.sizes, ids)))
@@ -253,8 +256,9 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, *, id_col: str = "doc_id"
             texts, got = batch.column(2), []
             for i, j in chunks(raw_text(texts)[1]):
                 some = texts.slice(i, j - i).to_pylist()
-                pair.learn(some)
-                got += (align_text(pair, t) for t in some)
+                pieces = list(map(pair.pieces, some))
+                pair.kept.fill(chain.from_iterable(filter(None, pieces)))  # unknown ones of all texts are encoded together
+                got += map(align_text, repeat(pair), some, pieces)
             got = list(zip(*got))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(x, t) for x, t in zip(got, whole)), *map(lists, got[5:])], names=schema.names)
 

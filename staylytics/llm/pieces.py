@@ -12,7 +12,7 @@ import os
 from collections.abc import Callable, Hashable, Iterable
 
 #: Pieces in a table of a worker, about, and the longest one (characters or bytes) that is kept for long.
-KEPT_PIECES, KEPT_LENGTH = 1 << 18, 64
+KEPT_PIECES, KEPT_LENGTH = 3 << 17, 64
 #: Pieces that the library is given at a time.
 TOGETHER = 512
 
