@@ -36,7 +36,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -136,7 +136,7 @@ class Pair:
     def stretches(self, text: str, pieces: list[str] | None = None):
         """Ids (of A, of B) of one stretch of the text after another, both ending at the same offset; None if it has no tokens."""
         if pieces:
-            yield self._ids(list(map(self.kept.fill(pieces).__getitem__, pieces)))
+            yield self._ids(list(map(self.kept.fill([pieces]).__getitem__, pieces)))
             return
         if not self.cuts or _ODD.search(text):
             yield self._ids(self._alone([" " + text], [text], [slice(None)]))
@@ -150,7 +150,7 @@ class Pair:
             elif not done:
                 pieces, done = _PIECES.findall(given[at:]), True
             at = len(given) if done else at + sum(map(len, pieces))
-            known = self.kept.fill(pieces)
+            known = self.kept.fill([pieces])
             yield self._ids(list(map(known.__getitem__, pieces)))
 
     @staticmethod
@@ -257,7 +257,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, *, id_col: str = "doc_id"
             for i, j in chunks(raw_text(texts)[1]):
                 some = texts.slice(i, j - i).to_pylist()
                 pieces = list(map(pair.pieces, some))
-                pair.kept.fill(chain.from_iterable(filter(None, pieces)))  # unknown ones of all texts are encoded together
+                pair.kept.fill(list(filter(None, pieces)))  # unknown ones of all texts are encoded together
                 got += map(align_text, repeat(pair), some, pieces)
             got = list(zip(*got))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(x, t) for x, t in zip(got, whole)), *map(lists, got[5:])], names=schema.names)

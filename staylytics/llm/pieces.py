@@ -9,10 +9,11 @@ know go to the library. Every id is the library's own.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Hashable, Iterable
+from collections.abc import Callable, Hashable, Sequence
+from itertools import chain, filterfalse
 
 #: Pieces in a table of a worker, about, and the longest one (characters or bytes) that is kept for long.
-KEPT_PIECES, KEPT_LENGTH = 3 << 17, 64
+KEPT_PIECES, KEPT_LENGTH = 1 << 19, 64
 #: Pieces that the library is given at a time.
 TOGETHER = 512
 
@@ -49,17 +50,16 @@ class Pieces:
     def __init__(self, encode: Callable[[list], list]):
         self.encode, self.new, self.old = encode, {}, {}
 
-    def fill(self, pieces: Iterable[Hashable]) -> dict:
-        """A table that has all these pieces; it is good until the next call."""
-        pieces = set(pieces)
-        missing = pieces.difference(self.new)
+    def fill(self, pieces: Sequence[Sequence[Hashable]]) -> dict:
+        """A table that has all pieces of these lists; it is good until the next call."""
+        missing = set(filterfalse(self.new.__contains__, chain.from_iterable(pieces)))
         if missing:
             if len(self.new) > KEPT_PIECES:
                 self.new, self.old = {}, {p: v for p, v in self.new.items() if len(p) <= KEPT_LENGTH}
-                missing = pieces
-            again = [p for p in missing if p in self.old]
+                missing = set(chain.from_iterable(pieces))
+            again = list(filter(self.old.__contains__, missing))
             self.new.update(zip(again, map(self.old.__getitem__, again)))
-            missing = list(missing.difference(self.new))
+            missing = list(filterfalse(self.new.__contains__, missing))
             self.new.update(zip(missing, self.encode(missing)))
         return self.new
 

@@ -36,7 +36,6 @@ import json
 import re
 import zlib
 from array import array
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -119,7 +118,7 @@ def id_bytes(path: str):
                 size += len(texts[j])
                 j += 1
             keys = list(map(keys_of, texts[i:j]))
-            known = kept.fill(chain.from_iterable(keys))
+            known = kept.fill(keys)
             out += [b"".join(map(known.__getitem__, k)) for k in keys]
             i = j
         return out
@@ -155,7 +154,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, *,
           row_group_bytes: int = ROW_GROUP_BYTES, page_bytes: int = PAGE_BYTES, page_rows: int = PAGE_ROWS) -> None:
     """Encodes the documents and writes ``folder``; the tokenizer file has the same path on every machine."""
     options = {"parquet.writer.version": "v2", "parquet.block.size": row_group_bytes, "parquet.page.size": page_bytes,
-               "parquet.page.row.count.limit": page_rows, "parquet.enable.dictionary": "true", "compression": "zstd"}
+               "parquet.page.row.count.limit": page_rows, "parquet.enable.dictionary": "true", "compression": "snappy"}
     options |= {f"parquet.enable.dictionary#{c}": "false" for c in ("doc_id", "at", "n_tokens")}
     spark = docs.sparkSession
     encoded(docs, tokenizer, end_id, id_col=id_col, text_col=text_col).write.options(**options).parquet(f"{folder}/tokens")
