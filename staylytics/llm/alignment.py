@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import chunks, prepare_workers, raw_text, written
-from .pieces import BYTE_LETTERS, TOGETHER, kept_pieces, load_tokenizer
+from .pieces import BYTE_LETTERS, TOGETHER, Pieces, kept, load_tokenizer
 from .token_counts import can_split, load
 
 #: The most frequent id pairs, which are broadcast: 24 bytes each.
@@ -85,7 +85,7 @@ class Pair:
         self.sizes = [np.array(list(map(len, e)), np.int64) for e in self.entries]
         self.names = [list(map(str, range(len(e)))) for e in self.entries]
         self.cuts = can_split(self.b)
-        self.kept = kept_pieces(("pair", a_path, b_path), self._of_pieces)
+        self.kept = kept(("pair", a_path, b_path), lambda: Pieces(self._of_pieces))
 
     def _alone(self, given: list[str], to_b: list[str], keep: list[slice]) -> list[tuple[bytes, bytes] | None]:
         """Ids of both as 32-bit bytes; None where the tokens are not the bytes of ``given``."""

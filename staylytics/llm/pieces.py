@@ -64,9 +64,29 @@ class Pieces:
         return self.new
 
 
-_KEPT: dict[Hashable, Pieces] = {}
+class Table(dict):
+    """As Pieces, for pieces that are encoded one by one: looking a piece up is enough."""
 
+    def __init__(self, encode: Callable[[Hashable], object]):
+        super().__init__()
+        self.encode, self.old = encode, {}
 
-def kept_pieces(key: Hashable, encode: Callable[[list], list]) -> Pieces:
-    """The worker's pieces of this key, from one task to the next."""
-    return _KEPT.setdefault(key, Pieces(encode))
+    def __missing__(self, piece):
+        value = self.old.get(piece)
+        self[piece] = value = self.encode(piece) if value is None else value
+        return value
+
+    def trim(self) -> None:
+        if len(self) > KEPT_PIECES:
+            self.old = {p: v for p, v in self.items() if len(p) <= KEPT_LENGTH}
+            self.clear()
+
+
+_KEPT: dict[Hashable, Pieces | Table] = {}
+
+
+def kept(key: Hashable, make: Callable[[], Pieces | Table]):
+    """The worker's table of this key, from one task to the next."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]

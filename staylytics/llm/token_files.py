@@ -43,8 +43,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import CHUNK_BYTES, prepare_workers
-from .pieces import BYTE_LETTERS, kept_pieces, load_tokenizer
+from .common import prepare_workers
+from .pieces import BYTE_LETTERS, Table, kept, load_tokenizer
 
 END_ID = 1
 #: Bytes of a row group and of a page, and rows in a page at most.
@@ -65,6 +65,7 @@ _LATIN = "\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017e"
 _ODD = re.compile(f"[^\t-\r -~{_LATIN}]|<\\|")
 #: The pattern of BLANK_RULES for texts in lower case without any of that.
 _PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[!-/:-@\\[-`{{-~]+")
+_PLAIN_BYTES = bytes([*range(9, 14), *range(32, 127)])
 _WORDS = re.compile("[^\t-\r ]+")
 
 TOKENS = T.StructType([
@@ -85,6 +86,13 @@ def _byte_letters(part: str) -> str:
     return part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_LETTERS)
 
 
+def _is_plain(text: str) -> bool:
+    """Nothing odd in it; ASCII texts are told without a look at each character."""
+    if text.isascii():
+        return "<|" not in text and not text.encode().translate(None, _PLAIN_BYTES)
+    return not _ODD.search(text)
+
+
 def id_bytes(path: str):
     """A function from a list of texts to the ids of each, as little-endian 32-bit bytes."""
     model = load_tokenizer(path)
@@ -97,30 +105,22 @@ def id_bytes(path: str):
         return encode
     bpe = model.model
 
-    def encode_keys(keys: list[str]) -> list[bytes]:
-        # parts as BLANK_RULES cut them are given to the library's merges; other words are the library's from the start
-        odd = [k for k in keys if _ODD.search(k)]
-        known = dict(zip(odd, encode(odd)))
-        return [known[k] if k in known else array("I", [t.id for t in bpe.tokenize(_byte_letters(k))]).tobytes() for k in keys]
+    def encode_key(key: str) -> bytes:
+        # a part as BLANK_RULES cut it is given to the library's merges; another word is the library's from the start
+        return encode([key])[0] if _ODD.search(key) else array("I", [t.id for t in bpe.tokenize(_byte_letters(key))]).tobytes()
 
-    kept = kept_pieces(path, encode_keys)
+    table = kept(path, lambda: Table(encode_key))
 
     def keys_of(text: str) -> list[str]:
-        if not _ODD.search(text):
+        if _is_plain(text):
             return _PARTS.findall(text.lower())
         return [k for w in _WORDS.findall(text) for k in ([w] if _ODD.search(w) else _PARTS.findall(w.lower()))]
 
     def by_part(texts: list[str]) -> list[bytes]:
-        out, i = [], 0
-        while i < len(texts):  # about CHUNK_BYTES at a time
-            j, size = i, 0
-            while j < len(texts) and (j == i or size + len(texts[j]) <= CHUNK_BYTES):
-                size += len(texts[j])
-                j += 1
-            keys = list(map(keys_of, texts[i:j]))
-            known = kept.fill(keys)
-            out += [b"".join(map(known.__getitem__, k)) for k in keys]
-            i = j
+        out = []
+        for text in texts:
+            table.trim()
+            out.append(b"".join(map(table.__getitem__, keys_of(text))))
         return out
 
     return by_part
