@@ -12,8 +12,8 @@ import os
 from collections.abc import Callable, Hashable, Sequence
 from itertools import chain, filterfalse
 
-#: Pieces in a table of a worker, about, and the longest one (characters or bytes) that is kept for long.
-KEPT_PIECES, KEPT_LENGTH = 1 << 19, 64
+#: Entries in a worker's Pieces and in its Table, about, and the longest piece that is kept for long.
+KEPT_PIECES, KEPT_PARTS, KEPT_LENGTH = 3 << 17, 1 << 19, 64
 #: Pieces that the library is given at a time.
 TOGETHER = 512
 
@@ -77,7 +77,7 @@ class Table(dict):
         return value
 
     def trim(self) -> None:
-        if len(self) > KEPT_PIECES:
+        if len(self) > KEPT_PARTS:
             self.old = {p: v for p, v in self.items() if len(p) <= KEPT_LENGTH}
             self.clear()
 

@@ -35,7 +35,7 @@ def test_pieces_are_the_library_ids(monkeypatch):
     want = [np.array(x[:-1], "<u4").tobytes() for x in whole(texts)]
     ids = token_files.id_bytes(WORD)
     assert ids([t or "" for t in texts]) == want
-    monkeypatch.setattr(pieces, "KEPT_PIECES", 5)  # the table starts anew again and again
+    monkeypatch.setattr(pieces, "KEPT_PARTS", 5)  # the table starts anew again and again
     assert ids([t or "" for t in texts]) == want
 
 
