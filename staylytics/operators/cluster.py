@@ -7,6 +7,8 @@ by ascending mean price so results are stable across seeds.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -17,6 +19,7 @@ from ..functions.columns import round_half_away
 from ..session import cut_lineage
 from . import features as FT
 from . import kmeans as KM
+from . import silhouette as SL
 
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
@@ -77,12 +80,28 @@ def scaled_cluster_frame(dl: DataFrame, room_types: list[str] | None = None) ->
     return z, [c + "_z" for c in cols]
 
 
-def kmeans_sweep(z: DataFrame, cols: list[str], ks=range(2, 11), seeds=KM.SEEDS) -> list[tuple]:
-    """(k, inertia, silhouette, centres) of the best of the restarts for each k; squared-Euclidean silhouette, all rows."""
+class SweepRow(NamedTuple):
+    """The best of the restarts for one K; the Euclidean silhouette lies between ``low`` and ``high``, from the cells of ``tree``."""
+
+    k: int
+    inertia: float
+    silhouette: float
+    low: float
+    high: float
+    tree: SL.Tree
+    silhouette_sq: float
+    centers: np.ndarray
+
+
+def kmeans_sweep(z: DataFrame, cols: list[str], ks=range(2, 11), seeds=KM.SEEDS) -> list[SweepRow]:
+    """Inertia and both silhouettes of the best of the restarts for each k, over all rows."""
     pts = KM.points(z, cols).persist()
     try:
         models = KM.fit(pts, ks, seeds)
-        return [(m.k, m.cost, s, m.centers) for m, s in zip(models, KM.silhouettes(pts, models))] if models else []
+        if not models:
+            return []
+        squared = KM.silhouettes(pts, models)
+        return [SweepRow(m.k, m.cost, *s, q, m.centers) for m, s, q in zip(models, SL.of_models(pts, models), squared)]
     finally:
         pts.unpersist()
 
@@ -97,10 +116,10 @@ def fit_centers(df: DataFrame, cols: list[str], k: int, seeds=KM.SEEDS, weight:
     return models[0].centers if models else np.zeros((1, len(cols)))
 
 
-def best_k(sweep: list[tuple]) -> int:
-    """First k with the maximum silhouette."""
-    top = max(row[2] for row in sweep)
-    return next(row[0] for row in sweep if row[2] == top)
+def best_k(sweep: list[SweepRow]) -> int:
+    """First k with the maximum Euclidean silhouette."""
+    top = max(row.silhouette for row in sweep)
+    return next(row.k for row in sweep if row.silhouette == top)
 
 
 def price_order(pred: DataFrame, price_col: str = "price") -> list[int]:

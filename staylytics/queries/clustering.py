@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import cluster as CL
 from ..operators import features as FT
 from ..operators import kmeans as KM
+from ..operators import silhouette as SL
 from ..oracle import oracle, r
 from ..registry import Ctx, query
 from ..session import cut_lineage
@@ -114,11 +115,12 @@ def _sweep(c: Ctx):
 
 @query("kmeans_sweep")
 def q_kmeans_sweep(c: Ctx):
-    """Inertia and silhouette for K = 2..10; best K flagged (first maximum)."""
+    """Inertia and silhouettes for K = 2..10; best K by the Euclidean one flagged (first maximum), which lies between its bounds."""
     sw = _sweep(c)
     bk = CL.best_k(sw)
-    return c.spark.createDataFrame([(k, i, s, k == bk) for k, i, s, _ in sw],
-                                   "k int, inertia double, silhouette_sq_euclidean double, is_best boolean")
+    return c.spark.createDataFrame(
+        [(m.k, m.inertia, m.silhouette, m.low, m.high, m.silhouette_sq, m.k == bk) for m in sw],
+        "k int, inertia double, " + ", ".join(f"{x} double" for x in SL.COLUMNS) + ", silhouette_sq_euclidean double, is_best boolean")
 
 
 def _final(c: Ctx):
@@ -126,7 +128,7 @@ def _final(c: Ctx):
         z, cols = _scaled(c)
         sw = _sweep(c)
         bk = CL.best_k(sw)
-        return CL.final_clusters(z, cols, next(row[3] for row in sw if row[0] == bk)), cols
+        return CL.final_clusters(z, cols, next(m.centers for m in sw if m.k == bk)), cols
     return c.once("final", fit)
 
 
@@ -138,16 +140,17 @@ def q_kmeans_sizes(c: Ctx):
 
 @query("silhouette_by_cluster")
 def q_silhouette_by_cluster(c: Ctx):
-    """Per-row silhouette (squared Euclidean), averaged per cluster and overall."""
+    """Per-row silhouettes (Euclidean with its bounds, squared Euclidean), averaged per cluster and overall."""
     fc, cols = _final(c)
-    s = CL.silhouette_rows(fc.pred, cols)
-    return _silhouettes(s)
+    sw = _sweep(c)
+    s = SL.rows(CL.silhouette_rows(fc.pred, cols), cols, tree=next(m.tree for m in sw if m.k == CL.best_k(sw)))
+    return _silhouettes(s, *SL.COLUMNS)
 
 
-def _silhouettes(s):
-    mean = F.avg("silhouette_sq_euclidean").alias("silhouette_sq_euclidean")
-    per = s.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), mean)
-    return per.unionByName(s.agg(F.lit(-1).alias("cluster"), F.count(F.lit(1)).alias("n"), mean))
+def _silhouettes(s, *more):
+    means = [F.avg(x).alias(x) for x in ("silhouette_sq_euclidean", *more)]
+    per = s.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *means)
+    return per.unionByName(s.agg(F.lit(-1).alias("cluster"), F.count(F.lit(1)).alias("n"), *means))
 
 
 @query("cluster_profile")
