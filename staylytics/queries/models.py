@@ -185,7 +185,7 @@ FROM fct_availability WHERE is_available GROUP BY neighbourhood""",
 
 @query("listings_in_boundary")
 def q_listings_in_boundary(c: Ctx):
-    """Neighbourhood whose boundary contains each listing (grid equi-join + ray casting)."""
+    """Neighbourhood whose boundary contains each listing (quadtree cover + ray casting at borders)."""
     from ..operators.geo import points_in_polygons
 
     pts = c["dim_listings"].select("listing_id", "longitude", "latitude")
