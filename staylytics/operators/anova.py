@@ -130,6 +130,9 @@ def anova_tests(d: DataFrame, factor: str) -> DataFrame:
 
 
 def tukey_significant(d: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """T5: significant pairs out of all pairs."""
-    tk = tukey_hsd(d, alpha)
-    return tk.agg(F.count_if("reject").alias("sig_pairs"), F.count(F.lit(1)).alias("total_pairs"))
+    """T5: significant pairs out of all pairs. A pair is significant if its q exceeds the critical value, so no tail is computed."""
+    gs = cut_lineage(group_stats(d))
+    k, dfw, mse = _fit(gs)
+    crit = dist.studentized_range_ppf(1 - alpha, k, dfw) if dfw > 0 and k > 1 else None
+    significant = F.col("q_stat") > F.lit(crit).cast("double")
+    return _pairs(gs, k, dfw, mse).agg(F.count_if(significant).alias("sig_pairs"), F.count(F.lit(1)).alias("total_pairs"))

@@ -148,3 +148,15 @@ def test_calendar_window_reaches_the_scan(spark, tmp_path):
     plan = m._jdf.queryExecution().executedPlan().toString()
     pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
     assert any("GreaterThanOrEqual(date" in line or "date >= ScalarSubquery" in line or "(date#" in line and ">=" in line for line in pushed), plan
+
+
+def test_significant_pairs_are_those_the_full_table_rejects(spark):
+    r = np.random.default_rng(2)
+    rows = [(f"g{j}", float(v)) for j in range(9) for v in r.normal(j * 0.35, 1.0, 30 + 7 * j)]
+    d = spark.createDataFrame(rows, "g string, y double")
+    table = A.tukey_hsd(d).collect()
+    assert tuple(A.tukey_significant(d).first()) == (sum(t["reject"] for t in table), 36) and 0 < sum(t["reject"] for t in table) < 36
+    assert tuple(A.tukey_significant(d.where("g = 'g0'")).first()) == (0, 0)
+    lone = spark.createDataFrame([("a", 1.0), ("b", 5.0)], "g string, y double")  # nothing left within groups
+    assert tuple(A.tukey_significant(lone).first()) == (0, 1)
+    assert tuple(A.tukey_significant(d.where("false")).first()) == (0, 0)
