@@ -59,6 +59,13 @@ def weekend_flag(date_col: ColumnOrName) -> Column:
     return F.coalesce(F.dayofweek(_c(date_col)).isin(1, 7), F.lit(False))
 
 
+def date_parts(date_col: ColumnOrName) -> dict[str, Column]:
+    """The columns of the availability fact that follow from the date alone."""
+    d = _c(date_col)
+    return {"year": F.year(d), "month": F.month(d), "month_name": F.date_format(d, "MMMM"),
+            "day_of_week": F.dayofweek(d), "is_weekend": weekend_flag(d)}
+
+
 def capped(c: ColumnOrName, upper) -> Column:
     """LEAST(x, upper) that stays NULL for a NULL x."""
     x = _c(c)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import round_half_away, weekend_flag
+from ..functions.columns import date_parts, round_half_away
 
 
 def snapshot_max_date(calendar: DataFrame) -> DataFrame:
@@ -139,8 +139,5 @@ def fct_availability(calendar: DataFrame, dim_l: DataFrame) -> DataFrame:
         F.col("c.listing_id"), d.alias("date"), "c.is_available", "c.price_usd",
         "c.adjusted_price_usd", "c.minimum_nights", "c.maximum_nights",
         "l.listing_name", "l.host_id", "l.host_name", "l.neighbourhood", "l.room_type",
-        F.year(d).alias("year"), F.month(d).alias("month"),
-        F.date_format(d, "MMMM").alias("month_name"),
-        F.dayofweek(d).alias("day_of_week"),
-        weekend_flag(d).alias("is_weekend"),
+        *[part.alias(name) for name, part in date_parts(d).items()],
     )

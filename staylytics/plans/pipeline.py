@@ -122,14 +122,15 @@ def publish_tables(spark: SparkSession, models: Models, default_db: str = "renta
     Staging stays a set of views (S6); marts go to ``target_database('gold', ...)``.
     The availability fact is partitioned by year and month. Returns name -> qualified table.
     """
+    from ..sources import files as FS
+
     db = target_database("gold", default_db)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     out = {}
     for name in MART_MODELS:
         w = models.marts[name].write.mode("overwrite").format("parquet")
         if name == "fct_availability":
-            w = models.marts[name].hint("rebalance", "year", "month").write.mode("overwrite") \
-                .format("parquet").partitionBy("year", "month")
+            w = FS.by_month(models.marts[name]).write.mode("overwrite").format("parquet").partitionBy("year", "month")
         w.saveAsTable(f"`{db}`.`{name}`")
         out[name] = f"{db}.{name}"
     register_views(spark, models)
@@ -169,7 +170,7 @@ def run_pipeline_tables(spark: SparkSession, src_dir: str, default_db: str = "re
             continue
         w = models.marts[name]
         if name == "fct_availability":
-            w.hint("rebalance", "year", "month").write.mode("overwrite").format("parquet") \
+            FS.by_month(w).write.mode("overwrite").format("parquet") \
                 .partitionBy("year", "month").saveAsTable(f"`{gold_db}`.`{name}`")
         else:
             w.write.mode("overwrite").format("parquet").saveAsTable(f"`{gold_db}`.`{name}`")

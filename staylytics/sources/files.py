@@ -4,7 +4,8 @@ Real snapshot files carry many more columns than the models read, so
 CSVs are read with every column as text (no inference pass over the
 data) and the needed columns are picked by header name and cast with
 ``try_cast``. A raw file may be a file, a folder of files or a glob. A gzip file cannot be split: it arrives as one partition
-and is repartitioned right after the read so later stages run wide.
+and is repartitioned right after the read so later stages run wide; a
+folder with files for most cores is read as it lies.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import date_parts
 from . import schemas as S
 
 RAW_FILES = {
@@ -25,6 +27,10 @@ RAW_FILES = {
 }
 
 
+#: Of the bronze and gold tables; their texts and dates repeat, and take about a third less than as snappy.
+COMPRESSION = "zstd"
+
+
 def _partitions(spark: SparkSession, n: int | None) -> int:
     return n or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -59,7 +65,10 @@ def cast_report(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, partitions: int | None = None) -> DataFrame:
-    return conform(read_csv_text(spark, path), schema).repartition(_partitions(spark, partitions))
+    df = conform(read_csv_text(spark, path), schema)
+    if not partitions and 2 * df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1:
+        return df  # wide already: no shuffle of every row
+    return df.repartition(_partitions(spark, partitions))
 
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
@@ -109,7 +118,7 @@ def land_bronze(spark: SparkSession, src_dir: str, out_dir: str, partitions: int
         p = os.path.join(out_dir, name)
         if name == "raw_calendar":  # by date, so that a window of dates skips files and row groups
             df = df.repartitionByRange(_partitions(spark, partitions), "date").sortWithinPartitions("date")
-        df.write.mode("overwrite").parquet(p)
+        df.write.mode("overwrite").option("compression", COMPRESSION).parquet(p)
         paths[name] = p
     return paths
 
@@ -118,20 +127,27 @@ def load_bronze(spark: SparkSession, bronze_dir: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(os.path.join(bronze_dir, name)) for name in RAW_FILES}
 
 
+def by_month(df: DataFrame) -> DataFrame:
+    """The availability fact with the rows of a month together, by one shuffle, after which AQE splits each
+    month's partition into advisory-size tasks and merges small ones. What follows from the date
+    (``columns.date_parts``) is not shuffled but derived again after it."""
+    parts = {name: part for name, part in date_parts("date").items() if name in df.columns}
+    rows = df.drop(*parts).withColumn("_month", F.trunc("date", "month")).hint("rebalance", "_month")
+    return rows.select(*[parts[c].alias(c) if c in parts else F.col(c) for c in df.columns])
+
+
 def write_mart(df: DataFrame, path: str, name: str) -> None:
     """Full overwrite of one mart. The availability fact is partitioned by
     year and month (date-window filters then prune files) and sorted by
     listing within each file."""
     if name == "fct_availability":
-        # REBALANCE on (year, month): one hash shuffle, after which AQE splits each
-        # month's partition into advisory-size tasks and merges small ones, so a task
-        # writes mostly one month and files are neither tiny nor huge at any scale.
-        # (Hashing on (year, month) without AQE would leave ~13 tasks for a snapshot;
+        # REBALANCE on (year, month): a task writes mostly one month
+        # and files are neither tiny nor huge at any scale. (Hashing on (year, month) without AQE would leave ~13 tasks for a snapshot;
         # a range repartition would compute the whole fact twice.)
-        df.hint("rebalance", "year", "month").sortWithinPartitions("year", "month", "listing_id", "date") \
-            .write.mode("overwrite").partitionBy("year", "month").parquet(path)
+        by_month(df).sortWithinPartitions("year", "month", "listing_id", "date") \
+            .write.mode("overwrite").option("compression", COMPRESSION).partitionBy("year", "month").parquet(path)
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
 
 
 # fixed values: the column set of each table's columnar extract

@@ -68,13 +68,16 @@ def raw_listings(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def raw_calendar(t: dict[str, DataFrame]) -> DataFrame:
-    li, o = t["lineitem"], t["orders"]
+    # flag and date in their short form before the join, which shuffles every row
+    li = t["lineitem"].select("l_orderkey", "l_extendedprice", "l_linenumber", "l_quantity", F.to_date("l_shipdate").alias("date"),
+                              F.coalesce(F.col("l_returnflag") != "R", F.lit(False)).alias("is_available"))
+    o = t["orders"]
     j = li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey, "inner")
     price = F.col("l_extendedprice") / 100
     return j.select(
         F.col("o_custkey").alias("listing_id"),
-        F.to_date("l_shipdate").alias("date"),
-        F.when(F.col("l_returnflag") != "R", F.lit("t")).otherwise(F.lit("f")).alias("available"),
+        "date",
+        F.when(F.col("is_available"), F.lit("t")).otherwise(F.lit("f")).alias("available"),
         _money_text(price).alias("price"),
         F.when((F.col("l_linenumber") == 7) & (F.col("l_quantity") == 50), _money_text(price))
         .alias("adjusted_price"),
