@@ -10,7 +10,7 @@ Plan: an equi-join on cells of a quadtree, then the exact test near borders.
      touches is cut in four, ``depth`` times; it keeps only the edges that touch it.
      Cells without edges lie inside or outside as a whole, decided at their
      middle; those outside go. So the cells of a polygon follow the length of its border
-     in units of its own size, not its area, and no cell size is given;
+     in units of its own size, not its area, and no cell size need be given;
   2. each point gets its cell at each level of the cover (a few, one for each
      order of size of the polygons);
   3. equi-join on the cell (AQE broadcasts the cover when its measured
@@ -24,6 +24,8 @@ Plan: an equi-join on cells of a quadtree, then the exact test near borders.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,16 +93,18 @@ def _parts(polygons: DataFrame, key: str, boundary: str) -> DataFrame:
     return polygons.select(key, F.posexplode(boundary).alias("part", "_polygon")).select(key, "part", F.array("_polygon").alias("_shape"))
 
 
-def polygon_cells(polygons: DataFrame, key: str, boundary: str, depth: int = DEPTH) -> DataFrame:
+def polygon_cells(polygons: DataFrame, key: str, boundary: str, depth: int = DEPTH, cell: float | None = None) -> DataFrame:
     """(key, part, level, cx, cy, inner) for the cells of the cover of each polygon (part) of a boundary; the side of a cell is 2^-level.
 
-    Boundaries without key and polygons without extent have none.
+    Boundaries without key and polygons without extent have none. ``cell`` bounds the side of all cells.
     """
     extent = F.greatest(F.col("max_lon") - F.col("min_lon"), F.col("max_lat") - F.col("min_lat"))
     c = _parts(polygons.where(F.col(key).isNotNull()), key, boundary)
     # inline() of one struct keeps what it computes apart: without it each use below would get a copy of the expressions
     c = c.select(key, "part", "_shape", F.inline(F.array(F.struct(_edges(F.col("_shape")).alias("edges"), *bounding_box(F.col("_shape"))))))
     level = F.floor(-F.log2(extent)).cast("int")
+    if cell:
+        level = F.greatest(level, F.lit(math.ceil(-math.log2(cell))))
     c = c.where(extent > 0).select("*", F.inline(F.array(F.struct(level.alias("level"), F.pow(F.lit(2.0), level).alias("unit")))))
 
     def span(z):
@@ -121,14 +125,15 @@ def polygon_cells(polygons: DataFrame, key: str, boundary: str, depth: int = DEP
 
 def points_in_polygons(points: DataFrame, lon: str, lat: str, polygons: DataFrame, id_col: str,
                        key: str = "neighbourhood", boundary: str = "neighbourhood_boundary",
-                       depth: int = DEPTH) -> DataFrame:
+                       depth: int = DEPTH, cell: float | None = None) -> DataFrame:
     """Every point row with the key of each polygon it is inside; NULL where it is in none or has no coordinates.
 
     ``id_col`` tells points apart. ``depth`` says how often cells at a border are cut: one more
-    doubles the cells of a polygon and halves the points that are cast rays for. The cover is
+    doubles the cells of a polygon and halves the points that are cast rays for. ``cell``, if given, is the
+    largest side of a cell in degrees; a polygon much larger than it has many cells then. The cover is
     written, its levels (one for each power of two of sizes, and ``depth`` more) reach the driver.
     """
-    cover = cut_lineage(polygon_cells(polygons, key, boundary, depth).withColumnRenamed(key, "_poly_key"))
+    cover = cut_lineage(polygon_cells(polygons, key, boundary, depth, cell).withColumnRenamed(key, "_poly_key"))
     levels = sorted(r[0] for r in cover.select("level").distinct().collect())
     shape = _parts(polygons, key, boundary).withColumnsRenamed({key: "_shape_key", "part": "_shape_part"})
     same = (F.col("_poly_key") == F.col("_shape_key")) & (F.col("part") == F.col("_shape_part"))
