@@ -23,7 +23,9 @@ Counts of id pairs come from all documents:
 
 Texts are encoded by pieces that a worker keeps (pieces.py) if they hold
 no white space but blanks and line feeds; others go to the libraries whole.
-A long text is aligned stretch by stretch, as pieces end at a common offset.
+Pieces end at a common offset, so no group crosses such an end: unknown pieces are
+encoded and aligned together, their groups and links are kept with them, and
+those of a text are its pieces' in a row. A long text is taken stretch by stretch.
 
 Defined cases: a null or empty text, or one whose tokens of A or B do not give back the
 bytes of blank and text (U+2581 is read as a blank by B), has no tokens:
@@ -36,7 +38,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from itertools import repeat
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -87,17 +89,16 @@ class Pair:
         self.cuts = can_split(self.b)
         self.kept = kept(("pair", a_path, b_path), lambda: Pieces(self._of_pieces))
 
-    def _alone(self, given: list[str], to_b: list[str], keep: list[slice]) -> list[tuple[bytes, bytes] | None]:
-        """Ids of both as 32-bit bytes; None where the tokens are not the bytes of ``given``."""
+    def _alone(self, given: list[str], to_b: list[str], keep: list[slice]) -> list[tuple[bytes, bytes, int, int] | None]:
+        """Values (see ``_aligned``) of texts that are encoded one by one; None where the tokens are not the bytes of ``given``."""
         a = [e.ids for e in self.a.encode_batch_fast(given, add_special_tokens=False)]
         b = [x[k] for x, k in zip(self.b.encode(to_b, num_threads=1), keep)]
-        return [(np.array(x, "<u4").tobytes(), np.array(y, "<u4").tobytes()) if self._bytes(0, x) == self._bytes(1, y) == g.encode() else None
-                for g, x, y in zip(given, a, b)]
+        return [self._aligned([x, y], [len(g.encode())])[0] if self._bytes(0, x) == self._bytes(1, y) == g.encode() else None for g, x, y in zip(given, a, b)]
 
     def _bytes(self, k: int, ids) -> bytes:
         return b"".join(map(self.entries[k].__getitem__, ids))
 
-    def _of_pieces(self, pieces: list[str]) -> list[tuple[bytes, bytes] | None]:
+    def _of_pieces(self, pieces: list[str]) -> list[tuple[bytes, bytes, int, int] | None]:
         # pieces that end in something else than white space can follow one another in any order: they go in one text
         out = {}
         joint = [p for p in pieces if p[-1] not in " \n"]
@@ -112,34 +113,51 @@ class Pair:
         out.update(zip(rest, self._alone(rest, [(p[1:] if s else p) + "\n" for p, s in zip(rest, starts)], [slice(0 if s else 1, -1) for s in starts])))
         return [out[p] for p in pieces]
 
-    def _together(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes]]:
-        """The ids of pieces that are encoded as one text; nothing if its tokens are not its bytes or do not end where a piece does."""
+    def _together(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes, int, int]]:
+        """The values of pieces that are encoded and aligned as one text; nothing if its tokens are not its bytes or do not end where a piece does."""
         text = " a" + "".join(pieces)
-        ends = np.cumsum([2, *(len(p.encode()) for p in pieces)])
-        cuts = []
-        for k, ids in enumerate((self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:]))):
-            if self._bytes(k, ids) != text.encode():
-                return {}
-            ids = np.array(ids, "<u4")
-            at = np.cumsum(self.sizes[k][ids])
-            cut = np.searchsorted(at, ends)
-            if not np.array_equal(at[cut], ends):
-                return {}
-            body, cut = ids.tobytes(), (4 * cut + 4).tolist()
-            cuts.append([body[x:y] for x, y in zip(cut[:-1], cut[1:])])
-        return dict(zip(pieces, zip(*cuts)))
+        given = text.encode()
+        both = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:])
+        if any(self._bytes(k, ids) != given for k, ids in enumerate(both)):
+            return {}
+        values = self._aligned(both, np.cumsum([2, *map(len, pieces if text.isascii() else map(str.encode, pieces))]))
+        return dict(zip(pieces, values[1:])) if values else {}
+
+    def _aligned(self, both, ends) -> list[tuple[bytes, bytes, int, int]]:
+        """Groups as they are digested, links as 64-bit numbers (id of A, id of B), tokens of A and tokens of B of each
+        part of a text that ends at one of ``ends``; nothing if the tokens of A or of B do not end there."""
+        ids = [np.array(x, np.int64) for x in both]
+        at = [np.cumsum(size[x]) for size, x in zip(self.sizes, ids)]
+        cuts = [np.searchsorted(x, ends) for x in at]
+        if any(not np.array_equal(x[c], ends) for x, c in zip(at, cuts)):
+            return []
+        groups, link_a, link_b = align(*(x.tolist() for x in at))
+        name_a, name_b = (list(map(names.__getitem__, x)) for names, x in zip(self.names, both))
+        said, last = [], []  # the groups and the last token of A of each
+        for a0, a1, b0, b1 in groups:
+            if b1:
+                said.append(",".join(name_a[a0:a1]) + "|" + ",".join(name_b[b0:b1]))
+                last.append(a1 - 1)
+            else:  # a run of one-to-one groups
+                said += map("|".join, zip(name_a[a0:a1], name_b[b0:b0 + a1 - a0]))
+                last += range(a0, a1)
+        last, link_a, link_b = (np.array(x, np.int64) for x in (last, link_a, link_b))
+        links = (ids[0][link_a] << 32 | ids[1][link_b]).astype("<i8").tobytes()
+        upto = [[0, *x.tolist()] for x in (np.searchsorted(last, cuts[0], side="right"), 8 * np.searchsorted(link_a, cuts[0], side="right"), cuts[0] + 1, cuts[1] + 1)]
+        return [(";".join(said[g0:g1]).encode(), links[l0:l1], a1 - a0, b1 - b0)
+                for (g0, g1), (l0, l1), (a0, a1), (b0, b1) in zip(*map(pairwise, upto))]
 
     def pieces(self, text: str | None) -> list[str] | None:
         """The pieces of a text that is encoded by pieces and in one stretch."""
         return _PIECES.findall(" " + text) if text and self.cuts and len(text) < STRETCH and not _ODD.search(text) else None
 
-    def stretches(self, text: str, pieces: list[str] | None = None):
-        """Ids (of A, of B) of one stretch of the text after another, both ending at the same offset; None if it has no tokens."""
+    def stretches(self, text: str, pieces: list[str] | None = None, known: dict | None = None):
+        """Values (see ``_aligned``) of the parts of one stretch of the text after another; ``known`` has those of ``pieces``."""
         if pieces:
-            yield self._ids(list(map(self.kept.fill([pieces]).__getitem__, pieces)))
+            yield list(map((known or self.kept.fill([pieces])).__getitem__, pieces))
             return
         if not self.cuts or _ODD.search(text):
-            yield self._ids(self._alone([" " + text], [text], [slice(None)]))
+            yield self._alone([" " + text], [text], [slice(None)])
             return
         given, at = " " + text, 0
         while at < len(given):  # a piece that reaches the end of a stretch may go on behind it: it is taken anew
@@ -150,14 +168,7 @@ class Pair:
             elif not done:
                 pieces, done = _PIECES.findall(given[at:]), True
             at = len(given) if done else at + sum(map(len, pieces))
-            known = self.kept.fill([pieces])
-            yield self._ids(list(map(known.__getitem__, pieces)))
-
-    @staticmethod
-    def _ids(values):
-        if None in values:
-            return None
-        return [np.frombuffer(b"".join(ids), "<u4") for ids in zip(*values)]
+            yield list(map(self.kept.fill([pieces]).__getitem__, pieces))
 
 
 def align(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int, int]], list[int], list[int]]:
@@ -205,26 +216,20 @@ _NO_TOKENS = (0, 0, 0, 0, "", [], [], [])
 ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair_a array<int>, pair_b array<int>, pair_n array<int>"
 
 
-def align_text(pair: Pair, text: str | None, pieces: list[str] | None = None):
-    """Values of ALIGNED of one text; ``pieces`` are its pair.pieces() if these are at hand."""
+def align_text(pair: Pair, text: str | None, pieces: list[str] | None = None, known: dict | None = None):
+    """Values of ALIGNED of one text; ``pieces`` are its pair.pieces() and ``known`` their values, if these are at hand."""
     if not text:
         return _NO_TOKENS
     n_a = n_b = n_groups = n_links = 0
     digest, keys, counts = hashlib.sha256(), [], []
-    for ids in pair.stretches(text, pieces):
-        if ids is None:
+    for values in pair.stretches(text, pieces, known):
+        if None in values:
             return _NO_TOKENS
-        groups, link_a, link_b = align(*(np.cumsum(size[x]).tolist() for size, x in zip(pair.sizes, ids)))
-        name_a, name_b = (list(map(names.__getitem__, i.tolist())) for names, i in zip(pair.names, ids))
-        said = []
-        for a0, a1, b0, b1 in groups:
-            if b1:
-                said.append(",".join(name_a[a0:a1]) + "|" + ",".join(name_b[b0:b1]))
-            else:  # a run of one-to-one groups
-                said += map("|".join, zip(name_a[a0:a1], name_b[b0:b0 + a1 - a0]))
-        digest.update(((";" if n_groups else "") + ";".join(said)).encode())
-        n_a, n_b, n_groups, n_links = n_a + len(ids[0]), n_b + len(ids[1]), n_groups + len(said), n_links + len(link_a)
-        k, c = np.unique(ids[0][link_a].astype(np.int64) << 32 | ids[1][link_b], return_counts=True)
+        said, links, of_a, of_b = zip(*values)
+        said, links = b";".join(said), np.frombuffer(b"".join(links), "<i8")
+        digest.update(b";" + said if n_groups else said)
+        n_a, n_b, n_groups, n_links = n_a + sum(of_a), n_b + sum(of_b), n_groups + said.count(b"|"), n_links + len(links)
+        k, c = np.unique(links, return_counts=True)
         keys.append(k)
         counts.append(c)
     if len(keys) > 1:
@@ -257,8 +262,8 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, *, id_col: str = "doc_id"
             for i, j in chunks(raw_text(texts)[1]):
                 some = texts.slice(i, j - i).to_pylist()
                 pieces = list(map(pair.pieces, some))
-                pair.kept.fill(list(filter(None, pieces)))  # unknown ones of all texts are encoded together
-                got += map(align_text, repeat(pair), some, pieces)
+                known = pair.kept.fill(list(filter(None, pieces)))  # unknown ones of all texts are encoded and aligned together
+                got += map(align_text, repeat(pair), some, pieces, repeat(known))
             got = list(zip(*got))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(x, t) for x, t in zip(got, whole)), *map(lists, got[5:])], names=schema.names)
 

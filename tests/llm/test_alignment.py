@@ -112,6 +112,35 @@ def test_stretches_and_small_tables(monkeypatch):
         assert x[:5] == (*w[1:5], w[7])
 
 
+def of_pieces(pair, texts):
+    parts = list(map(pair.pieces, texts))
+    known = pair.kept.fill(list(filter(None, parts)))
+    return [alignment.align_text(pair, t, p, known) for t, p in zip(texts, parts)]
+
+
+def test_a_piece_is_aligned_once(monkeypatch):
+    r = random.Random(6)
+    words = ["".join(r.choice("abcdefgilmnorstuéß9") for _ in range(r.randint(1, 9))) for _ in range(60)]
+    texts = [" ".join(r.sample(words, 60)) for _ in range(20)]
+    monkeypatch.setattr(pieces, "_KEPT", {})
+    pair, align, given = alignment.Pair(A, B), alignment.align, []
+    monkeypatch.setattr(alignment, "align", lambda a, b: given.append(len(a)) or align(a, b))
+    got = [x[:5] for part in (texts[:10], texts[10:]) for x in of_pieces(pair, part)]
+    assert got == [(*w[1:5], w[7]) for w in plain_report(list(enumerate(texts)))]
+    assert sum(given) < 2 * got[0][0]  # words come without change in texts of the same words
+
+
+def test_long_pieces_are_not_kept(monkeypatch):
+    monkeypatch.setattr(pieces, "_KEPT", {})
+    monkeypatch.setattr(pieces, "KEPT_LONG", 300)
+    r = random.Random(7)
+    texts = ["the word " + "".join(r.choice("漢字ßab") for _ in range(100)) + " and\n" for _ in range(40)]
+    pair = alignment.Pair(A, B)
+    got = [x[:5] for k in range(0, 40, 2) for x in of_pieces(pair, texts[k:k + 2])]
+    assert got == [(*w[1:5], w[7]) for w in plain_report(list(enumerate(texts)))]
+    assert sum(len(p) for p in [*pair.kept.new, *pair.kept.old]) < 1000
+
+
 def test_nothing(spark):
     assert alignment.report(spark.createDataFrame([], "doc_id long, text string"), A, B).count() == 0
     some = alignment.report(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string"), A, B).collect()
