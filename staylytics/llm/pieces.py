@@ -15,7 +15,7 @@ from itertools import chain, filterfalse
 #: Entries in a worker's Pieces and in its Table, about, and the longest piece that is kept for long.
 KEPT_PIECES, KEPT_PARTS, KEPT_LENGTH = 3 << 17, 1 << 19, 64
 #: Characters of longer pieces that Pieces hold before these are dropped.
-KEPT_LONG = 1 << 21
+KEPT_LONG = 1 << 19
 #: Pieces that the library is given at a time.
 TOGETHER = 512
 
@@ -46,7 +46,7 @@ class Pieces:
     """What ``encode`` (a list of pieces to a list of values) gives for a piece.
 
     There are two tables. A piece found in the older one moves on to the newer one; when that
-    holds KEPT_PIECES, or KEPT_LONG characters of long pieces, the older one is dropped, so frequent pieces stay.
+    holds KEPT_PIECES the older one is dropped, so frequent pieces stay. Long pieces go at KEPT_LONG characters.
     """
 
     def __init__(self, encode: Callable[[list], list]):
@@ -57,8 +57,9 @@ class Pieces:
         missing = set(filterfalse(self.new.__contains__, chain.from_iterable(pieces)))
         if missing:
             if len(self.new) > KEPT_PIECES or self.long > KEPT_LONG:
-                self.new, self.old, self.long = {}, {p: v for p, v in self.new.items() if len(p) <= KEPT_LENGTH}, 0
-                missing = set(chain.from_iterable(pieces))
+                short = {p: v for p, v in self.new.items() if len(p) <= KEPT_LENGTH}
+                self.new, self.old, self.long = ({}, short, 0) if len(self.new) > KEPT_PIECES else (short, self.old, 0)
+                missing = set(filterfalse(self.new.__contains__, chain.from_iterable(pieces)))
             again = list(filter(self.old.__contains__, missing))
             self.new.update(zip(again, map(self.old.__getitem__, again)))
             missing = list(filterfalse(self.new.__contains__, missing))
