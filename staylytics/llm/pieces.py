@@ -12,7 +12,7 @@ import os
 from collections.abc import Callable, Hashable, Sequence
 from itertools import chain, filterfalse
 
-#: Entries in a worker's Pieces and in its Table, about, and the longest piece that is kept for long.
+#: Entries in a worker's Pieces and in its Table, about, and the longest piece that is kept (in Pieces: for long).
 KEPT_PIECES, KEPT_PARTS, KEPT_LENGTH = 3 << 17, 1 << 19, 64
 #: Characters of longer pieces that Pieces hold before these are dropped.
 KEPT_LONG = 1 << 19
@@ -69,7 +69,7 @@ class Pieces:
 
 
 class Table(dict):
-    """As Pieces, for pieces that are encoded one by one: looking a piece up is enough."""
+    """As Pieces, for pieces that are encoded one by one: looking a piece up is enough. Long pieces are not kept."""
 
     def __init__(self, encode: Callable[[Hashable], object]):
         super().__init__()
@@ -77,12 +77,16 @@ class Table(dict):
 
     def __missing__(self, piece):
         value = self.old.get(piece)
-        self[piece] = value = self.encode(piece) if value is None else value
+        if value is None:
+            value = self.encode(piece)
+        if len(piece) <= KEPT_LENGTH:
+            self[piece] = value
         return value
 
     def trim(self) -> None:
         if len(self) > KEPT_PARTS:
-            self.old = {p: v for p, v in self.items() if len(p) <= KEPT_LENGTH}
+            self.old.clear()
+            self.old = dict(self)
             self.clear()
 
 

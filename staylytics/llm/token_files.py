@@ -21,8 +21,8 @@ in the input, and range partitions may cut between them, so one id with a third
 of all rows is spread over many files. What passes through the driver is one row for each file.
 
 Where the tokenizer's rules are those of ``cuts_at_blanks``, texts are cut
-into parts as these say and the ids of a part, from the library, are kept by the worker;
-with other rules whole texts go to the library.
+into words, the different words of a batch into parts as these say, and the ids of a part,
+from the library, are kept by the worker; with other rules whole texts go to the library.
 
 Defined cases: a null or empty text has the end id only; null ids come
 first; rows with equal ids are written one by one; an empty table is written as files
@@ -36,19 +36,23 @@ import json
 import re
 import zlib
 from array import array
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare_workers
+from .common import chunks, prepare_workers, raw_text
 from .pieces import BYTE_LETTERS, Table, kept, load_tokenizer
 
 END_ID = 1
 #: Bytes of a row group and of a page, and rows in a page at most.
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2000
+#: Text bytes that are cut into words together (a longer text is by itself).
+ROUND_BYTES = 2 << 20
 #: Rules with which a text can be cut at ASCII white space. Nothing that is matched holds white space.
 BLANK_RULES = {
     "normalizer": {"type": "Sequence", "normalizers": [
@@ -62,11 +66,9 @@ BLANK_RULES = {
 #: Letters of Latin script that are one code point, stay so in NFC and have one lower-case letter.
 _LATIN = "\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017e"
 #: What is not such a letter, printable ASCII or ASCII white space; and what may be a special token.
-_ODD = re.compile(f"[^\t-\r -~{_LATIN}]|<\\|")
-#: The pattern of BLANK_RULES for texts in lower case without any of that.
-_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[!-/:-@\\[-`{{-~]+")
-_PLAIN_BYTES = bytes([*range(9, 14), *range(32, 127)])
-_WORDS = re.compile("[^\t-\r ]+")
+_ODD = f"[^\t-\r -~{_LATIN}]|<\\|"
+#: The pattern of BLANK_RULES for words in lower case without any of that.
+_PARTS = f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[!-/:-@\\[-`{{-~]+"
 
 TOKENS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("at", T.LongType()),
@@ -86,44 +88,56 @@ def _byte_letters(part: str) -> str:
     return part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_LETTERS)
 
 
-def _is_plain(text: str) -> bool:
-    """Nothing odd in it; ASCII texts are told without a look at each character."""
-    if text.isascii():
-        return "<|" not in text and not text.encode().translate(None, _PLAIN_BYTES)
-    return not _ODD.search(text)
+def _keys(words: pa.Array) -> pa.ListArray:
+    """What the words are looked up by: the parts of a word as BLANK_RULES cut it, and a word with anything odd whole."""
+    parts = pc.replace_substring_regex(pc.utf8_lower(words), pattern=_PARTS, replacement="\\0 ")
+    return pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.if_else(pc.match_substring_regex(words, _ODD), words, parts)))
+
+
+def _joined(lists: pa.ListArray, at: pa.Array, offsets: pa.Array) -> pa.ListArray:
+    """The lists at these places, those between two offsets as one list."""
+    lists = lists.take(at)
+    return pa.ListArray.from_arrays(lists.offsets.take(offsets), lists.values)
 
 
 def id_bytes(path: str):
-    """A function from a list of texts to the ids of each, as little-endian 32-bit bytes."""
+    """A function from texts (a list or an Arrow array without nulls) to the ids of each, as little-endian 32-bit bytes."""
     model = load_tokenizer(path)
 
-    def encode(texts: list[str]) -> list[bytes]:
+    def encode(texts) -> list[bytes]:
+        texts = texts.to_pylist() if isinstance(texts, pa.Array) else texts
         got = model.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
     if not cuts_at_blanks(model):
         return encode
-    bpe = model.model
+    bpe, odd = model.model, re.compile(_ODD)
 
     def encode_key(key: str) -> bytes:
         # a part as BLANK_RULES cut it is given to the library's merges; another word is the library's from the start
-        return encode([key])[0] if _ODD.search(key) else array("I", [t.id for t in bpe.tokenize(_byte_letters(key))]).tobytes()
+        return encode([key])[0] if odd.search(key) else array("I", map(attrgetter("id"), bpe.tokenize(_byte_letters(key)))).tobytes()
 
     table = kept(path, lambda: Table(encode_key))
 
-    def keys_of(text: str) -> list[str]:
-        if _is_plain(text):
-            return _PARTS.findall(text.lower())
-        return [k for w in _WORDS.findall(text) for k in ([w] if _ODD.search(w) else _PARTS.findall(w.lower()))]
+    def by_part(texts: pa.Array) -> list[bytes]:
+        # a word is cut once, and a part looked up once, however often these texts have it
+        words = pc.ascii_split_whitespace(texts)
+        word = words.values.dictionary_encode()
+        keys = _keys(word.dictionary)
+        key = keys.values.dictionary_encode()
+        table.trim()
+        ids = [table[k] for k in key.dictionary.to_numpy(zero_copy_only=False)]
+        cut = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)])
+        ids = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+        ids = _joined(_joined(ids, key.indices, keys.offsets), word.indices, words.offsets)
+        cut, body = ids.offsets.to_numpy().astype(np.int64) * 4, memoryview(ids.values.to_numpy()).cast("B")
+        return [bytes(body[a:b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
 
-    def by_part(texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            table.trim()
-            out.append(b"".join(map(table.__getitem__, keys_of(text))))
-        return out
+    def rounds(texts) -> list[bytes]:
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        return [x for i, j in chunks(raw_text(texts)[1], ROUND_BYTES) for x in by_part(texts.slice(i, j - i))]
 
-    return by_part
+    return rounds
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -140,7 +154,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID, *, id_col: st
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [x + end for x in ids_of(batch.column(2).to_pylist())]
+            rows = [x + end for x in ids_of(batch.column(2))]
             n = np.array([len(x) // 4 for x in rows], np.int64)
             cut = np.concatenate([[0], np.cumsum(n)])
             ids = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(np.frombuffer(b"".join(rows), "<i4")))

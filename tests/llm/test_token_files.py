@@ -2,9 +2,11 @@
 
 import glob
 import random
+import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -39,6 +41,36 @@ def test_pieces_are_the_library_ids(monkeypatch):
     assert ids([t or "" for t in texts]) == want
 
 
+def test_every_letter_that_is_cut_without_the_library():
+    plain = [c for c in map(chr, range(0x180)) if not c.isspace() and not re.search(token_files._ODD, c)]
+    assert len(plain) > 200
+    texts = [f"{c} a{c}B {c}{c}1{c} '{c} .'{c}\x0b{c}'S'{c}" for c in plain] + ["\x1c".join(plain), "\x85".join(plain), "<|ENDOFTEXT|> <|endoftext|>.", "\t\n\x0b\x0c\r "]
+    ids = token_files.id_bytes(WORD)
+    assert ids(texts) == ids(pa.array(texts)) == [np.array(x[:-1], "<u4").tobytes() for x in whole(texts)]
+    assert ids([]) == []
+
+
+def test_repeated_words_are_looked_up_once(monkeypatch):
+    looked = []
+
+    class Table(pieces.Table):
+        def __getitem__(self, piece):
+            looked.append(piece)
+            return super().__getitem__(piece)
+
+    monkeypatch.setattr(token_files, "Table", Table)
+    monkeypatch.setattr(token_files, "kept", lambda key, make: make())
+    texts = ["Some words, and some (more) words. " * 200, None, "words 漢 漢字, " * 100, "words " + "漢" * 90]
+    got = token_files.id_bytes(WORD)([t or "" for t in texts])
+    assert got == [np.array(x[:-1], "<u4").tobytes() for x in whole(texts)]
+    assert len(looked) == len(set(looked)) < 15
+
+
+def test_long_pieces_are_not_kept():
+    table = pieces.Table(str.upper)
+    assert [table[p] for p in ("ab", "x" * 65)] == ["AB", "X" * 65] and list(table) == ["ab"]
+
+
 @pytest.fixture(scope="module")
 def files(spark, tmp_path_factory):
     texts = odd_texts()
