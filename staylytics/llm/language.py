@@ -38,6 +38,8 @@ MIN_SCORE = 0.15
 HELD = 1 << 21
 #: Texts counted at once; with every letter there is, text and n-gram still fit in 63 bits.
 TEXTS = 2048
+#: Places of a table of counts for each n-gram that is added to it, at most; else they are sorted.
+DENSE = 16
 
 _LETTERS: list[np.ndarray] = []
 
@@ -48,11 +50,26 @@ def _letters() -> np.ndarray:
     return _LETTERS[0]
 
 
+def _added_up(keys: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys (below ``size``, in order) and the sums of their counts."""
+    if size <= DENSE * len(keys):
+        total = np.bincount(keys, counts, size)  # whole numbers far below 2^53
+        keys = np.flatnonzero(total)
+        return keys, total[keys].astype(np.int64)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first].astype(np.int64), np.add.reduceat(counts[order], first)
+
+
 def grams(texts: list[str], group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(group, n-gram code, count), sorted by group and code, of the texts of each group (numbers from 0).
 
     A code holds the three characters in 21 bits each; a blank is 1 and a missing character 0.
+    Only the three characters around each letter are counted one by one: the letters, their
+    pairs with the next character and the pairs of a blank and a letter follow from those counts.
     """
+    none = np.zeros(0, np.int64)
     low = [t.lower() for t in texts]
     chars = np.frombuffer((" ".join(low) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
     chars = np.where(_letters()[chars], chars, 0)
@@ -60,44 +77,61 @@ def grams(texts: list[str], group: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     seen[chars] = True
     seen[0] = False
     alphabet = np.flatnonzero(seen)
-    number = np.zeros(0x110000, np.int64)
-    number[alphabet] = np.arange(2, len(alphabet) + 2)  # 0: no character, 1: blank
-    c = number[chars]
-    c[c == 0] = 1
+    if not len(alphabet):
+        return none, none, none
     base = len(alphabet) + 2
-    g = np.repeat(np.asarray(group, np.int64), [len(x) + 1 for x in low]) * base
-    a, b, d = c, np.append(c[1:], 1), np.append(c[2:], [1, 1])[:len(c)]
-    before = np.concatenate([[1], c[:-1]])
-    ga, letter = g + a, a > 1
-    one = ga[letter] * base * base
-    two_at = letter | ((a == 1) & (b > 1))  # a blank in front belongs to the word behind it
-    owner = g.copy()
-    owner[:-1][(a[:-1] == 1) & (b[:-1] > 1)] = g[1:][(a[:-1] == 1) & (b[:-1] > 1)]
-    two = ((owner[two_at] + a[two_at]) * base + b[two_at]) * base
-    mid = letter  # three characters around each letter
-    three = ((g[mid] + before[mid]) * base + a[mid]) * base + b[mid]
-    start = two[:0]
-    if len(c) and c[0] > 1:  # the first word of all has no blank in front
-        start = ((g[:1] + 1) * base + c[:1]) * base
-    keys = np.sort(np.concatenate([one, two, start, three]))
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    counts = np.diff(np.append(first, len(keys)))
-    keys = keys[first]
+    group = np.asarray(group, np.int64)
+    groups = int(group.max()) + 1
+    size = groups * base ** 3
+    kind = np.uint32 if size < 1 << 32 else np.int64
+    number = np.ones(0x110000, kind)
+    number[alphabet] = np.arange(2, len(alphabet) + 2)  # 0: no character, 1: blank
+    c = np.concatenate([np.ones(1, kind), number[chars]])  # a blank in front; there is one behind each text
+    letter = np.flatnonzero(c > 1)
+    a = c[letter]
+    keys = np.repeat(group.astype(kind), [len(x) + 1 for x in low])[letter - 1]
+    for x in (c[letter - 1], a, c[letter + 1]):
+        keys *= kind(base)
+        keys += x
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    three, counts = keys[first].astype(np.int64), np.diff(np.append(first, len(keys)))
+    rest, z = np.divmod(three, base)
+    rest, y = np.divmod(rest, base)
+    g, x = np.divmod(rest, base)
+    edge = x == 1
+    one, n_one = _added_up(g * base + y, counts, groups * base)
+    two, n_two = _added_up((g * base + y) * base + z, counts, groups * base ** 2)
+    front, n_front = _added_up((g[edge] * base + 1) * base + y[edge], counts[edge], groups * base ** 2)
+    keys, counts = np.concatenate([three, one * base ** 2, two * base, front * base]), np.concatenate([counts, n_one, n_two, n_front])
+    bits = int(counts.max()).bit_length()
+    if size << bits < 1 << 63:
+        keys = np.sort((keys << bits) | counts)
+        keys, counts = keys >> bits, keys & ((1 << bits) - 1)
+    else:
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
     real = np.concatenate([[0, 1], alphabet]).astype(np.int64)
-    z = real[keys % base]
-    y = real[keys // base % base]
-    x = real[keys // base ** 2 % base]
-    return keys // base ** 3, (x << 42) | (y << 21) | z, counts
+    rest, z = np.divmod(keys, base)
+    rest, y = np.divmod(rest, base)
+    g, x = np.divmod(rest, base)
+    return g, (real[x] << 42) | (real[y] << 21) | real[z], counts
 
 
 def ranked(group: np.ndarray, codes: np.ndarray, counts: np.ndarray, size: int):
-    """The ``size`` most frequent n-grams of each group, most frequent first: (group, code, rank)."""
-    order = np.lexsort((codes, -counts, group))
-    g = group[order]
-    start = np.searchsorted(g, g)
-    rank = np.arange(len(g)) - start
+    """The ``size`` most frequent n-grams of each group, most frequent first: (group, code, rank); the rows are sorted as grams() gives them."""
+    n = len(group)
+    if not n:
+        return group, codes, counts
+    most, bits = int(counts.max()), n.bit_length()
+    if (int(group[-1]) + 1) * (most + 1) << bits < 1 << 63:  # the place breaks ties, as rows are sorted by code
+        order = np.sort(((group * (most + 1) + (most - counts)) << bits) | np.arange(n)) & ((1 << bits) - 1)
+    else:
+        order = np.lexsort((codes, -counts, group))
+    start = np.searchsorted(group, group)  # the order keeps the groups where they are
+    rank = np.arange(n) - start
     keep = rank < size
-    return g[keep], codes[order][keep], rank[keep]
+    return group[keep], codes[order][keep], rank[keep]
 
 
 def _parts(texts: list[str | None]):

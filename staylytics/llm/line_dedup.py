@@ -8,8 +8,9 @@ trimmed lines. Over all documents, the first occurrence of a window (lowest doc_
 then lowest line) stays. Every later one is covered; covered lines, and blank lines
 between the lines of a covered window, go.
 
-One shuffle of windows finds the repeated ones (summed on the map side).
-They are written out, and a second shuffle brings them to their later occurrences; the
+The texts are read once: tasks cut them with numpy, and the windows are written.
+One shuffle of them finds the repeated ones (summed on the map side).
+They are written too, and a second shuffle brings them to their later occurrences; the
 join is a plain one, so Spark splits a window that is everywhere. The
 last join is by document.
 
@@ -20,54 +21,81 @@ of them gets its result; a text left without a line is the empty text.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from staylytics.session import cut_lineage
-
-from .common import SPACE, fresh
+from .common import chunks, fresh, prepare_workers, raw_text, written
+from .rolling import SPACED, find_words, mix
 
 LINES = 3
 #: Words that make a single line long enough to count as a repeated passage.
 PASSAGE = 50
-WHITE = " \t\n\x0b\x0c\r"
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _windows_of(texts: pa.Array, pairs: bool):
+    """(text number, first line, last line, h1, h2) arrays of the windows, for about CHUNK_BYTES of text at a time."""
+    raw, offsets = raw_text(texts)
+    for i, j in chunks(offsets):
+        part, at = raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
+        _, starts, ends, of = find_words(part, at, SPACED)
+        if not len(starts):
+            continue
+        # a line with a word in it goes from its first word to the end of its last
+        breaks = np.flatnonzero(part == 10)
+        line = np.searchsorted(breaks, starts)
+        head = np.flatnonzero(np.concatenate([[True], (line[1:] != line[:-1]) | (of[1:] != of[:-1])]))
+        words = np.diff(np.append(head, len(starts)))
+        body, spans = part.tobytes(), zip(starts[head].tolist(), ends[head + words - 1].tolist())
+        digests = np.frombuffer(b"".join([blake2b(body[a:b], digest_size=16).digest() for a, b in spans]), np.uint64).reshape(-1, 2)
+        of = of[head]
+        number = line[head] - np.searchsorted(breaks, at[of])
+        n = np.bincount(of)[of]
+        k = np.arange(len(of))
+        nth = k - np.searchsorted(of, of)  # among the lines of its text
+        size = np.minimum(n, LINES)
+        found = [(k[nth + size <= n], size[nth + size <= n])]
+        alone = k[(words >= PASSAGE) & (n > 1)]
+        found.append((alone, np.ones_like(alone)))
+        if pairs:  # the two lines of a text that has no more are a window above
+            two = k[(n > 2) & (nth + 2 <= n)]
+            two = two[words[two] + words[two + 1] >= PASSAGE]
+            found.append((two, np.full_like(two, 2)))
+        k, size = (np.concatenate(x) for x in zip(*found))
+        h = mix(digests[k])  # of the lines one after another, so windows of the same lines are equal whatever made them
+        for m in range(1, LINES):
+            more = size > m
+            h[more] = mix(h[more] * _ODD + digests[k[more] + m])
+        yield i + of[k], number[k].astype(np.int32), number[k + size - 1].astype(np.int32), h[:, 0].astype(np.int64), h[:, 1].astype(np.int64)
 
 
 def windows(docs: DataFrame, id_col: str, text_col: str, pairs: bool = False) -> DataFrame:
     """One row for each window: doc_id, text_hash, first and last line (from 0), h1, h2."""
-    d = docs.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.split(text_col, "\n").alias("lines"))
-    trimmed = F.transform("lines", lambda x, i: F.struct(i.alias("i"), F.trim(x, F.lit(WHITE)).alias("x")))
-    d = d.select("doc_id", "text_hash", F.filter(trimmed, lambda s: s["x"] != "").alias("lines"))
-    count = lambda x: F.size(F.split(x, f"[{SPACE}]+"))
-    words = count if pairs else lambda x: F.when(F.length(x) >= 2 * PASSAGE - 1, count(x)).otherwise(0)
-    d = d.select("doc_id", "text_hash", F.transform("lines", lambda s: F.struct(
-        s["i"].alias("i"), F.xxhash64(s["x"]).alias("a"), F.xxhash64(F.lit("2"), s["x"]).alias("b"),
-        words(s["x"]).alias("words"))).alias("lines")).where(F.size("lines") > 0)
-    d = d.select("doc_id", "text_hash", "lines", F.size("lines").alias("n"))
-    at = lambda k, c: F.get("lines", k)[c]
-    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.col("n") - LINES, F.lit(0))), lambda k: F.struct(
-        at(k, "i").alias("first"), at(F.least(k + LINES - 1, F.col("n") - 1), "i").alias("last"),
-        F.xxhash64(*[at(k + j, "a") for j in range(LINES)]).alias("h1"),
-        F.xxhash64(*[at(k + j, "b") for j in range(LINES)]).alias("h2")))
-    alone = F.transform(F.filter("lines", lambda s: (s["words"] >= PASSAGE) & (F.col("n") > 1)), lambda s: F.struct(
-        s["i"].alias("first"), s["i"].alias("last"), F.xxhash64(s["a"]).alias("h1"), F.xxhash64(s["b"]).alias("h2")))
-    if not pairs:
-        return d.select("doc_id", "text_hash", F.inline(F.concat(runs, alone)))
-    starts = F.filter(F.sequence(F.lit(0), F.greatest(F.col("n") - 2, F.lit(0))), lambda k: (F.col("n") > 2) & (
-        at(k, "words") + at(k + 1, "words") >= PASSAGE))  # the two lines of a text that has no more are a window above
-    two = F.transform(starts, lambda k: F.struct(
-        at(k, "i").alias("first"), at(k + 1, "i").alias("last"), F.xxhash64(at(k, "a"), at(k + 1, "a")).alias("h1"),
-        F.xxhash64(at(k, "b"), at(k + 1, "b")).alias("h2")))
-    return d.select("doc_id", "text_hash", F.inline(F.concat(runs, alone, two)))
+    d = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    prepare_workers(docs.sparkSession)
+    fields = [T.StructField(c, T.IntegerType()) for c in ("first", "last")] + [T.StructField(c, T.LongType()) for c in ("h1", "h2")]
+    schema = T.StructType([*d.schema.fields[:2], *fields])
+
+    def run(batches):
+        for batch in batches:
+            for of, *rest in _windows_of(batch.column(2), pairs):
+                at = pa.array(of)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *map(pa.array, rest)], names=schema.names)
+
+    return d.mapInArrow(run, schema)
 
 
 def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", pairs: bool = False) -> DataFrame:
     """doc_id, text_hash and the sorted numbers of the covered lines, for documents that have any."""
-    w = windows(docs, id_col, text_col, pairs)  # of rows equal in id and text all are the first occurrence, or none is
+    w = written(windows(docs, id_col, text_col, pairs), "windows")  # of rows equal in id and text all are the first occurrence, or none is
     seen = F.struct("doc_id", "text_hash", "first")
     repeated = w.groupBy("h1", "h2").agg(F.min(seen).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    repeated = cut_lineage(repeated)  # a scan on this side lets Spark split the other side of a hot window
+    repeated = written(repeated, "repeated")  # scans on both sides let Spark split a hot window
     later = w.join(repeated, ["h1", "h2"]).where(~F.struct("doc_id", "text_hash", "first").eqNullSafe(F.col("kept")))
     lines = F.array_sort(F.array_distinct(F.flatten(F.transform(F.collect_list(F.struct("first", "last")), lambda s: F.sequence(
         s["first"], s["last"])))))

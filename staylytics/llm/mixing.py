@@ -28,14 +28,26 @@ from pyspark.sql import types as T
 
 from staylytics.session import cut_lineage
 
-from .common import SPACE, fresh, prepare_workers
+from .common import chunks, fresh, map_texts, prepare_workers, raw_text, written
+from .rolling import SPACED
 
 WEIGHTS = (1.0, 2.0, 3.0)
 PASSES = 3
 
 
-def n_words(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(f"[^{SPACE}]+")).cast("long")
+def n_words(texts: pa.Array) -> list[pa.Array]:
+    """The number of words of each text."""
+    raw, offsets = raw_text(texts)
+    out = np.zeros(len(texts), np.int64)
+    for i, j in chunks(offsets):
+        at = offsets[i:j + 1] - offsets[i]
+        inside = SPACED.inside[raw[offsets[i]:offsets[j]]]
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        cut = at[at < len(inside)]
+        first[cut] = inside[cut]  # a word does not run on into the next text
+        out[i:j] = np.diff(np.searchsorted(np.flatnonzero(first), at))
+    return [pa.array(out)]
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, passes: int = PASSES) -> DataFrame:
@@ -99,12 +111,15 @@ def plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sou
          seed: int = 0) -> DataFrame:
     """doc_id, source, size, seeded order and a hash of the text of every row."""
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"),
-                       order.alias("order"), F.xxhash64(text_col).alias("hash"))
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), order.alias("order"), F.xxhash64(text_col).alias("hash"),
+                      F.col(text_col).alias("text"))
+    got = map_texts(src, "text", ["doc_id", "source", "order", "hash"], [T.StructField("size", T.LongType())], lambda: n_words)
+    return got.select("doc_id", "source", "size", "order", "hash")
 
 
 def positions(rows: DataFrame, weights=WEIGHTS, passes: int = PASSES) -> DataFrame:
     """``rows`` of plan() with source_size, number, target, budget and upto."""
+    rows = written(rows, "mix")  # they are read three times, without the texts then
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = cut_lineage(targets(sizes, weights, passes)).withColumnRenamed("source", "goal_source")
     before = F.sum("source_size").over(Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1))

@@ -70,7 +70,7 @@ def sign(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             raw, offsets = raw_text(texts)
             n = len(texts)
             prints, bands, bits, full = np.zeros((n, 2), np.int64), np.zeros((n, BANDS), np.int64), np.zeros((n, SLOTS // 64), np.int64), np.zeros(n, bool)
-            for i, j in chunks(offsets, rows=256):
+            for i, j in chunks(offsets, rows=64):
                 of, element, count = shingles(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 bands[i:j], bits[i:j] = bands_and_bits(signatures(of, element, weights(count), j - i))
                 full[i + np.unique(of)] = True

@@ -18,9 +18,12 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: close inputs get unrelated outputs."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,6 +63,7 @@ def signatures(of: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int)
     best = np.full(n * SLOTS, np.inf)
     owner = np.zeros(n * SLOTS, np.uint64)
     clock, arrived = np.zeros(len(of)), np.zeros(len(of), np.int64)
+    place, negative = of * SLOTS, -weight
     active = np.arange(len(of))
     share = _FULL
     while len(active):
@@ -68,10 +72,21 @@ def signatures(of: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int)
         x = np.repeat(active, each)
         nth = np.arange(len(x)) - np.repeat(start, each) + arrived[x] + 1
         r = mix(element[x] * np.uint64(0xD6E8FEB86659FD93) + nth.astype(np.uint64) * _STEP)
-        wait = -np.log(((r >> np.uint64(11)).astype(np.float64) + 1) * 2.0 ** -53) / weight[x]
+        wait = (r >> np.uint64(11)).astype(np.float64)
+        wait += 1
+        wait *= 2.0 ** -53
+        np.log(wait, out=wait)
+        wait /= negative[x]
         total = np.cumsum(wait)
-        when = total - np.repeat(total[start] - wait[start] - clock[active], each)
-        slot = of[x] * SLOTS + (((mix(r + _STEP) >> np.uint64(32)) * np.uint64(SLOTS)) >> np.uint64(32)).astype(np.int64)
+        when = total
+        when -= np.repeat(total[start] - wait[start] - clock[active], each)
+        r += _STEP
+        slot = mix(r)
+        slot >>= np.uint64(32)
+        slot *= np.uint64(SLOTS)
+        slot >>= np.uint64(32)
+        slot = slot.view(np.int64)
+        slot += place[x]
         np.minimum.at(best, slot, when)
         won = when == best[slot]
         owner[slot[won]] = element[x[won]]
