@@ -97,16 +97,17 @@ def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     repeated = w.groupBy("h1", "h2").agg(F.min(seen).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     repeated = written(repeated, "repeated")  # scans on both sides let Spark split a hot window
     later = w.join(repeated, ["h1", "h2"]).where(~F.struct("doc_id", "text_hash", "first").eqNullSafe(F.col("kept")))
-    lines = F.array_sort(F.array_distinct(F.flatten(F.transform(F.collect_list(F.struct("first", "last")), lambda s: F.sequence(
+    lines = F.sort_array(F.array_distinct(F.flatten(F.transform(F.collect_list(F.struct("first", "last")), lambda s: F.sequence(
         s["first"], s["last"])))))
     return later.groupBy("doc_id", "text_hash").agg(lines.alias("covered"))
 
 
 def _left(text: Column, gone: Column) -> Column:
     """The text without the lines of the given numbers."""
-    lines = F.split(text, "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
-    return F.when(gone.isNull() | text.isNull(), text).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+    left = lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i)), "\n")
+    once = F.get(F.transform(F.array(F.split(text, "\n")), left), F.lit(0))  # named in the inner function, the split would be done for each line
+    return F.when(gone.isNull() | text.isNull(), text).otherwise(once)
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n_chars_col: str = "n_chars",

@@ -18,14 +18,19 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: close inputs get unrelated outputs."""
-    x = x ^ (x >> np.uint64(30))
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
+    x = x.copy()
+    _mix_in_place(x, np.empty_like(x))
     return x
 
 
+def _mix_in_place(x: np.ndarray, scratch: np.ndarray) -> None:
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+        np.right_shift(x, np.uint64(shift), out=scratch)
+        x ^= scratch
+        if factor > 1:
+            x *= np.uint64(factor)
+
+
 def shingles(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, 48-bit shingle hash, count) of the distinct shingles, sorted; at most 2^15 texts.
 
@@ -63,38 +68,42 @@ def signatures(of: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int)
     best = np.full(n * SLOTS, np.inf)
     owner = np.zeros(n * SLOTS, np.uint64)
     clock, arrived = np.zeros(len(of)), np.zeros(len(of), np.int64)
-    place, negative = of * SLOTS, -weight
+    seed, place, negative = element * np.uint64(0xD6E8FEB86659FD93), of * SLOTS, -weight
     active = np.arange(len(of))
     share = _FULL
     while len(active):
         each = np.maximum(1, np.ceil(share / np.bincount(of[active], minlength=n)[of[active]])).astype(np.int64)
         start = np.cumsum(each) - each
-        x = np.repeat(active, each)
-        nth = np.arange(len(x)) - np.repeat(start, each) + arrived[x] + 1
-        r = mix(element[x] * np.uint64(0xD6E8FEB86659FD93) + nth.astype(np.uint64) * _STEP)
-        wait = (r >> np.uint64(11)).astype(np.float64)
+        spread = lambda values: np.repeat(values, each)  # noqa: B023, E731
+        nth = spread(arrived[active] + 1 - start)
+        nth += np.arange(len(nth))
+        r = nth.view(np.uint64)
+        r *= _STEP
+        r += spread(seed[active])
+        scratch = np.empty_like(r)
+        _mix_in_place(r, scratch)
+        wait = np.right_shift(r, np.uint64(11), out=scratch).astype(np.float64)
         wait += 1
         wait *= 2.0 ** -53
         np.log(wait, out=wait)
-        wait /= negative[x]
-        total = np.cumsum(wait)
-        when = total
-        when -= np.repeat(total[start] - wait[start] - clock[active], each)
+        wait /= spread(negative[active])
+        when = np.cumsum(wait)
+        when -= spread(when[start] - wait[start] - clock[active])
         r += _STEP
-        slot = mix(r)
-        slot >>= np.uint64(32)
-        slot *= np.uint64(SLOTS)
-        slot >>= np.uint64(32)
-        slot = slot.view(np.int64)
-        slot += place[x]
+        _mix_in_place(r, scratch)
+        r >>= np.uint64(32)
+        r *= np.uint64(SLOTS)
+        r >>= np.uint64(32)
+        slot = r.view(np.int64)
+        slot += spread(place[active])
         np.minimum.at(best, slot, when)
-        won = when == best[slot]
-        owner[slot[won]] = element[x[won]]
+        won = np.flatnonzero(when == best[slot])
+        owner[slot[won]] = element[active[np.searchsorted(start, won, side="right") - 1]]
         clock[active] = when[start + each - 1]
         arrived[active] += each
         last = best.reshape(n, SLOTS).max(axis=1)
         active = active[clock[active] < last[of[active]]]
-        share = _FULL / 4
+        share = _FULL / 16
     return owner.reshape(n, SLOTS)
 
 
