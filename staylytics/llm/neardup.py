@@ -325,8 +325,8 @@ def _linked(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     data = written(nodes.join(members.select("node").distinct(), "node", "left_semi").select(
         "node", "bits", F.transform("bands", lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("prints"), "rep_id", "rep_hash"))
     t = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    # rows equal in id and text hash are copies: one of them is enough
-    texts = written(data.select("node", "rep_id", "rep_hash").join(t, F.col("rep_id").eqNullSafe(F.col("doc_id")) & (
+    # rows equal in id and text hash are copies: one of them is enough; written alone, the ids are often few enough for all tasks
+    texts = written(written(data.select("node", "rep_id", "rep_hash")).join(t, F.col("rep_id").eqNullSafe(F.col("doc_id")) & (
         F.col("rep_hash") == F.col("text_hash"))).groupBy("node").agg(F.min("text").alias("text")))
     data = data.select("node", "bits", "prints")
 
@@ -375,11 +375,13 @@ def report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each class (the least id), with all its columns; of rows equal in id and text one stays."""
-    kept = link_classes(docs, id_col=id_col, text_col=text_col).where(is_kept())
-    kept = written(kept.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")))
+    # rows equal in id and text are in one class: all of them represent it, or none does
+    every = link_classes(docs, id_col=id_col, text_col=text_col).groupBy("doc_id", "text_hash")
+    every = written(every.agg(F.max(is_kept()).alias("kept"), F.count(F.lit(1)).alias("n")))
+    gone = written(every.where("not kept").select("doc_id", "text_hash"))  # most rows stay, so a table of the others is often small enough for all tasks
     h = fresh(docs.columns, "text_hash")
-    d, k = docs.withColumn(h, F.xxhash64(text_col)).alias("d"), kept.alias("k")
-    rows = d.join(k, F.col(f"d.`{id_col}`").eqNullSafe(F.col("k.doc_id")) & (F.col(f"d.{h}") == F.col("k.text_hash")), "left_semi")
-    if kept.where("n > 1").count():
+    d, g = docs.withColumn(h, F.xxhash64(text_col)).alias("d"), gone.alias("g")
+    rows = d.join(g, F.col(f"d.`{id_col}`").eqNullSafe(F.col("g.doc_id")) & (F.col(f"d.{h}") == F.col("g.text_hash")), "left_anti")
+    if every.where("kept and n > 1").count():
         rows = rows.dropDuplicates([id_col, h])
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
